@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from strandmill.llm.decontamination import op7_decontamination
+from strandmill.llm.linededup import op6_line_dedup
 from strandmill.llm.media import op10_media
 from strandmill.llm.packing import op9_packing
 from strandmill.llm.setjoin import op5_ngram_jaccard
@@ -12,6 +13,7 @@ from strandmill.llm.urls import OP1_SQL, op1_url_filters
 QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_line_dedup": op6_line_dedup,
     "op7_decontamination": op7_decontamination,
     "op8_sharding": op8_sharding,
     "op9_packing": op9_packing,
