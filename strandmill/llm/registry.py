@@ -6,12 +6,16 @@ from strandmill.llm.decontamination import op7_decontamination
 from strandmill.llm.linededup import op6_line_dedup
 from strandmill.llm.media import op10_media
 from strandmill.llm.packing import op9_packing
+from strandmill.llm.quality import op3_quality
 from strandmill.llm.setjoin import op5_ngram_jaccard
 from strandmill.llm.sharding import op8_sharding
+from strandmill.llm.toxicity import op2_toxicity
 from strandmill.llm.urls import OP1_SQL, op1_url_filters
 
 QUERIES = {
     "op1_url_filters": op1_url_filters,
+    "op2_toxicity": op2_toxicity,
+    "op3_quality": op3_quality,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontamination": op7_decontamination,
