@@ -6,6 +6,7 @@ from strandmill.llm.decontamination import op7_decontamination
 from strandmill.llm.linededup import op6_line_dedup
 from strandmill.llm.media import op10_media
 from strandmill.llm.packing import op9_packing
+from strandmill.llm.pii import op4_pii
 from strandmill.llm.quality import op3_quality
 from strandmill.llm.setjoin import op5_ngram_jaccard
 from strandmill.llm.sharding import op8_sharding
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_url_filters": op1_url_filters,
     "op2_toxicity": op2_toxicity,
     "op3_quality": op3_quality,
+    "op4_pii": op4_pii,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op6_line_dedup": op6_line_dedup,
     "op7_decontamination": op7_decontamination,
