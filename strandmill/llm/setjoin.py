@@ -12,11 +12,15 @@ its own level and the one below. The boundary is the largest size at which the s
 
 Sets that share a list are candidates, and overlap is always counted on the whole sets:
 * equal sets are one node from the start;
-* each node is first held against the smallest node of its lists (one pair a node, so large groups of near copies
-  cost a pair each), which gives components;
-* lists that still hold several components give all pairs across them.
+* a list's pivot is the member with most shared lists, near the middle of its family; each node is held against the
+  pivot it meets most often. That is one pair a node, and gives components;
+* lists that still hold several components are compared in numpy, in blocks of bounded size: a pair across components
+  goes on only where enough of its parts are equal for a link of these sizes, and from one list only, the one of
+  their first equal part. What goes on is verified on the whole sets.
 So no link between different components is lost, and no list is turned into all its pairs.
 
+A key is 40 bits of the part's hash, 16 of its number and 8 of the level (0: a subset).
+
 Nodes and shingles are 64-bit hashes. Nulls and texts without words have no set and link with nothing. Repeated rows
 link with each other through their node. A null doc_id is kept, but can't name a component. Extra columns are ignored.
 """
@@ -42,6 +46,13 @@ from strandmill.llm.words import SPACED, U, chunks, mix, shingles, split_words,
 SET_SCHEMA = "doc_id bigint, n bigint, node bigint, keys array<bigint>"
 #: Work for a key in an inverted list, against a subset key: its candidates have to be verified.
 LIST_COST = 8
+#: The part number in the key of the list of sets with many empty parts.
+SPARSE = 0xFFFF
+_HASH = 0xFFFFFFFFFF000000
+#: Members of a list that one task compares with as many others.
+BLOCK = 1024
+#: Sets with more parts than this are compared on the whole sets alone.
+VECTOR_PARTS = 512
 
 
 class Plan:
@@ -97,7 +108,7 @@ class Plan:
                     continue
                 low, high = min(n, m), max(n, m)
                 drop = np.array([sum(int(mixed[i]) for i in gone) & (2**64 - 1) for gone in combinations(range(n), n - size)], U)
-                out.append(mix(total[-1] - drop + U((low << 20 | high) * 0x9E3779B97F4A7C15 & (2**64 - 1))))
+                out.append(mix(total[-1] - drop + U((low << 20 | high) * 0x9E3779B97F4A7C15 & (2**64 - 1))) & U(_HASH | 0xFFFF00))
         if n >= self.lowest:
             own = self.level(n)
             for level in (own, own - 1) if own else (own,):
@@ -105,10 +116,9 @@ class Plan:
                 cut = np.append(np.searchsorted(shingle, edges), n)
                 full = np.flatnonzero(cut[1:] > cut[:-1])
                 part = total[cut[full + 1]] - total[cut[full]]
-                salt = U((level + 1) << 32)
-                out.append(mix(part ^ mix(full.astype(U) + salt)))
+                out.append(mix(part) & U(_HASH) | (full.astype(U) & U(SPARSE)) << U(8) | U(level + 1))
                 if len(edges) - len(full) > x:
-                    out.append(mix(np.array([salt ^ U(0xFFFFFFFF)])))
+                    out.append(np.array([SPARSE << 8 | level + 1], U))
         return np.concatenate(out) if out else np.zeros(0, U)
 
 
@@ -186,38 +196,123 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return with_b.select("a", "b", "of_a", "of_b").mapInArrow(work, "a bigint, b bigint")
 
 
+def _across(rest: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of nodes of different roots that share a list and may link. rest is dealt and sorted by (key, i, j)."""
+
+    def group_pairs(plan: Plan, key: int, cross: bool, side: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, keys: list) -> tuple[np.ndarray, np.ndarray]:
+        tag, place = key & 0xFF, key >> 8 & 0xFFFF
+        if not tag:  # the smallest set links with all others of its list
+            pivot = np.lexsort((node, n))[0]
+            other = np.flatnonzero(root != root[pivot])
+            return np.full(len(other), node[pivot]), node[other]
+        own = np.array([plan.level(int(x)) for x in n])
+        g = len(plan.parts(tag - 1)[0])
+        dense = None
+        if g <= VECTOR_PARTS:
+            dense = np.zeros((len(n), g), np.int64)
+            for r, k in enumerate(keys):
+                at = k >> 8 & 0xFFFF
+                dense[r, at[at < g]] = k[at < g]
+        found = []
+        for r in range(len(n)):
+            fit = (side != side[r]) & (side > side[r]) if cross else np.arange(len(n)) > r
+            small, large = np.minimum(n, n[r]), np.maximum(n, n[r])
+            fit &= (root != root[r]) & (np.minimum(own, own[r]) == tag - 1) & (den * small >= num * large)
+            to = np.flatnonzero(fit)
+            if dense is not None and len(to):
+                same = dense[to] == dense[r]
+                total = n[to] + n[r]
+                # Linked sets differ in at most this many shingles, so in at most as many parts.
+                apart = total - 2 * -(-num * total // (num + den))
+                to, same = (x[same.sum(1) >= g - apart] for x in (to, same))
+                real = same & (dense[r] != 0)
+                first = np.where(real.any(1), real.argmax(1), SPARSE)
+                to = to[first == place]
+            found.append((np.full(len(to), node[r]), node[to]))
+        return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan, rest_of = Plan(num, den), None
+
+        def pairs(batch: pa.RecordBatch, whole: bool):
+            """Pairs of the whole groups of the batch, and the rows of its last group unless whole."""
+            key, i, j, side, node, n, root = (batch.column(c).to_numpy() for c in range(7))
+            lists = batch.column(7)
+            flat, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            edge = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
+            starts = np.concatenate([[0], edge])
+            stops = np.append(edge, len(key))
+            out = []
+            for a, b in zip(starts, stops, strict=True) if whole else zip(starts[:-1], stops[:-1], strict=True):
+                if (root[a:b] != root[a]).any():
+                    out.append(group_pairs(plan, int(key[a]), i[a] != j[a], side[a:b], node[a:b], n[a:b], root[a:b], [flat[ends[r] : ends[r + 1]] for r in range(a, b)]))
+            x = np.concatenate([p for p, _ in out]) if out else np.zeros(0, np.int64)
+            y = np.concatenate([q for _, q in out]) if out else np.zeros(0, np.int64)
+            found = pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64())], ["a", "b"])
+            return found, batch.slice(int(starts[-1]))
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if rest_of is not None:
+                batch = pa.Table.from_batches([rest_of, batch]).combine_chunks().to_batches()[0]
+            found, rest_of = pairs(batch, False)
+            yield found
+        if rest_of is not None:
+            yield pairs(rest_of, True)[0]
+
+    return rest.mapInArrow(work, "a bigint, b bigint")
+
+
 def similarity_components(docs: DataFrame, words_in_shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
     spark = docs.sparkSession
+    temporary = []
+
+    def stored(df: DataFrame, tag: str) -> DataFrame:
+        table, path = write_table(df, tag)
+        temporary.append(path)
+        return table
+
     sets, _ = write_table(keyed_sets(docs, words_in_shingle, num, den), "sets")
     nodes = sets.where("node is not null")
-    postings = nodes.select(F.explode("keys").alias("key"), "node", "doc_id")
-    lists = postings.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("key", "first")
-    lists, lists_path = write_table(lists, "lists")
-    held = _only(postings, "key", lists.select(F.col("key").alias("entry")))
-    held = held.groupBy("key", "node").agg(F.min("doc_id").alias("doc_id")).join(lists, "key")
-    held, held_path = write_table(held, "held")
-
-    wanted, wanted_path = write_table(held.groupBy("node").agg(F.min("doc_id").alias("entry")).select("entry"), "wanted")
-    whole, whole_path = write_table(_whole_sets(_only(docs.select(F.col("doc_id").cast("bigint"), "text"), "doc_id", wanted), words_in_shingle).dropDuplicates(["node"]), "whole")
-    star = held.where("node > first").groupBy(F.col("node").alias("a")).agg(F.min("first").alias("b"))
-    linked, linked_path = write_table(_verified(star, whole, num, den), "linked")
+    postings = nodes.select(F.explode("keys").alias("key"), "node")
+    shared = postings.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("key")
+    shared = stored(shared, "lists")
+    held = _only(postings, "key", shared.select(F.col("key").alias("entry"))).distinct().join(shared, "key", "left_semi")
+    held = stored(held, "held")
+
+    degree = stored(held.groupBy("node").agg(F.count("*").alias("degree")), "degree")
+    members = _only(nodes, "node", degree.select(F.col("node").alias("entry")))
+    members = members.groupBy("node").agg(F.min("doc_id").alias("entry"))
+    wanted = stored(members.select("entry").where("entry is not null"), "wanted")
+    whole = stored(_whole_sets(_only(docs.select(F.col("doc_id").cast("bigint"), "text"), "doc_id", wanted), words_in_shingle).dropDuplicates(["node"]), "whole")
+
+    pivots = held.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node")).alias("top")).select("key", F.col("top.node").alias("pivot"))
+    met = held.join(pivots, "key").where("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("times"))
+    star = met.groupBy("node").agg(F.max(F.struct("times", "pivot")).alias("best")).select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
+    linked = stored(_verified(star, whole, num, den), "linked")
 
     roots = connected_components(linked)
-    labelled = held.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root"))
-    labelled, labelled_path = write_table(labelled, "labelled")
-    mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
-    rest = labelled.join(mixed, "key", "left_semi")
-    rest, rest_path = write_table(rest, "rest")
-    other = rest.select("key", F.col("node").alias("b"), F.col("root").alias("root_b"))
-    across = rest.select("key", F.col("node").alias("a"), "root").join(other, "key").where("a < b and root <> root_b").select("a", "b").distinct()
-    more, more_path = write_table(_verified(across, whole, num, den), "more")
+    labelled = stored(held.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "labelled")
+    mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many")).where("low < high")
+    blocks = mixed.select("key", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks"))
+    rest = labelled.join(blocks, "key").withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    rest = stored(rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))), "rest")
+    vectors = _only(nodes, "node", rest.select(F.col("node").alias("entry")).distinct()).groupBy("node").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
+    level = F.col("key").bitwiseAND(F.lit(0xFF))
+    own = F.filter("keys", lambda k: k.bitwiseAND(F.lit(0xFF)) == level)
+    own = F.when(F.size(own) <= VECTOR_PARTS, own).otherwise(F.array().cast("array<bigint>"))
+    wide = rest.join(vectors, "node").select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "n", "root", own.alias("keys"))
+    dealt = wide.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+    across = stored(_across(dealt, num, den).distinct(), "across")
+    more = stored(_verified(across, whole, num, den), "more")
 
     roots = connected_components(linked.unionByName(more))
     classes = nodes.groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    classes, _ = write_table(classes, "classes")
-    named = classes.join(classes.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id")
-    for path in (lists_path, held_path, wanted_path, whole_path, linked_path, labelled_path, rest_path, more_path):
+    classes = stored(classes, "classes")
+    named, _ = write_table(classes.join(classes.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id"), "named")
+    for path in temporary:
         drop_table(spark, path)
     alone = sets.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
     return nodes.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node").select("doc_id", "n_shingles", "component_id").unionByName(alone)
