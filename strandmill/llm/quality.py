@@ -146,7 +146,9 @@ def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out:
     """doc_id, held_out, score and predicted of every document. rows and max_chars bound the training sample."""
     vectors = word_vectors(context_sums(docs))
     learned = sample(docs, labels, "quality", folds, held_out, rows, max_chars)
-    features = pooled(*text_bytes(pa.array([t for _, t, _ in learned], pa.string())), vectors)
+    texts = pa.RecordBatch.from_arrays([pa.array([t for _, t, _ in learned], pa.string())], ["text"])
+    features = [pooled(*text_bytes(part.column(0)), vectors) for part in chunks(iter([texts]), "text", 1 << 20)]
+    features = np.concatenate(features) if features else np.zeros((0, vectors.shape[1] + 1))
     model = docs.sparkSession.sparkContext.broadcast((vectors, Network(features, np.array([y for *_, y in learned], float))))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
