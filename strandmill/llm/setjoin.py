@@ -38,9 +38,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandmill.llm.bloom import only_possible
 from strandmill.llm.graph import connected_components
 from strandmill.llm.shared import drop_table, write_table
-from strandmill.llm.urls import BROADCAST_BYTES, ROW_BYTES, build_filter, filter_blocks, with_possible
 from strandmill.llm.words import SPACED, U, chunks, mix, shingles, split_words, text_bytes
 
 SET_SCHEMA = "doc_id bigint, n bigint, node bigint, keys array<bigint>"
@@ -164,14 +164,6 @@ def _whole_sets(docs: DataFrame, words_in_shingle: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(work, "node bigint, members binary")
 
 
-def _only(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
-    """rows whose key may be in wanted (a stored table of one column entry): a Bloom filter where it fits a broadcast, else all. An exact join follows."""
-    blocks = filter_blocks(wanted.count())
-    if blocks * ROW_BYTES > BROADCAST_BYTES:
-        return rows
-    return with_possible(rows, key, build_filter(wanted, "entry", blocks), blocks).where("possible").drop("possible")
-
-
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) of nodes whose whole sets link."""
 
@@ -279,14 +271,14 @@ def similarity_components(docs: DataFrame, words_in_shingle: int = 5, num: int =
     postings = nodes.select(F.explode("keys").alias("key"), "node")
     shared = postings.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("key")
     shared = stored(shared, "lists")
-    held = _only(postings, "key", shared.select(F.col("key").alias("entry"))).distinct().join(shared, "key", "left_semi")
+    held = only_possible(postings, "key", shared.select(F.col("key").alias("entry"))).distinct().join(shared, "key", "left_semi")
     held = stored(held, "held")
 
     degree = stored(held.groupBy("node").agg(F.count("*").alias("degree")), "degree")
-    members = _only(nodes, "node", degree.select(F.col("node").alias("entry")))
+    members = only_possible(nodes, "node", degree.select(F.col("node").alias("entry")))
     members = members.groupBy("node").agg(F.min("doc_id").alias("entry"))
     wanted = stored(members.select("entry").where("entry is not null"), "wanted")
-    whole = stored(_whole_sets(_only(docs.select(F.col("doc_id").cast("bigint"), "text"), "doc_id", wanted), words_in_shingle).dropDuplicates(["node"]), "whole")
+    whole = stored(_whole_sets(only_possible(docs.select(F.col("doc_id").cast("bigint"), "text"), "doc_id", wanted), words_in_shingle).dropDuplicates(["node"]), "whole")
 
     pivots = held.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node")).alias("top")).select("key", F.col("top.node").alias("pivot"))
     met = held.join(pivots, "key").where("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("times"))
@@ -299,7 +291,7 @@ def similarity_components(docs: DataFrame, words_in_shingle: int = 5, num: int =
     blocks = mixed.select("key", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks"))
     rest = labelled.join(blocks, "key").withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rest = stored(rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))), "rest")
-    vectors = _only(nodes, "node", rest.select(F.col("node").alias("entry")).distinct()).groupBy("node").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
+    vectors = only_possible(nodes, "node", rest.select(F.col("node").alias("entry")).distinct()).groupBy("node").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
     level = F.col("key").bitwiseAND(F.lit(0xFF))
     own = F.filter("keys", lambda k: k.bitwiseAND(F.lit(0xFF)) == level)
     own = F.when(F.size(own) <= VECTOR_PARTS, own).otherwise(F.array().cast("array<bigint>"))

@@ -3,8 +3,7 @@
 Listed URLs are brought to a canonical form and held in a blocked Bloom filter: each key has one block of eight
 64-bit words and sets one bit in each. Blocks are rows (block, w0 .. w7), built by a grouped bit-or. A URL whose bits
 are all set in its block is a possible hit; only possible hits are shuffled to the exact hash join with the list,
-which removes the filter's false positives. A filter up to BROADCAST_BYTES is broadcast; a larger one is joined on
-its block number. A false positive rate never changes the result.
+which removes the filter's false positives (see bloom). A false positive rate never changes the result.
 
 Host rules stand before the list: the longest rule (host and path together) that fits a URL decides.
 
@@ -19,11 +18,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandmill.llm.bloom import build_filter, filter_blocks, with_possible
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORDS = 8
-#: A block's row: its number and eight words.
-ROW_BYTES = 8 * (WORDS + 1)
-BROADCAST_BYTES = 16 << 20
 
 #: Verdict, host, path.
 RULES = [
@@ -66,32 +63,6 @@ def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> t
     return rule, verdict
 
 
-def _bit(key: Column, i: int) -> Column:
-    return F.shiftright(F.xxhash64(key, F.lit("bit")), 6 * i).bitwiseAND(F.lit(63)).cast("int")
-
-
-def build_filter(keys: DataFrame, key: str, blocks: int) -> DataFrame:
-    """(block, w0 .. w7) of the non-null keys; partial bit-ors come before the shuffle."""
-    one = F.lit(1).cast("bigint")
-    words = [F.bit_or(F.call_function("shiftleft", one, _bit(F.col(key), i))).alias(f"w{i}") for i in range(WORDS)]
-    return keys.where(F.col(key).isNotNull()).groupBy(F.pmod(F.xxhash64(key), F.lit(blocks)).alias("block")).agg(*words)
-
-
-def with_possible(rows: DataFrame, key: str, bloom: DataFrame, blocks: int) -> DataFrame:
-    """rows with a boolean column possible; null keys are not possible."""
-    small = blocks * ROW_BYTES <= BROADCAST_BYTES
-    block = F.when(F.col(key).isNotNull(), F.pmod(F.xxhash64(key), F.lit(blocks)))
-    joined = rows.withColumn("block", block).join(F.broadcast(bloom) if small else bloom, "block", "left")
-    one = F.lit(1).cast("bigint")
-    set_ = [F.col(f"w{i}").bitwiseAND(F.call_function("shiftleft", one, _bit(F.col(key), i))) != 0 for i in range(WORDS)]
-    return joined.withColumn("possible", F.coalesce(reduce(lambda a, b: a & b, set_), F.lit(False))).drop("block", *(f"w{i}" for i in range(WORDS)))
-
-
-def filter_blocks(n: int, bits_per_key: int = 16) -> int:
-    """Blocks for n keys."""
-    return max(16, n * bits_per_key // (64 * WORDS) + 1)
-
-
 def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str, str]] = RULES, n_listed: int | None = None) -> DataFrame:
     """page_id, host, path, rule, verdict and listed (whether the canonical URL is in the list; null where a rule decides).
 
