@@ -27,8 +27,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandmill.llm.bloom import BROADCAST_BYTES, ROW_BYTES, build_filter, filter_blocks, with_possible
 from strandmill.llm.shared import write_table
-from strandmill.llm.urls import BROADCAST_BYTES, ROW_BYTES, build_filter, filter_blocks, with_possible
 from strandmill.llm.words import SPACED, chunks, hashed, split_words, text_bytes
 
 MIN_WORDS = 20
@@ -57,6 +57,13 @@ def line_table(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint"), "text").where("doc_id is not null and text is not null").mapInArrow(work, LINE_SCHEMA)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
+    """Few rows at a time, as each becomes lists of Python numbers."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def blocks(flags: np.ndarray, words: np.ndarray, min_words: int) -> list[tuple[int, int]]:
     """Ranges of lines: maximal runs of flagged lines, over blank lines between them, with enough words."""
     out, start, end, total = [], -1, -1, 0
@@ -122,7 +129,7 @@ def aligned_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     shared = owned.groupBy("doc_id").agg(F.collect_list("hash").alias("known"), F.collect_list("owner").alias("owner"))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             docs, partners, seqs, counts = [], [], [], []
             for doc, hashes, words, known, owner in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 of = dict(zip(known, owner, strict=True))
@@ -140,7 +147,7 @@ def aligned_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     pairs, _ = write_table(pairs, "op6-pairs")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             docs, partners, words, theirs, own = (c.to_pylist() for c in batch.columns)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array([sorted(patience(a, b)) for a, b in zip(theirs, own, strict=True)], pa.list_(pa.int32()))], ["doc_id", "partner", "words", "at"])
 
@@ -149,7 +156,7 @@ def aligned_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     merged = found.groupBy("doc_id").agg(F.first("words").alias("words"), F.collect_list(F.struct("partner", "at")).alias("found"))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             docs, gone, partners = [], [], []
             for doc, words, matches in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 flags = np.zeros(len(words), bool)
