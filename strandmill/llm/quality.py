@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandmill.llm.labelled import fold, sample
+from strandmill.llm.shared import small_batches
 from strandmill.llm.words import ALNUM, SPACED, U, Words, bucketed, chunks, mix, split_words, text_bytes
 
 BITS, DIM = 15, 16
@@ -60,7 +61,7 @@ def context_sums(docs: DataFrame) -> np.ndarray:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = index_vectors().astype(np.float32)
         total = np.zeros((DIM, BUCKETS))
-        for part in chunks(batches, "text", 2 << 20):
+        for part in chunks(batches, "text", 1 << 19):
             bucket, first = token_buckets(*text_bytes(part.column(0)))
             doc = np.repeat(np.arange(len(first) - 1), np.diff(first))
             own = index[bucket]
@@ -144,16 +145,17 @@ class Network:
 
 def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, threshold: float = 0.7, rows: int = TRAIN_ROWS, max_chars: int = TRAIN_CHARS) -> DataFrame:
     """doc_id, held_out, score and predicted of every document. rows and max_chars bound the training sample."""
+    small_batches(docs.sparkSession)
     vectors = word_vectors(context_sums(docs))
     learned = sample(docs, labels, "quality", folds, held_out, rows, max_chars)
     texts = pa.RecordBatch.from_arrays([pa.array([t for _, t, _ in learned], pa.string())], ["text"])
-    features = [pooled(*text_bytes(part.column(0)), vectors) for part in chunks(iter([texts]), "text", 1 << 20)]
+    features = [pooled(*text_bytes(part.column(0)), vectors) for part in chunks(iter([texts]), "text", 1 << 19)]
     features = np.concatenate(features) if features else np.zeros((0, vectors.shape[1] + 1))
     model = docs.sparkSession.sparkContext.broadcast((vectors, Network(features, np.array([y for *_, y in learned], float))))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, network = model.value
-        for part in chunks(batches, "text", 2 << 20):
+        for part in chunks(batches, "text", 1 << 19):
             score = network(pooled(*text_bytes(part.column(2)), table))
             yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(score), pa.array((score >= threshold).astype(np.int32))], ["doc_id", "held_out", "score", "predicted"])
 

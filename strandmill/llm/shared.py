@@ -22,6 +22,13 @@ def shared_folder(spark: SparkSession) -> str:
     return _own[app]
 
 
+def small_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """At most so many rows in a batch for Python from now on: two workers share an executor's memory outside the heap."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name, "10000")) <= rows:
+        spark.conf.set(name, str(rows))
+
+
 def write_table(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """Write df as Parquet in the shared folder and read it back; a lost executor then costs no recomputation."""
     spark = df.sparkSession
