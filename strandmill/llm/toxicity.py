@@ -27,7 +27,7 @@ from strandmill.llm.words import FOLD, U, Words, bucketed, chunks, mix, split_wo
 WINDOW, STRIDE = 40, 30
 WORD_BITS, CHAR_BITS = 14, 12
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND = 6, 6, 8, 4
-TRAIN_ROWS, TRAIN_CHARS, EPOCHS = 6000, 20_000, 6
+TRAIN_ROWS, TRAIN_CHARS, EPOCHS, STEPS = 6000, 20_000, 6, 200
 RESULT_SCHEMA = "doc_id bigint, held_out boolean, score double, predicted int"
 F32 = np.float32
 
@@ -172,8 +172,8 @@ def highest(p: dict, gates: np.ndarray, reader: Reader, which: np.ndarray, step:
     return out
 
 
-def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 11) -> dict:
-    """Parameters, with the share of label 1 as prior; untrained where the sample has one label only."""
+def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, steps: int = STEPS, seed: int = 11) -> dict:
+    """Parameters, with the share of label 1 as prior; untrained where the sample has one label only. A small sample takes more epochs, for as many steps."""
     prior = float(labels.mean()) if len(labels) else 0.5
     if len(labels) < 20 or not 0 < labels.sum() < len(labels):
         return {"prior": prior}
@@ -191,6 +191,7 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, seed: int
     edge = np.searchsorted(reader.doc[order], np.arange(n_docs + 1))
     usable = np.flatnonzero(edge[1:] > edge[:-1])
     mean, square, t = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
+    epochs = max(epochs, -(-steps // max(1, len(usable) // 64)))
     for epoch in range(epochs):
         for batch in np.array_split(rng.permutation(usable), max(1, len(usable) // 64)):
             which = np.concatenate([order[edge[d] : edge[d + 1]] for d in batch])
@@ -274,6 +275,20 @@ def score_toxicity(docs: DataFrame, parameters: dict, folds: int = 5, held_out:
     return docs.select(F.col("doc_id").cast("bigint"), (fold(F.col("doc_id"), folds) == held_out).alias("held_out"), "text").mapInArrow(work, RESULT_SCHEMA)
 
 
+def keep_clean(docs: DataFrame, parameters: dict, threshold: float = 0.5) -> DataFrame:
+    """The rows of docs, whatever their columns, whose score is below the threshold."""
+    model, at = docs.sparkSession.sparkContext.broadcast(parameters), docs.columns.index("text")
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                named = pa.RecordBatch.from_arrays([batch.column(at)], ["text"])
+                parts = [scores(model.value, *text_bytes(part.column(0))) for part in chunks(iter([named]), "text", 2 << 20)]
+                yield batch.filter(pa.array(np.concatenate(parts) < threshold))
+
+    return docs.mapInArrow(work, docs.schema)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every whole text of documents, scored for toxicity."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
