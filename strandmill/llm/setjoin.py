@@ -22,7 +22,8 @@ So no link between different components is lost, and no list is turned into all
 A key is 40 bits of the part's hash, 16 of its number and 8 of the level (0: a subset).
 
 Nodes and shingles are 64-bit hashes. Nulls and texts without words have no set and link with nothing. Repeated rows
-link with each other through their node. A null doc_id is kept, but can't name a component. Extra columns are ignored.
+link with each other through their node. A null doc_id is kept with its own result; texts that only such rows have
+link with equal texts alone, and a component of them alone has a null id. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ from pyspark.sql import functions as F
 
 from strandmill.llm.bloom import only_possible
 from strandmill.llm.graph import connected_components
-from strandmill.llm.shared import drop_table, write_table
+from strandmill.llm.shared import drop_table, release, write_table
 from strandmill.llm.words import SPACED, U, chunks, mix, shingles, split_words, text_bytes
 
 SET_SCHEMA = "doc_id bigint, n bigint, node bigint, keys array<bigint>"
@@ -144,7 +145,7 @@ def keyed_sets(docs: DataFrame, words_in_shingle: int, num: int, den: int) -> Da
             for i, own in shingle_sets(part, words_in_shingle):
                 n[i] = len(own)
                 node[i] = int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
-                keys[i] = np.unique(plan.keys(own)).view(np.int64)
+                keys[i] = plan.keys(own).view(np.int64)
             ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
             yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(node, mask=n == 0), lists], ["doc_id", "n", "node", "keys"])
@@ -266,18 +267,25 @@ def similarity_components(docs: DataFrame, words_in_shingle: int = 5, num: int =
         temporary.append(path)
         return table
 
-    sets, _ = write_table(keyed_sets(docs, words_in_shingle, num, den), "sets")
+    keyed, keyed_path = write_table(keyed_sets(docs, words_in_shingle, num, den), "keyed")
+    sets, _ = write_table(keyed.select("doc_id", "n", "node"), "sets")
     nodes = sets.where("node is not null")
-    postings = nodes.select(F.explode("keys").alias("key"), "node")
-    shared = postings.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first < last").select("key")
-    shared = stored(shared, "lists")
+    # Keys are counted once a node: only its first document's row goes on (and, harmlessly, a few that the filter takes for one).
+    pick = F.coalesce("doc_id", "node")
+    firsts = stored(nodes.groupBy("node").agg(F.min(pick).alias("entry")).select("entry"), "firsts")
+    single = only_possible(keyed.where("node is not null").withColumn("_pick", pick), "_pick", firsts)
+    postings = single.select(F.explode("keys").alias("key"), "node")
+    shared = stored(postings.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "lists")
+    release(spark)
     held = only_possible(postings, "key", shared.select(F.col("key").alias("entry"))).distinct().join(shared, "key", "left_semi")
     held = stored(held, "held")
 
     degree = stored(held.groupBy("node").agg(F.count("*").alias("degree")), "degree")
-    members = only_possible(nodes, "node", degree.select(F.col("node").alias("entry")))
-    members = members.groupBy("node").agg(F.min("doc_id").alias("entry"))
-    wanted = stored(members.select("entry").where("entry is not null"), "wanted")
+    vectors = only_possible(single, "node", degree.select(F.col("node").alias("entry"))).groupBy("node").agg(F.min("doc_id").alias("entry"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    vectors = stored(vectors, "vectors")
+    wanted = vectors.select("entry").where("entry is not null")
+    drop_table(spark, keyed_path)
+    release(spark)
     whole = stored(_whole_sets(only_possible(docs.select(F.col("doc_id").cast("bigint"), "text"), "doc_id", wanted), words_in_shingle).dropDuplicates(["node"]), "whole")
 
     pivots = held.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node")).alias("top")).select("key", F.col("top.node").alias("pivot"))
@@ -291,11 +299,10 @@ def similarity_components(docs: DataFrame, words_in_shingle: int = 5, num: int =
     blocks = mixed.select("key", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks"))
     rest = labelled.join(blocks, "key").withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rest = stored(rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))), "rest")
-    vectors = only_possible(nodes, "node", rest.select(F.col("node").alias("entry")).distinct()).groupBy("node").agg(F.first("n").alias("n"), F.first("keys").alias("keys"))
     level = F.col("key").bitwiseAND(F.lit(0xFF))
     own = F.filter("keys", lambda k: k.bitwiseAND(F.lit(0xFF)) == level)
     own = F.when(F.size(own) <= VECTOR_PARTS, own).otherwise(F.array().cast("array<bigint>"))
-    wide = rest.join(vectors, "node").select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "n", "root", own.alias("keys"))
+    wide = rest.join(vectors.drop("entry"), "node").select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "n", "root", own.alias("keys"))
     dealt = wide.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
     across = stored(_across(dealt, num, den).distinct(), "across")
     more = stored(_verified(across, whole, num, den), "more")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -42,3 +43,9 @@ def drop_table(spark: SparkSession, path: str) -> None:
     """Delete a table that a later table has replaced."""
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete shuffle files that no plan needs any more; it does so when the driver collects its garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
