@@ -27,7 +27,7 @@ from strandmill.llm.words import FOLD, U, Words, bucketed, chunks, mix, split_wo
 WINDOW, STRIDE = 40, 30
 WORD_BITS, CHAR_BITS = 14, 12
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND = 6, 6, 8, 4
-TRAIN_ROWS, TRAIN_CHARS, EPOCHS, STEPS = 6000, 20_000, 6, 200
+TRAIN_ROWS, TRAIN_CHARS, EPOCHS, STEPS = 3000, 20_000, 8, 200
 RESULT_SCHEMA = "doc_id bigint, held_out boolean, score double, predicted int"
 F32 = np.float32
 
