@@ -5,6 +5,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strandmill.functions.genotype import alts_of, exclusion_reason
 
@@ -35,7 +36,11 @@ def left_align(sequence: str, pos: int, ref: str, alt: str) -> tuple[int, str, s
     return pos, ref, alt
 
 
-@F.pandas_udf("canonical_pos long, canonical_ref string, canonical_alt string")
+#: A type object: workers import this module without a session that could parse text.
+_CANONICAL = T.StructType([T.StructField("canonical_pos", T.LongType()), T.StructField("canonical_ref", T.StringType()), T.StructField("canonical_alt", T.StringType())])
+
+
+@F.pandas_udf(_CANONICAL)
 def _normalised(sequence: pd.Series, shift: pd.Series, pos: pd.Series, ref: pd.Series, alt: pd.Series) -> pd.DataFrame:
     rows = []
     for s, k, p, r, a in zip(sequence, shift, pos, ref, alt, strict=True):

@@ -1,0 +1,124 @@
+"""Settings of a run: defaults, checks, and the part that a selection depends on."""
+
+from __future__ import annotations
+
+import json
+import re
+from dataclasses import dataclass, field
+from fractions import Fraction
+
+
+class ConfigError(ValueError):
+    pass
+
+
+def _need(ok: bool, what: str) -> None:
+    if not ok:
+        raise ConfigError(what)
+
+
+def _whole(value, low: int, high: int, name: str) -> None:
+    _need(type(value) is int and low <= value <= high, f"{name} must be a whole number from {low} to {high}")
+
+
+def _share(value, name: str) -> None:
+    _need(isinstance(value, int | float) and not isinstance(value, bool) and 0 < value <= 1, f"{name} must be above 0 and at most 1")
+
+
+@dataclass(frozen=True)
+class Config:
+    pacbio_samples: tuple[str, ...]
+    corresponding: dict[str, tuple[str, ...]]
+    flank_bp: int = 50
+    center_radius_bp: int = 10
+    rotations: tuple[int, ...] = (1, 2, 3, 4, 5)
+    shuffle_kmer: int = 3
+    base_seed: int = 42
+    seed_overrides: tuple = ()
+    min_width: int = 6
+    max_width: int = 15
+    total_length: int = 10_000_000
+    e_max: float = 0.05
+    p_threshold: float = 1e-4
+    pacbio_ratio_min: float = 1.0
+    illumina_ratio_min: float = 1.0
+    support_fraction: float = 1.0
+    min_supported_rotations: int = 3
+    require_all_clones: bool = True
+    require_central: bool = False
+    q_max: float = 0.05
+    min_overlap_bp: int = 6
+    windows_per_shard: int = 50_000
+    grouping_regex: str | None = None
+    unmatched: str = "error"
+    consensus_fraction: str = "0.75"
+    groups: dict[str, tuple[str, ...]] = field(default_factory=dict)
+    external_source: str | None = None
+
+    def __post_init__(self):
+        names = self.pacbio_samples
+        _need(bool(names) and all(isinstance(n, str) and n for n in names) and len(set(names)) == len(names), "pacbio_samples must be distinct names")
+        _need(set(self.corresponding) == set(names), "corresponding must have every pacbio sample and no other")
+        members = [m for v in self.corresponding.values() for m in v]
+        _need(all(self.corresponding.values()) and len(set(members)) == len(members), "corresponding samples must be distinct and present")
+        _whole(self.flank_bp, 0, 10**6, "flank_bp")
+        _whole(self.center_radius_bp, 0, self.flank_bp, "center_radius_bp")
+        _need(tuple(self.rotations) == (1, 2, 3, 4, 5), "rotations must be 1 to 5")
+        _whole(self.shuffle_kmer, 1, 6, "shuffle_kmer")
+        _whole(self.base_seed, 0, 2**63 - 1, "base_seed")
+        _whole(self.min_width, 1, 2 * self.flank_bp + 1, "min_width")
+        _whole(self.max_width, self.min_width, 2 * self.flank_bp + 1, "max_width")
+        _whole(self.total_length, 1, 2**63 - 1, "total_length")
+        for name in ("e_max", "p_threshold", "support_fraction", "q_max"):
+            _share(getattr(self, name), name)
+        for name in ("pacbio_ratio_min", "illumina_ratio_min"):
+            _need(isinstance(getattr(self, name), int | float) and getattr(self, name) > 0, f"{name} must be positive")
+        _whole(self.min_supported_rotations, 1, 5, "min_supported_rotations")
+        _whole(self.min_overlap_bp, 1, self.max_width, "min_overlap_bp")
+        _whole(self.windows_per_shard, 1, 2**31 - 1, "windows_per_shard")
+        _need(type(self.require_all_clones) is bool and type(self.require_central) is bool, "require_* must be true or false")
+        _need(self.unmatched in ("error", "exclude"), "unmatched must be error or exclude")
+        if self.grouping_regex is not None:
+            _need(re.compile(self.grouping_regex).groups == 1, "grouping_regex needs one capture")
+        _share(float(Fraction(self.consensus_fraction)), "consensus_fraction")
+        for name, group in self.groups.items():
+            _need(bool(re.fullmatch(r"[A-Za-z0-9_.-]+", name)) and bool(group) and len(set(group)) == len(group), f"group {name} must have distinct members")
+
+    @classmethod
+    def load(cls, text: str, **overrides) -> Config:
+        """From JSON, or YAML where its library is there; repeated keys are errors. Overrides replace whole values, mappings too."""
+
+        def once(pairs):
+            keys = [k for k, _ in pairs]
+            _need(len(set(keys)) == len(keys), f"repeated keys in {keys}")
+            return dict(pairs)
+
+        try:
+            raw = json.loads(text, object_pairs_hook=once)
+        except json.JSONDecodeError:
+            try:
+                import yaml
+            except ImportError as error:
+                raise ConfigError("YAML needs the yaml library; JSON needs none") from error
+
+            class Once(yaml.SafeLoader):
+                pass
+
+            Once.add_constructor(yaml.resolver.BaseResolver.DEFAULT_MAPPING_TAG, lambda loader, node: once([(loader.construct_object(k, True), loader.construct_object(v, True)) for k, v in node.value]))
+            raw = yaml.load(text, Once)
+        merged = raw | overrides
+        unknown = set(merged) - set(cls.__dataclass_fields__)
+        _need(not unknown, f"unknown settings: {sorted(unknown)}")
+        lists = {k: tuple(v) if isinstance(v, list) else {a: tuple(b) for a, b in v.items()} if isinstance(v, dict) else v for k, v in merged.items()}
+        return cls(**lists)
+
+    def scientific(self) -> dict:
+        """The settings that a selection depends on: not the external source and not the consensus groups."""
+        return {k: getattr(self, k) for k in self.__dataclass_fields__ if k not in ("external_source", "groups", "consensus_fraction")}
+
+    def value(self, dotted: str):
+        """A setting by dotted name, for provenance."""
+        out = self
+        for part in dotted.split("."):
+            out = out[part] if isinstance(out, dict) else getattr(out, part)
+        return out

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -16,7 +17,9 @@ from strandmill.operators import consensus as C
 from strandmill.operators import evidence as E
 from strandmill.operators import families as M
 from strandmill.operators import folds as D
-from strandmill.operators.scan import word_hits
+from strandmill.operators.discover import discover
+from strandmill.operators.scan import Pwm, pwm_hits, word_hits
+from strandmill.operators.shuffle import shuffled
 from strandmill.plans import driver_views as V
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -145,7 +148,7 @@ def family_ids(spark, sf_dir):
 # --- genotypes and alleles
 
 
-@query(V.sql("SELECT gt, alt, len(tokens) AS ploidy, list_bool_or([x = '.' FOR x IN tokens]) AND list_bool_or([x <> '.' FOR x IN tokens]) AS partial_missing, CASE WHEN list_bool_or([x <> '.' AND x <> '0' FOR x IN tokens]) THEN 'alt' WHEN list_bool_and([x = '.' FOR x IN tokens]) THEN 'missing' ELSE 'reference_only' END AS gt_status, count(*) AS n FROM (SELECT gt, alt, string_split_regex(gt, '[/|]') AS tokens FROM records) GROUP BY ALL"))
+@query(V.sql("SELECT gt, alt, CAST(len(tokens) AS INT) AS ploidy, list_bool_or([x = '.' FOR x IN tokens]) AND list_bool_or([x <> '.' FOR x IN tokens]) AS partial_missing, CASE WHEN list_bool_or([x <> '.' AND x <> '0' FOR x IN tokens]) THEN 'alt' WHEN list_bool_and([x = '.' FOR x IN tokens]) THEN 'missing' ELSE 'reference_only' END AS gt_status, count(*) AS n FROM (SELECT gt, alt, string_split_regex(gt, '[/|]') AS tokens FROM records) GROUP BY ALL"))
 def gt_parse(spark, sf_dir):
     r = V.records(spark, sf_dir).groupBy("gt", "alt").agg(F.count("*").alias("n"))
     g = G.parse_gt(F.col("gt"), F.size(G.alts_of(F.col("alt"))))
@@ -157,7 +160,7 @@ def gt_status_counts(spark, sf_dir):
     return V.records(spark, sf_dir).groupBy("dataset_id", G.gt_status(G.alleles_of(F.col("gt"))).alias("gt_status")).agg(F.count("*").alias("n"))
 
 
-@query(V.sql("SELECT len(string_split_regex(gt, '[/|]')) AS ploidy, count(*) AS n FROM records GROUP BY ALL"))
+@query(V.sql("SELECT CAST(len(string_split_regex(gt, '[/|]')) AS INT) AS ploidy, count(*) AS n FROM records GROUP BY ALL"))
 def gt_ploidy(spark, sf_dir):
     return V.records(spark, sf_dir).groupBy(F.size(G.alleles_of(F.col("gt"))).alias("ploidy")).agg(F.count("*").alias("n"))
 
@@ -233,7 +236,7 @@ def boundary_windows(spark, sf_dir):
     return V.records(spark, sf_dir).where(~F.col("eligible")).groupBy("dataset_id").agg(F.count("*").alias("n"))
 
 
-@query(V.sql("SELECT window_id, length(regexp_replace(translate(sequence, 'T', 'N'), '[ACGT]', '', 'g')) AS ambiguity_count FROM windows"))
+@query(V.sql("SELECT window_id, CAST(length(regexp_replace(translate(sequence, 'T', 'N'), '[ACGT]', '', 'g')) AS INT) AS ambiguity_count FROM windows"))
 def ambiguity_counts(spark, sf_dir):
     return V.windows(V.records(spark, sf_dir)).select("window_id", G.ambiguity_count(F.translate("sequence", "T", "N")).alias("ambiguity_count"))
 
@@ -633,3 +636,53 @@ def display_values(spark, sf_dir):
     s = F.col("p_size")
     v = F.when(s % 6 == 0, None).when(s % 5 == 0, float("inf")).when(s % 4 == 0, float("-inf")).otherwise(s.cast("double"))
     return V.table(spark, sf_dir, "part").select("p_partkey", v.alias("v"), R.display(v).alias("shown"))
+
+
+# --- operators that SQL can't express: tests hold them against brute force
+
+
+@query()
+def pwm_scan(spark, sf_dir):
+    """Two matrices over all distinct windows, both strands."""
+    strong = lambda word: tuple(tuple(0.97 if b == c else 0.01 for b in "ACGT") for c in word)
+    models = [Pwm("m1", strong("ACGTTGCA"), 20), Pwm("m2", strong("GATTACA"), 20)]
+    return pwm_hits(V.windows(V.records(spark, sf_dir)), models)
+
+
+@query()
+def kmer_shuffle(spark, sf_dir):
+    """Controls of all distinct windows with the same 3-letter words."""
+    return shuffled(V.windows(V.records(spark, sf_dir)), 3, 42)
+
+
+@query()
+def left_align(spark, sf_dir):
+    """Canonical alleles of all usable ALTs."""
+    each = A.explode_alleles(V.records(spark, sf_dir)).select("contig", "pos", "ref", "allele", "exclusion_reason").distinct()
+    with_sequence = each.join(V.contigs(spark, sf_dir).select("contig", "sequence"), "contig")
+    return A.normalise(with_sequence).select("contig", "pos", "ref", "allele", "exclusion_reason", "canonical_pos", "canonical_ref", "canonical_alt")
+
+
+@query()
+def family_clusters(spark, sf_dir):
+    """Complete-link families of 60 ids over reciprocal edges."""
+    named = _directed(spark, sf_dir).withColumns({"query": F.format_string("m%02d", "query"), "target": F.format_string("m%02d", "target")})
+    pool = spark.range(60).select(F.format_string("m%02d", "id").alias("motif_id"))
+    return M.family_table(pool, M.reciprocal_edges(named, 0.2, 4))
+
+
+@query()
+def discover_motifs(spark, sf_dir):
+    """Motifs of all distinct windows against their shuffled controls."""
+    windows = V.windows(V.records(spark, sf_dir)).select("window_id", "sequence")
+    both = windows.withColumn("is_control", F.lit(False)).unionByName(shuffled(windows, 2, 7).withColumn("is_control", F.lit(True)))
+    rows = [(m.motif_id, "".join("ACGT"[max(range(4), key=r.__getitem__)] for r in m.matrix), float(m.nsites), float(e)) for m, e in discover(both)]
+    return spark.createDataFrame(rows, "motif_id string, consensus string, nsites double, evalue double")
+
+
+@query()
+def motif_similarity(spark, sf_dir):
+    """Directed similarity of the library's words as matrices."""
+    one = {m: np.array([[0.97 if b == c else 0.01 for b in "ACGT"] for c in m]) for m, *_ in V.MODELS}
+    rows = M.similarity(one, 3)
+    return spark.createDataFrame([(r["query"], r["target"], float(r["q"]), r["overlap"], r["strand"]) for r in rows], "query string, target string, q double, overlap int, strand string")
