@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from strandmill.functions.genotype import reverse_complement
 
+#: Two strands of so many words take some megabytes.
+BROADCAST_WORDS = 50_000
 PWM_SCHEMA = "motif_id string, window_id string, start int, stop int, strand string, score double, p double, matched_sequence string"
 
 
@@ -23,15 +25,18 @@ def word_hits(windows: DataFrame, models: DataFrame) -> DataFrame:
     """Every place where a model's word stands on either strand. windows: kind, window_id, sequence; models: motif_id, family_id, rank.
 
     The sequence is cut into words once per word length and joined on the word, so work grows with windows, not with
-    windows times models. models is a library of at most some thousand words and is broadcast.
+    windows times models. A library of up to BROADCAST_WORDS words is broadcast; a larger one is joined by shuffle.
     """
     both = models.select("*", F.col("motif_id").alias("word"), F.lit("+").alias("strand")).unionByName(models.select("*", reverse_complement(F.col("motif_id")).alias("word"), F.lit("-").alias("strand")))
-    lengths = [r[0] for r in models.select(F.length("motif_id")).distinct().collect()]
+    sizes = models.groupBy(F.length("motif_id").alias("width")).count().collect()
+    lengths = sorted(r["width"] for r in sizes)
+    if sum(r["count"] for r in sizes) <= BROADCAST_WORDS:
+        both = F.broadcast(both)
     cut = [windows.select("kind", "window_id", F.lit(w).alias("width"), F.posexplode(F.expr(f"transform(sequence(1, greatest(length(sequence) - {w - 1}, 1)), i -> substring(sequence, i, {w}))")).alias("at", "matched")) for w in lengths]
     places = cut[0]
     for more in cut[1:]:
         places = places.unionByName(more)
-    found = places.where(F.length("matched") == F.col("width")).join(F.broadcast(both), F.col("matched") == F.col("word"))
+    found = places.where(F.length("matched") == F.col("width")).join(both, F.col("matched") == F.col("word"))
     start = F.col("at") + 1
     score = 2.0 * F.col("width") - 0.25 * (start % 4)
     p = (1 + (start * 5 + F.col("rank")) % 9) / F.lit(100000.0)
