@@ -15,8 +15,8 @@ Sets that share a list are candidates, and overlap is always counted on the whol
 * a list's pivot is the member with most shared lists, near the middle of its family; each node is held against the
   pivot it meets most often. That is one pair a node, and gives components;
 * lists that still hold several components are compared in numpy, in blocks of bounded size: a pair across components
-  goes on only where enough of its parts are equal for a link of these sizes, and from one list only, the one of
-  their first equal part. What goes on is verified on the whole sets.
+  goes on only where enough of its parts are equal for a link of these sizes. What goes on is verified on the whole
+  sets.
 So no link between different components is lost, and no list is turned into all its pairs.
 
 A key is 40 bits of the part's hash, 16 of its number and 8 of the level (0: a subset).
@@ -52,7 +52,7 @@ SPARSE = 0xFFFF
 _HASH = 0xFFFFFFFFFF000000
 #: Members of a list that one task compares with as many others.
 BLOCK = 1024
-#: Sets with more parts than this are compared on the whole sets alone.
+#: Of sets with more parts than this, equal parts are counted over the lists instead: their keys would be as long as the lists.
 VECTOR_PARTS = 512
 
 
@@ -190,14 +190,18 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 
 
 def _across(rest: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of nodes of different roots that share a list and may link. rest is dealt and sorted by (key, i, j)."""
+    """Pairs (a, b) of nodes of different roots that share a list and may link. rest is dealt and sorted by (key, i, j).
 
-    def group_pairs(plan: Plan, key: int, cross: bool, side: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, keys: list) -> tuple[np.ndarray, np.ndarray]:
+    A pair comes once, with need 0, where its keys were compared; or once a shared list, with the number of lists that
+    a link needs: all parts, less those that may differ and those that may be empty in both.
+    """
+
+    def group_pairs(plan: Plan, key: int, cross: bool, side: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, filled: np.ndarray, keys: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         tag, place = key & 0xFF, key >> 8 & 0xFFFF
         if not tag:  # the smallest set links with all others of its list
             pivot = np.lexsort((node, n))[0]
             other = np.flatnonzero(root != root[pivot])
-            return np.full(len(other), node[pivot]), node[other]
+            return np.full(len(other), node[pivot]), node[other], np.zeros(len(other), np.int64)
         own = np.array([plan.level(int(x)) for x in n])
         g = len(plan.parts(tag - 1)[0])
         dense = None
@@ -212,25 +216,29 @@ def _across(rest: DataFrame, num: int, den: int) -> DataFrame:
             small, large = np.minimum(n, n[r]), np.maximum(n, n[r])
             fit &= (root != root[r]) & (np.minimum(own, own[r]) == tag - 1) & (den * small >= num * large)
             to = np.flatnonzero(fit)
-            if dense is not None and len(to):
+            total = n[to] + n[r]
+            # Linked sets differ in at most this many shingles, so in at most as many parts.
+            apart = total - 2 * -(-num * total // (num + den))
+            if dense is None:
+                need = g - apart - (g - np.maximum(filled[to], filled[r]))
+            else:
                 same = dense[to] == dense[r]
-                total = n[to] + n[r]
-                # Linked sets differ in at most this many shingles, so in at most as many parts.
-                apart = total - 2 * -(-num * total // (num + den))
-                to, same = (x[same.sum(1) >= g - apart] for x in (to, same))
+                enough = same.sum(1) >= g - apart
+                to, same = to[enough], same[enough]
                 real = same & (dense[r] != 0)
                 first = np.where(real.any(1), real.argmax(1), SPARSE)
                 to = to[first == place]
-            found.append((np.full(len(to), node[r]), node[to]))
-        return np.concatenate([x for x, _ in found]), np.concatenate([x for _, x in found])
+                need = np.zeros(len(to), np.int64)
+            found.append((np.full(len(to), node[r]), node[to], need))
+        return tuple(np.concatenate([x[c] for x in found]) for c in range(3))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan, rest_of = Plan(num, den), None
 
         def pairs(batch: pa.RecordBatch, whole: bool):
             """Pairs of the whole groups of the batch, and the rows of its last group unless whole."""
-            key, i, j, side, node, n, root = (batch.column(c).to_numpy() for c in range(7))
-            lists = batch.column(7)
+            key, i, j, side, node, n, root, filled = (batch.column(c).to_numpy() for c in range(8))
+            lists = batch.column(8)
             flat, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
             edge = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
             starts = np.concatenate([[0], edge])
@@ -238,10 +246,9 @@ def _across(rest: DataFrame, num: int, den: int) -> DataFrame:
             out = []
             for a, b in zip(starts, stops, strict=True) if whole else zip(starts[:-1], stops[:-1], strict=True):
                 if (root[a:b] != root[a]).any():
-                    out.append(group_pairs(plan, int(key[a]), i[a] != j[a], side[a:b], node[a:b], n[a:b], root[a:b], [flat[ends[r] : ends[r + 1]] for r in range(a, b)]))
-            x = np.concatenate([p for p, _ in out]) if out else np.zeros(0, np.int64)
-            y = np.concatenate([q for _, q in out]) if out else np.zeros(0, np.int64)
-            found = pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64())], ["a", "b"])
+                    out.append(group_pairs(plan, int(key[a]), i[a] != j[a], side[a:b], node[a:b], n[a:b], root[a:b], filled[a:b], [flat[ends[r] : ends[r + 1]] for r in range(a, b)]))
+            x, y, need = (np.concatenate([o[c] for o in out]) if out else np.zeros(0, np.int64) for c in range(3))
+            found = pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64()), pa.array(need, pa.int64())], ["a", "b", "need"])
             return found, batch.slice(int(starts[-1]))
 
         for batch in batches:
@@ -254,7 +261,8 @@ def _across(rest: DataFrame, num: int, den: int) -> DataFrame:
         if rest_of is not None:
             yield pairs(rest_of, True)[0]
 
-    return rest.mapInArrow(work, "a bigint, b bigint")
+    emitted = rest.mapInArrow(work, "a bigint, b bigint, need bigint")
+    return emitted.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("need").alias("need")).where("shared >= need").select("a", "b")
 
 
 def similarity_components(docs: DataFrame, words_in_shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
@@ -301,10 +309,11 @@ def similarity_components(docs: DataFrame, words_in_shingle: int = 5, num: int =
     rest = stored(rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))), "rest")
     level = F.col("key").bitwiseAND(F.lit(0xFF))
     own = F.filter("keys", lambda k: k.bitwiseAND(F.lit(0xFF)) == level)
+    filled = F.size(F.filter(own, lambda k: k.bitwiseAND(F.lit(SPARSE << 8)) != SPARSE << 8)).cast("bigint")
     own = F.when(F.size(own) <= VECTOR_PARTS, own).otherwise(F.array().cast("array<bigint>"))
-    wide = rest.join(vectors.drop("entry"), "node").select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "n", "root", own.alias("keys"))
+    wide = rest.join(vectors.drop("entry"), "node").select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "n", "root", filled.alias("filled"), own.alias("keys"))
     dealt = wide.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    across = stored(_across(dealt, num, den).distinct(), "across")
+    across = stored(_across(dealt, num, den), "across")
     more = stored(_verified(across, whole, num, den), "more")
 
     roots = connected_components(linked.unionByName(more))

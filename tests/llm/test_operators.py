@@ -339,7 +339,9 @@ def test_set_join_blocks(spark, monkeypatch):
     want = _components(rows, 4, 85, 100)
     df = spark.createDataFrame(rows, DOC)
     monkeypatch.setattr(setjoin, "BLOCK", 7)
-    assert {r[0]: (r[1], r[2]) for r in setjoin.similarity_components(df, 4, 85, 100).collect()} == want
+    for parts in (512, 3):
+        monkeypatch.setattr(setjoin, "VECTOR_PARTS", parts)
+        assert {r[0]: (r[1], r[2]) for r in setjoin.similarity_components(df, 4, 85, 100).collect()} == want
 
 
 def test_set_join_odd(spark, odd, none):
