@@ -32,6 +32,7 @@ from strandmill.llm.shared import write_table
 from strandmill.llm.words import SPACED, chunks, hashed, split_words, text_bytes
 
 MIN_WORDS = 20
+SALTS = 16
 _SAME = np.arange(256, dtype=np.uint8)
 LINE_SCHEMA = "doc_id bigint, hashes array<bigint>, words array<int>"
 
@@ -125,7 +126,9 @@ def aligned_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     spark = lines.sparkSession
     each = lines.select("doc_id", F.explode(F.array_distinct("hashes")).alias("hash")).where("hash <> 0")
     owners = each.groupBy("hash").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").select("hash", "owner")
-    owned = each.join(owners, "hash").where("owner < doc_id")
+    # A hot line's rows are dealt to SALTS tasks, each with a copy of its owner.
+    salted = owners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    owned = each.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["hash", "salt"]).where("owner < doc_id")
     shared = owned.groupBy("doc_id").agg(F.collect_list("hash").alias("known"), F.collect_list("owner").alias("owner"))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
