@@ -123,7 +123,6 @@ def patience(a: list[int], b: list[int]) -> list[int]:
 
 def aligned_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, gone, partners): line numbers to delete and the earlier documents that have them. lines is read several times."""
-    spark = lines.sparkSession
     each = lines.select("doc_id", F.explode(F.array_distinct("hashes")).alias("hash")).where("hash <> 0")
     owners = each.groupBy("hash").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").select("hash", "owner")
     # A hot line's rows are dealt to SALTS tasks, each with a copy of its owner.
@@ -151,7 +150,7 @@ def aligned_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            docs, partners, words, theirs, own = (c.to_pylist() for c in batch.columns)
+            theirs, own = batch.column(3).to_pylist(), batch.column(4).to_pylist()
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array([sorted(patience(a, b)) for a, b in zip(theirs, own, strict=True)], pa.list_(pa.int32()))], ["doc_id", "partner", "words", "at"])
 
     theirs = single.select(F.col("doc_id").alias("partner"), F.col("hashes").alias("theirs"))

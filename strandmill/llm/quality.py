@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from strandmill.llm.labelled import fold, sample
 from strandmill.llm.shared import small_batches
-from strandmill.llm.words import ALNUM, SPACED, U, Words, bucketed, chunks, mix, split_words, text_bytes
+from strandmill.llm.words import ALNUM, SPACED, U, bucketed, chunks, mix, split_words, text_bytes
 
 BITS, DIM = 15, 16
 BUCKETS = 1 << BITS

@@ -51,7 +51,7 @@ def test_words(kind, pattern):
         for k, w in zip(own, found, strict=True):
             assert names.setdefault(fold(w), got.hash[k]) == got.hash[k]
     assert len(set(names.values())) == len(names)
-    doc, hashes = shingles(got, 3)
+    doc, _ = shingles(got, 3)
     n = [len(re.findall(pattern, fold(t))) for t in texts]
     assert np.bincount(doc, minlength=len(texts)).tolist() == [max(k - 2, min(k, 1)) for k in n]
 
