@@ -128,18 +128,19 @@ def gradients(p: dict, gates: np.ndarray, ids: np.ndarray, live: np.ndarray, sav
     dgates = np.zeros_like(gates)
     for name, at, states in (("uf", 0, sf), ("ub", 1, sb)):
         u, du, carry = p[name], np.zeros_like(p[name]), 0
+        each = np.empty((3 * h, *ids.shape), gates.dtype)
         for t, state, z, r, new, back in reversed(states):
             d = dboth[t, at * h : (at + 1) * h] + carry
             on = live[t]
             dn = d * (1 - z) * (1 - new**2) * on
             dz = d * (state - new) * z * (1 - z) * on
             dr = dn * back * r * (1 - r)
-            dx = np.concatenate([dz, dr, dn])
+            each[:, t] = np.concatenate([dz, dr, dn])
             dback = np.concatenate([dz, dr, dn * r])
             du += dback @ state.T
             carry = np.where(on, d * z, d) + u.T @ dback
-            for row in range(3 * h):
-                dgates[at * 3 * h + row] += np.bincount(ids[t], dx[row], gates.shape[1])
+        for row in range(3 * h):
+            dgates[at * 3 * h + row] = np.bincount(ids.ravel(), each[row].ravel(), gates.shape[1])
         g[name] = du
     return g, dgates
 
