@@ -236,3 +236,23 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stored index of all documents, searched for all 13-word windows of the benchmark."""
     index, _ = write_table(build_index(spark.read.parquet(f"{sf_dir}/documents.parquet")), "op7-index")
     return contamination(index, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+OP7_SQL = r"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+words AS (
+  SELECT kind, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+wanted AS (
+  SELECT DISTINCT id AS item_id, k, array_to_string(w[i:i + k - 1], ' ') AS s
+  FROM (SELECT id, w, least(13, len(w)) AS k, unnest(range(1, len(w) - least(13, len(w)) + 2)) AS i FROM words WHERE kind = 'i' AND len(w) > 0)),
+places AS (SELECT id AS doc_id, w, unnest(range(1, len(w) + 1)) AS i FROM words WHERE kind = 'd'),
+found AS (
+  SELECT doc_id, i, k, item_id
+  FROM (SELECT doc_id, i, k, array_to_string(w[i:i + k - 1], ' ') AS s FROM places, (SELECT DISTINCT k FROM wanted) WHERE i + k - 1 <= len(w)) JOIN wanted USING (k, s)),
+hit AS (SELECT doc_id, count(DISTINCT spot) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + k)) AS spot FROM found) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY doc_id)
+SELECT id AS doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM words LEFT JOIN hit ON hit.doc_id = id LEFT JOIN items ON items.doc_id = id WHERE kind = 'd'
+"""

@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from strandmill.llm.decontamination import op7_decontamination
+from strandmill.llm.decontamination import OP7_SQL, op7_decontamination
 from strandmill.llm.linededup import op6_line_dedup
 from strandmill.llm.media import op10_media
 from strandmill.llm.packing import op9_packing
 from strandmill.llm.pii import op4_pii
 from strandmill.llm.quality import op3_quality
-from strandmill.llm.setjoin import op5_ngram_jaccard
+from strandmill.llm.setjoin import OP5_SQL, op5_ngram_jaccard
 from strandmill.llm.sharding import op8_sharding
 from strandmill.llm.toxicity import op2_toxicity
 from strandmill.llm.urls import OP1_SQL, op1_url_filters
@@ -25,4 +25,4 @@ QUERIES = {
     "op9_packing": op9_packing,
     "op10_media": op10_media,
 }
-ORACLE_SQL = {"op1_url_filters": OP1_SQL}
+ORACLE_SQL = {"op1_url_filters": OP1_SQL, "op5_ngram_jaccard": OP5_SQL, "op7_decontamination": OP7_SQL}

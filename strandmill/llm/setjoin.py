@@ -329,3 +329,17 @@ def similarity_components(docs: DataFrame, words_in_shingle: int = 5, num: int =
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents by sets of 4-word shingles, linked at a similarity of 0.85 or more."""
     return similarity_components(spark.read.parquet(f"{sf_dir}/documents.parquet"), 4, 85, 100)
+
+
+OP5_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, [w FOR w IN string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+') IF w <> ''] AS w FROM documents),
+sets AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct([array_to_string(w[i:i + 3], ' ') FOR i IN range(1, greatest(len(w) - 2, 2))]) END AS s FROM words),
+each AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM each a JOIN each b USING (shingle) WHERE a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach(x, y) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.x, b.y FROM reach r JOIN edges b ON b.x = r.y)
+SELECT s.doc_id, len(s.s) AS n_shingles, (SELECT min(y) FROM reach r WHERE r.x = s.doc_id) AS component_id FROM sets s
+"""

@@ -93,8 +93,9 @@ def test_components(spark):
 # --- 1
 
 
-def test_urls_sql(spark):
-    compare(QUERIES["op1_url_filters"](spark, SF), connect(SF), ORACLE_SQL["op1_url_filters"])
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_sql(spark, name):
+    compare(QUERIES[name](spark, SF), connect(SF), ORACLE_SQL[name])
 
 
 def test_urls_odd(spark):
