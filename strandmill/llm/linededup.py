@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandmill.llm.bloom import BROADCAST_BYTES, ROW_BYTES, build_filter, filter_blocks, with_possible
-from strandmill.llm.shared import write_table
+from strandmill.llm.shared import small_batches, write_table
 from strandmill.llm.words import SPACED, chunks, hashed, split_words, text_bytes
 
 MIN_WORDS = 20
@@ -177,6 +177,7 @@ def aligned_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """documents with their text less the deleted blocks, then n_removed_lines, n_removed_words and partners (null where nothing was deleted)."""
+    small_batches(docs.sparkSession)
     lines, _ = write_table(line_table(docs), "op6-lines")
     gone = aligned_lines(lines, min_words).select(F.col("doc_id").alias("_doc"), F.col("gone").alias("_gone"), F.col("partners").alias("_partners"))
     names = docs.columns

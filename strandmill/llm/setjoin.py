@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 
 from strandmill.llm.bloom import only_possible
 from strandmill.llm.graph import connected_components
-from strandmill.llm.shared import drop_table, release, write_table
+from strandmill.llm.shared import drop_table, release, small_batches, write_table
 from strandmill.llm.words import SPACED, U, chunks, mix, shingles, split_words, text_bytes
 
 SET_SCHEMA = "doc_id bigint, n bigint, node bigint, keys array<bigint>"
@@ -268,6 +268,7 @@ def _across(rest: DataFrame, num: int, den: int) -> DataFrame:
 def similarity_components(docs: DataFrame, words_in_shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
     spark = docs.sparkSession
+    small_batches(spark)
     temporary = []
 
     def stored(df: DataFrame, tag: str) -> DataFrame:
