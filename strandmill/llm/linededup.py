@@ -6,7 +6,9 @@
    keeps hot lines linear: a line of a third of all documents gives each of them one partner.
 3. Each (later document, owner) pair is aligned with patience diff on line hashes: equal ends, then the longest
    increasing chain of lines that are unique in both, then between those again. The rarer a line, the surer it is such
-   an anchor.
+   an anchor. What this leaves (passages in another order, or repeated in either document) is aligned again in regions
+   of its own, each against the whole owner, until no line that the owner has is left: so no run of min_words words or
+   more stays whose lines earlier documents have.
 4. Lines of the later document that some alignment covers form blocks (blank lines between them belong to a block);
    blocks of at least min_words words are deleted, so every deleted line is still in an earlier document.
 
@@ -121,6 +123,16 @@ def patience(a: list[int], b: list[int]) -> list[int]:
     return found
 
 
+def aligned(a: list[int], b: list[int]) -> list[int]:
+    """Places in b that patience diff aligns with a, and then those it left whose line a has in any place.
+
+    A region that is left may stand anywhere in a, and its parts too, down to single lines. Aligning regions until
+    nothing is left thus comes to looking up their lines, which stays linear however often a line repeats.
+    """
+    has = set(a) - {0}
+    return sorted({*patience(a, b), *(k for k, h in enumerate(b) if h in has)})
+
+
 def aligned_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, gone, partners): line numbers to delete and the earlier documents that have them. lines is read several times."""
     each = lines.select("doc_id", F.explode(F.array_distinct("hashes")).alias("hash")).where("hash <> 0")
@@ -151,7 +163,7 @@ def aligned_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             theirs, own = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array([sorted(patience(a, b)) for a, b in zip(theirs, own, strict=True)], pa.list_(pa.int32()))], ["doc_id", "partner", "words", "at"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array([aligned(a, b) for a, b in zip(theirs, own, strict=True)], pa.list_(pa.int32()))], ["doc_id", "partner", "words", "at"])
 
     theirs = single.select(F.col("doc_id").alias("partner"), F.col("hashes").alias("theirs"))
     found = pairs.join(theirs, "partner").select("doc_id", "partner", "words", "theirs", "hashes").mapInArrow(align, "doc_id bigint, partner bigint, words array<int>, at array<int>")

@@ -401,6 +401,33 @@ def test_line_dedup_keeps_first_of_every_line(spark):
     assert sum(len(x) for x in got.values()) < sum(len(t.split("\n")) for _, t in rows)
 
 
+def test_line_dedup_leaves_no_run_that_earlier_documents_have(spark):
+    line = lambda n: " ".join(f"{n}{i}" for i in range(8))
+    p, q = [line(f"p{i}x") for i in range(4)], [line(f"q{i}x") for i in range(4)]
+    a, b, c, u, v, x, y, z, w = ([k] for k in "abcuvxyzw")
+    cases = [
+        ([p + a + q], b + q + c + p, "b\nc"),
+        ([p + x], y + p + z + p + w, "y\nz\nw"),
+        ([u + p + v + p + x], y + p + z, "y\nz"),
+        ([u + p + v + p + x, p], y + p + z, "y\nz"),
+    ]
+    for earlier, later, want in cases:
+        rows = [(i, "\n".join(t)) for i, t in enumerate([*earlier, later])]
+        got = {r["doc_id"]: r for r in linededup.dedup_lines(spark.createDataFrame(rows, DOC)).collect()}
+        assert got[len(earlier)]["text"] == want and got[len(earlier)]["partners"] == [0] and got[0]["text"] == rows[0][1]
+    rng = random.Random(3)
+    passages = [[line(f"{rng.random()}") for _ in range(3)] for _ in range(12)]
+    rows = [(i, "\n".join(t for _ in range(rng.randint(1, 6)) for t in [*rng.choice(passages), *([f"own {i}"] * rng.randint(0, 2))])) for i in range(80)]
+    got = {r["doc_id"]: r["text"].split("\n") for r in linededup.dedup_lines(spark.createDataFrame(rows, DOC)).collect()}
+    seen = set()
+    for i, t in rows:
+        run = 0
+        for t_ in got[i]:
+            run = run + len(t_.split()) if t_ in seen else 0
+            assert run < 20
+        seen |= set(t.split("\n"))
+
+
 # --- 7
 
 
