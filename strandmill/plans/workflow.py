@@ -111,8 +111,21 @@ def transferable(metrics: DataFrame, models: list[Model], config: Config) -> lis
     return [x for x in models if x.motif_id in passed & own and x.evalue < config.e_max]
 
 
+def group_support(rows: DataFrame, by: list[str], config: Config) -> DataFrame:
+    """Per by and group_id: own_support, transfer_support and the votes. rows: by, group_id, sample_name, own, configured, support; a sample is supported by any of its rows."""
+    each = rows.groupBy(*by, "group_id", "sample_name", "own", "configured").agg(F.bool_or("support").alias("support"))
+    votes = E.vote(each.where(~F.col("own")), [*by, "group_id", "configured"], F.col("configured"), ceil_float(config.support_fraction, F.col("configured")))
+    own = each.where("own").select(*by, "group_id", F.col("support").alias("own_support"))
+    return own.join(votes.select(*by, "group_id", F.col("pass").alias("transfer_support"), "supporting_count", "configured_count"), [*by, "group_id"], "left")
+
+
 def select_library(models: list[Model], metrics: DataFrame, config: Config) -> list[tuple[Model, str, int]]:
-    """(representative, family, rank) of families supported in enough rotations, ranked by their weakest evidence."""
+    """(representative, family, rank) of families supported in enough rotations, ranked by their weakest evidence.
+
+    A group is a pacbio sample with its corresponding samples; a family's support in it and a rotation comes from the
+    members found there. Only a member whose own matrix is supported, on the held-out fold of its rotation, in every
+    required group (all of them, or the stable ones) can represent its family; a family without one is left out.
+    """
     import numpy as np
 
     rows = M.similarity({m.motif_id: np.array(m.pwm.matrix) for m in models}, config.min_overlap_bp)
@@ -120,16 +133,34 @@ def select_library(models: list[Model], metrics: DataFrame, config: Config) -> l
     families = M.complete_link([m.motif_id for m in models], {frozenset(p) for p in passing if p[::-1] in passing})
     by_id = {m.motif_id: m for m in models}
     spark = metrics.sparkSession
-    of = spark.createDataFrame([(f["family_id"], i) for f in families for i in f["members"]] or [], "family_id string, motif_id string")
-    ok = supported(F.col("coverage_ratio"), F.col("coverage_difference"), F.col("central_difference"), config.pacbio_ratio_min, config.require_central)
-    rotations = metrics.where(F.col("sample_name").isin(*config.pacbio_samples)).join(F.broadcast(of), "motif_id").groupBy("family_id", F.col("sample_name").alias("dataset_id"), "rotation").agg(F.bool_or(ok).alias("support"))
-    stable = M.stability(rotations, config.min_supported_rotations, config.require_all_clones).where("pass")
-    members = metrics.join(F.broadcast(of), "motif_id").groupBy("family_id", "motif_id").agg(F.min("coverage_ratio").alias("min_ratio"), F.median("coverage_ratio").alias("median_ratio"), F.min("coverage_difference").alias("min_difference"), F.max("real_coverage").alias("source_coverage"))
-    evalues = spark.createDataFrame([(m.motif_id, m.evalue) for m in models] or [], "motif_id string, evalue double")
-    chosen = M.best_representative(members.join(F.broadcast(evalues), "motif_id"))
+    # One row a model and sample: read once, so that the plans below, which use it often, don't each hold the scan's plan.
+    metrics = spark.createDataFrame(metrics.collect(), metrics.schema)
+    of = F.broadcast(spark.createDataFrame([(f["family_id"], i, by_id[i].sample, by_id[i].rotation, by_id[i].evalue) for f in families for i in f["members"]], "family_id string, motif_id string, source string, rotation int, evalue double"))
+    link = spark.createDataFrame([(p, s, s == p, len(c)) for p, c in config.corresponding.items() for s in (p, *c)], "group_id string, sample_name string, own boolean, configured long")
+    gate = lambda low: supported(F.col("coverage_ratio"), F.col("coverage_difference"), F.col("central_difference"), low, config.require_central)
+    scored = metrics.join(of, ["motif_id", "rotation"]).join(F.broadcast(link), "sample_name").withColumn("support", F.when(F.col("own"), gate(config.pacbio_ratio_min)).otherwise(gate(config.illumina_ratio_min)))
+    votes = group_support(scored.where("group_id = source"), ["family_id", "rotation"], config)
+    grid = spark.createDataFrame([(f["family_id"], p, r) for f in families for p in config.pacbio_samples for r in config.rotations], "family_id string, group_id string, rotation int")
+    groups = grid.join(votes, ["family_id", "group_id", "rotation"], "left").withColumn("support", F.coalesce(F.col("own_support") & F.col("transfer_support"), F.lit(False)))
+    groups = spark.createDataFrame(groups.collect(), groups.schema)
+    stable = M.stability(groups.withColumnRenamed("group_id", "dataset_id"), config.min_supported_rotations, config.require_all_clones).where("pass")
+    counts = groups.groupBy("family_id", "group_id").agg(F.count_if("support").alias("supported"))
+    required = counts.where(F.lit(config.require_all_clones) | (F.col("supported") >= config.min_supported_rotations)).join(stable.select("family_id"), "family_id")
+    fewest = required.groupBy("family_id").agg(F.min("supported").alias("min_supported_rotations"))
+    fraction = groups.where("support").groupBy("family_id").agg(F.min(M.support_fraction(F.col("supporting_count"), F.col("configured_count"))).alias("min_fraction"))
+
+    contributing = groups.where("support").join(required, ["family_id", "group_id"]).select("family_id", F.col("group_id").alias("source"), "rotation")
+    candidates = of.join(contributing, ["family_id", "source", "rotation"]).select("family_id", F.col("motif_id").alias("candidate"))
+    exact = group_support(scored, ["motif_id"], config).withColumnRenamed("motif_id", "candidate")
+    valid = M.validate(exact, candidates.join(required, "family_id").select("candidate", "group_id")).where("pass").select(F.col("candidate").alias("motif_id"))
+    used = scored.join(valid, "motif_id").join(required.select("family_id", "group_id"), ["family_id", "group_id"]).where("own or support")
+    least = used.groupBy("family_id", "motif_id", "evalue").agg(F.min("coverage_ratio").alias("min_ratio"), F.median("coverage_ratio").alias("median_ratio"), F.min("coverage_difference").alias("min_difference"), F.max(F.when(F.col("sample_name") == F.col("source"), F.col("real_coverage"))).alias("source_coverage"))
+    chosen = M.best_representative(least)
+
+    members = metrics.join(of, "motif_id").groupBy("family_id", "motif_id").agg(F.min("coverage_ratio").alias("min_ratio"), F.median("coverage_ratio").alias("median_ratio"), F.min("coverage_difference").alias("min_difference"), F.max("real_coverage").alias("source_coverage"))
     pooled = members.groupBy("family_id").agg(F.min("min_ratio").alias("weakest_ratio"), F.median("median_ratio").alias("pooled_ratio"), F.min("min_difference").alias("weakest_difference"), F.avg("source_coverage").alias("mean_coverage"))
-    ranked = M.rank_families(stable.join(pooled, "family_id").withColumn("min_fraction", F.lit(1.0))).join(chosen, "family_id")
-    return [(by_id[r["representative"]], r["family_id"], r["rank"]) for r in ranked.orderBy("rank").collect()]
+    selected = stable.drop("min_supported_rotations").join(fewest, "family_id").join(fraction, "family_id").join(pooled, "family_id").join(chosen, "family_id")
+    return [(by_id[r["representative"]], r["family_id"], r["rank"]) for r in M.rank_families(selected).orderBy("rank").collect()]
 
 
 def apply_library(records: DataFrame, library: list[tuple[Pwm, str, int]], config: Config) -> DataFrame:

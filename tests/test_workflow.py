@@ -67,6 +67,22 @@ def test_workflow(spark, genome):
     assert matrix.count() == 2 * 5 * 38
 
 
+def test_library_holds_validated_matrices_only(spark):
+    config = Config(pacbio_samples=("P1", "P2"), corresponding={"P1": ("I1", "I2"), "P2": ("I3", "I4")}, min_supported_rotations=1, support_fraction=0.5)
+    samples = ["P1", "I1", "I2", "P2", "I3", "I4"]
+    # Per model: word, where it was found, ratio, and the samples without any hit.
+    planted = {
+        "a": ("GATTACACCA", "P1", 2.0, ""), "b": ("GATTACACCA", "P2", 9.0, "I1 I2"),
+        "c": ("CCGTGCGAGG", "P1", 9.0, "I3 I4"), "d": ("CCGTGCGAGG", "P2", 9.0, "I1 I2"),
+        "e": ("TTTGTCTATT", "P1", 5.0, "I2 I4"), "f": ("TTTGTCTATT", "P2", 4.0, "I1 I3"),
+    }
+    models = [W.Model(i, s, 1, 1e-9, W.Pwm(i, tuple(tuple(0.97 if x == y else 0.01 for y in "ACGT") for x in w), 50.0)) for i, (w, s, _, _) in planted.items()]
+    rows = [(i, s, 1, None if s in lost else ratio, None if s in lost else 0.1, 0.1, 0.2) for i, (_, _, ratio, lost) in planted.items() for s in samples]
+    metrics = spark.createDataFrame(rows, "motif_id string, sample_name string, rotation int, coverage_ratio double, coverage_difference double, central_difference double, real_coverage double")
+    # b is stronger than a but fails in P1's group; c and d each fail in the other's; half the votes of e and f rank them below a.
+    assert [(m.motif_id, rank) for m, _, rank in W.select_library(models, metrics, config)] == [("a", 1), ("e", 2)]
+
+
 def test_broken_inputs(spark, genome, tmp_path):
     folder, _ = genome
     config = Config(pacbio_samples=("P1",), corresponding={"P1": ("I1",)}, flank_bp=30)
