@@ -673,10 +673,10 @@ def family_clusters(spark, sf_dir):
 
 @query()
 def discover_motifs(spark, sf_dir):
-    """Motifs of all distinct windows against their shuffled controls."""
+    """Motifs of 6 to 15 letters of all distinct windows against their shuffled controls."""
     windows = V.windows(V.records(spark, sf_dir)).select("window_id", "sequence")
     both = windows.withColumn("is_control", F.lit(False)).unionByName(shuffled(windows, 2, 7).withColumn("is_control", F.lit(True)))
-    rows = [(m.motif_id, "".join("ACGT"[max(range(4), key=r.__getitem__)] for r in m.matrix), float(m.nsites), float(e)) for m, e in discover(both)]
+    rows = [(m.motif_id, "".join("ACGT"[max(range(4), key=r.__getitem__)] for r in m.matrix), float(m.nsites), float(e)) for m, e in discover(both, range(6, 16))]
     return spark.createDataFrame(rows, "motif_id string, consensus string, nsites double, evalue double")
 
 

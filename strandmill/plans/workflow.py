@@ -69,15 +69,15 @@ def seeds(config: Config) -> dict[tuple[str, int, str], int]:
     return {(r["sample_name"], r["rotation"], r["role"]): r["seed"] for r in rows}
 
 
-def discover_models(records: DataFrame, config: Config, motifs: int = 3) -> list[Model]:
-    """Motifs of every pacbio sample and rotation, from the windows outside the held-out fold."""
+def discover_models(records: DataFrame, config: Config, motifs: int | None = None) -> list[Model]:
+    """All motifs below e_max (or the first `motifs`) of every pacbio sample and rotation, from the windows outside the held-out fold."""
     windows, seed, out = scan_windows(records, ["sample_name", "fold_id"]), seeds(config), []
     for sample in config.pacbio_samples:
         for rotation in config.rotations:
             train = windows.where((F.col("sample_name") == sample) & (F.col("fold_id") != rotation)).select("window_id", "sequence")
             control = shuffled(train, config.shuffle_kmer, seed[sample, rotation, "train_shuffle"])
             both = train.withColumn("is_control", F.lit(False)).unionByName(control.withColumn("is_control", F.lit(True)))
-            for k, (pwm, evalue) in enumerate(discover(both, range(config.min_width, config.max_width + 1), motifs), 1):
+            for k, (pwm, evalue) in enumerate(discover(both, range(config.min_width, config.max_width + 1), motifs, config.e_max), 1):
                 name = f"{sample}__r{rotation:02d}__m{k:04d}"
                 out.append(Model(name, sample, rotation, evalue, Pwm(name, pwm.matrix, pwm.nsites)))
     return out

@@ -148,6 +148,26 @@ def test_planted_motif_is_found(spark):
     assert word in ("GATTACA", "TGTAATC") and found[0][1] < 1e-6
 
 
+def test_discovery_finds_every_significant_motif_with_its_neighbours(spark):
+    rng = random.Random(12)
+    rows = []
+    for k, word in enumerate(["GATTACAG", "CCGTGCGA", "TTTGGTTC", "AAGCTAAA"]):
+        for i in range(60):
+            s = "".join(rng.choice("ACGT") for _ in range(40))
+            # One planted word in six has another letter at one place.
+            w = word if i % 6 else word[:3] + "ACGT"["ACGT".index(word[3]) - 1] + word[4:]
+            rows += [(f"p{k}.{i}", s[:16] + w + s[24:], False), (f"c{k}.{i}", s, True)]
+    found = discover(spark.createDataFrame(rows, "window_id string, sequence string, is_control boolean"), range(8, 9))
+    words = {"".join("ACGT"[int(np.argmax(r))] for r in pwm.matrix): pwm.matrix for pwm, _ in found}
+    flip = lambda w: w[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    assert {min(w, flip(w)) for w in words} == {min(w, flip(w)) for w in ("GATTACAG", "CCGTGCGA", "TTTGGTTC", "AAGCTAAA")}
+    assert all(e < 0.05 for _, e in found)
+    holds = lambda w, kind: sum(c == kind and (w in s or flip(w) in s) for _, s, c in rows)
+    for w, matrix in words.items():
+        want = 0.1 + np.array([[max(0, holds(x, False) - holds(x, True)) for x in (w[:i] + base + w[i + 1 :] for base in "ACGT")] for i in range(8)])
+        assert np.allclose(matrix, want / want.sum(1, keepdims=True))
+
+
 def test_families():
     e = lambda *p: {frozenset(x) for x in p}
     assert [f["members"] for f in M.complete_link(list("abcd"), e("ab", "bc", "ac", "cd"))] == [["a", "b", "c"], ["d"]]
