@@ -48,41 +48,56 @@ def family_table(ids: DataFrame, edges: DataFrame) -> DataFrame:
     return ids.sparkSession.createDataFrame([(f["family_id"], m) for f in found for m in f["members"]], "family_id string, motif_id string")
 
 
-def column_distances(a: np.ndarray, b: np.ndarray, min_overlap: int) -> list[tuple[int, int, float]]:
-    """(offset, overlap, mean Euclidean column distance) of every placement of b along a."""
-    out = []
-    for offset in range(-len(b) + min_overlap, len(a) - min_overlap + 1):
-        lo, hi = max(0, offset), min(len(a), offset + len(b))
-        if hi - lo >= min_overlap:
-            d = np.sqrt(((a[lo:hi] - b[lo - offset : hi - offset]) ** 2).sum(1))
-            out.append((offset, hi - lo, float(d.mean())))
-    return out
+#: Bins of a column distance, from 0 to the largest, the root of 2.
+BINS = 1000
+
+
+def binned_distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Binned Euclidean distance of every column of a to every column of b."""
+    square = np.maximum((a**2).sum(1)[:, None] + (b**2).sum(1)[None] - 2 * a @ b.T, 0.0)
+    return np.rint(np.sqrt(square / 2) * BINS).astype(np.int64)
+
+
+def null_tails(columns: np.ndarray, longest: int) -> list[np.ndarray]:
+    """Per overlap up to longest: the exact probability that the binned distances of so many random pairs of columns sum to at most each total."""
+    pairs = np.zeros(BINS + 1)
+    for at in range(0, len(columns), 256):
+        pairs += np.bincount(binned_distances(columns[at : at + 256], columns).ravel(), minlength=BINS + 1)[: BINS + 1]
+    pairs /= max(pairs.sum(), 1.0)
+    mass, tails = np.ones(1), []
+    for _ in range(longest + 1):
+        tails.append(np.minimum(np.cumsum(mass), 1.0))
+        mass = np.convolve(mass, pairs)
+    return tails
 
 
-def similarity(models: dict[str, np.ndarray], min_overlap: int = 6, draws: int = 2000, seed: int = 0) -> list[dict]:
+def similarity(models: dict[str, np.ndarray], min_overlap: int = 6) -> list[dict]:
     """Directed matches of a pool with Benjamini-Hochberg q-values within each query.
 
-    The null of a mean column distance is drawn from all columns of the pool; the best placement on either strand is
-    corrected for the number of placements.
+    The null of a summed column distance is exact for independent pairs of the pool's columns, by dynamic programming
+    over binned distances. The placement of lowest p on either strand (of those, the longest) is corrected for the
+    number of placements.
     """
-    rng = np.random.default_rng(seed)
     columns = np.concatenate(list(models.values())) if models else np.zeros((0, 4))
-    null: dict[int, np.ndarray] = {}
+    tails = null_tails(columns, max(map(len, models.values()), default=0))
     rows = []
     for q in sorted(models):
         tested = []
         for t in sorted(models):
             if q == t:
                 continue
-            places = [(d, n, s) for s, m in (("+", models[t]), ("-", models[t][::-1, ::-1])) for _, n, d in column_distances(models[q], m, min_overlap)]
+            places = []
+            for strand, other in (("+", models[t]), ("-", models[t][::-1, ::-1])):
+                apart = binned_distances(models[q], other)
+                for offset in range(-len(other) + min_overlap, len(models[q]) - min_overlap + 1):
+                    # A placement is a diagonal of the column distances.
+                    line = apart.diagonal(-offset)
+                    if len(line) >= min_overlap:
+                        places.append((float(tails[len(line)][line.sum()]), -len(line), strand))
             if not places:
                 continue
-            d, n, strand = min(places)
-            if n not in null:
-                x, y = (columns[rng.integers(0, len(columns), (draws, n))] for _ in range(2))
-                null[n] = np.sort(np.sqrt(((x - y) ** 2).sum(2)).mean(1))
-            p = (np.searchsorted(null[n], d, "right") + 1) / (draws + 1)
-            tested.append([1 - (1 - p) ** len(places), t, n, strand])
+            p, n, strand = min(places)
+            tested.append([float(-np.expm1(len(places) * np.log1p(-p))) if p < 1 else 1.0, t, -n, strand])
         tested.sort()
         q_value = 1.0
         for rank in range(len(tested), 0, -1):

@@ -1,6 +1,7 @@
 """Truth tables of genotypes, rules, scans and controls."""
 
 import hashlib
+import math
 import random
 from collections import Counter
 
@@ -176,6 +177,28 @@ def test_families():
     assert best["x", "y"] < best["x", "z"]
 
 
+def test_similar_motifs_stay_significant_in_a_large_pool():
+    rng = np.random.default_rng(4)
+    pool = {f"r{i:03d}": rng.dirichlet([0.3] * 4, 10) for i in range(200)}
+    pool |= {f"x{i}": pool["r000"] for i in range(3)}
+    pool["back"] = pool["r000"][::-1, ::-1]
+    rows = {(r["query"], r["target"]): r for r in M.similarity(pool, 6)}
+    same = ["r000", "x0", "x1", "x2", "back"]
+    for a in same:
+        assert all(rows[a, b]["q"] < 1e-6 and rows[a, b]["overlap"] == 10 for b in same if a != b)
+    assert rows["r000", "back"]["strand"] == "-" and rows["r000", "x1"]["strand"] == "+"
+    assert sum(r["q"] <= 0.05 for k, r in rows.items() if not set(k) <= set(same)) < 0.01 * len(rows)
+
+
+def test_null_tail_is_exact():
+    columns = np.eye(4)[[0, 0, 0, 1]]
+    # A pair of columns is equal with probability 10 / 16, else as far apart as can be.
+    tails = M.null_tails(columns, 3)
+    for n in range(4):
+        want = [sum(math.comb(n, k) * (6 / 16) ** k * (10 / 16) ** (n - k) for k in range(total // M.BINS + 1)) for total in range(n * M.BINS + 1)]
+        assert np.allclose(tails[n], want)
+
+
 def test_folds(spark):
     df = spark.createDataFrame([(f"contig{i}", 100 + 10 * i) for i in range(7)], "contig string, length long")
     got = {r["contig"]: r["fold_id"] for r in assign_folds(df).collect()}
