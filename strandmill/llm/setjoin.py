@@ -22,8 +22,8 @@ So no link between different components is lost, and no list is turned into all
 A key is 40 bits of the part's hash, 16 of its number and 8 of the level (0: a subset).
 
 Nodes and shingles are 64-bit hashes. Nulls and texts without words have no set and link with nothing. Repeated rows
-link with each other through their node. A null doc_id is kept with its own result; texts that only such rows have
-link with equal texts alone, and a component of them alone has a null id. Extra columns are ignored.
+link with each other through their node. A null doc_id is kept with its own row; its text links as any other, and a
+component of such rows alone has a null id. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -279,9 +279,10 @@ def similarity_components(docs: DataFrame, words_in_shingle: int = 5, num: int =
     keyed, keyed_path = write_table(keyed_sets(docs, words_in_shingle, num, den), "keyed")
     sets, _ = write_table(keyed.select("doc_id", "n", "node"), "sets")
     nodes = sets.where("node is not null")
-    # Keys are counted once a node: only its first document's row goes on (and, harmlessly, a few that the filter takes for one).
+    # Keys are counted once a node: only its first document's row goes on (and, harmlessly, a few that the filter takes for
+    # one); a row without doc_id only where no document has its set.
     pick = F.coalesce("doc_id", "node")
-    firsts = stored(nodes.groupBy("node").agg(F.min(pick).alias("entry")).select("entry"), "firsts")
+    firsts = stored(nodes.groupBy("node").agg(F.coalesce(F.min("doc_id"), "node").alias("entry")).select("entry"), "firsts")
     single = only_possible(keyed.where("node is not null").withColumn("_pick", pick), "_pick", firsts)
     postings = single.select(F.explode("keys").alias("key"), "node")
     shared = stored(postings.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "lists")
@@ -295,7 +296,11 @@ def similarity_components(docs: DataFrame, words_in_shingle: int = 5, num: int =
     wanted = vectors.select("entry").where("entry is not null")
     drop_table(spark, keyed_path)
     release(spark)
-    whole = stored(_whole_sets(only_possible(docs.select(F.col("doc_id").cast("bigint"), "text"), "doc_id", wanted), words_in_shingle).dropDuplicates(["node"]), "whole")
+    texts = docs.select(F.col("doc_id").cast("bigint"), "text")
+    whole = _whole_sets(only_possible(texts, "doc_id", wanted), words_in_shingle)
+    nameless = vectors.where("entry is null").select(F.col("node").alias("entry"))
+    whole = whole.unionByName(only_possible(_whole_sets(texts.where("doc_id is null"), words_in_shingle), "node", nameless))
+    whole = stored(whole.dropDuplicates(["node"]), "whole")
 
     pivots = held.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node")).alias("top")).select("key", F.col("top.node").alias("pivot"))
     met = held.join(pivots, "key").where("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("times"))

@@ -352,6 +352,28 @@ def test_set_join_odd(spark, odd, none):
     assert setjoin.similarity_components(none, 4, 85, 100).count() == 0
 
 
+@pytest.mark.parametrize("filtered", [True, False])
+def test_set_join_null_ids_link(spark, monkeypatch, filtered):
+    """Rows without doc_id neither break the links of documents with their text nor lose their own, with the filter and without."""
+    if not filtered:
+        monkeypatch.setattr(setjoin, "only_possible", lambda rows, key, wanted: rows)
+    rng = random.Random(8)
+    rows, want = [], {}
+    for i in range(0, 60, 3):
+        base = [f"w{rng.randint(0, 10**6)}" for _ in range(60)]
+        near = lambda k: " ".join([*base[k:], f"end{k}"])  # noqa: B023, E731
+        # Of each family a document, a row of the same text or a text of its own without doc_id, and a near copy of both.
+        rows += [(i + 1, near(0)), (None, near(0) if i % 2 else near(2)), (i, near(4))]
+        want |= {i + 1: i, i: i}
+    # A chain whose middle has no doc_id.
+    base = [f"c{i}" for i in range(100)]
+    rows += [(200, " ".join(base[:90])), (None, " ".join(base[5:95])), (201, " ".join(base[10:])), (None, "alone of its kind")]
+    want |= {200: 200, 201: 200}
+    got = setjoin.similarity_components(spark.createDataFrame(rows, DOC), 4, 85, 100).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got if r["doc_id"] is not None} == want
+    assert sorted((r["component_id"] for r in got if r["doc_id"] is None), key=str) == sorted([*range(0, 60, 3), 200, None], key=str)
+
+
 def test_plan_keys_meet():
     """Any two sets that link share a key, at all sizes."""
     plan, rng = setjoin.Plan(85, 100), np.random.default_rng(3)
