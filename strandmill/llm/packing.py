@@ -7,9 +7,10 @@ solved on their histogram, at most `capacity` numbers on the driver whatever the
    largest length;
 2. the configuration programme over these few sizes is solved by column generation (knapsack pricing) and rounded
    down;
-3. actual lengths take the slots of their group;
-   bins that stay more than `slack` tokens short are given up again;
-4. what is left over, then the small lengths, are put by best fit, longest first, into the space that remains.
+3. actual lengths take the slots: each the longest length up to its size, and the last slot of a bin the longest that
+   fits beside the others, which makes good what rounding lost. A configuration is left once its bins would have more
+   than `spare` tokens more free than configured, so that few sequences are lost to rounding;
+4. the large lengths left over, then the small lengths, are put by best fit, longest first, into the space that remains.
 
 The plan is a list of runs (length, first rank, bins, first sequence, offset). Executors number the pieces of each
 length - in salted buckets, so that no length lands in one task - and look their place up.
@@ -24,6 +25,7 @@ import base64
 import re
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -95,85 +97,122 @@ def tokenize_pieces(docs: DataFrame, make_encoder=default_encoder, capacity: int
     return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(work, PIECE_SCHEMA)
 
 
-def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 3000) -> tuple[np.ndarray, np.ndarray]:
-    """(patterns, how often): the basic optimum of the configuration programme; rounds bounds the pivots, after which the basis is still feasible."""
-    k = len(sizes)
+class _Prices:
+    """Knapsack pricing for sizes above a quarter of the capacity: a bin holds three of them at most."""
+
+    def __init__(self, sizes: np.ndarray, capacity: int):
+        i, j = np.triu_indices(len(sizes))
+        total = sizes[i] + sizes[j]
+        fits = total <= capacity
+        order = np.argsort(total[fits], kind="stable")
+        self.i, self.j, total = i[fits][order], j[fits][order], total[fits][order]
+        # Of the pairs in order of their sum, so many leave room for each size as the third.
+        self.room = np.searchsorted(total, capacity - sizes, "right")
+
+    def best(self, price: np.ndarray) -> tuple[float, list[int]]:
+        """The dearest bin: its price and the numbers of its sizes."""
+        k = int(price.argmax())
+        value, items = float(price[k]), [k]
+        if not len(self.i):
+            return value, items
+        pairs = price[self.i] + price[self.j]
+        x = int(pairs.argmax())
+        if pairs[x] > value:
+            value, items = float(pairs[x]), [int(self.i[x]), int(self.j[x])]
+        third = np.flatnonzero(self.room)
+        if len(third):
+            threes = np.maximum.accumulate(pairs)[self.room[third] - 1] + price[third]
+            k = int(threes.argmax())
+            if threes[k] > value:
+                x = int(pairs[: self.room[third[k]]].argmax())
+                value, items = float(threes[k]), [int(self.i[x]), int(self.j[x]), int(third[k])]
+        return value, items
+
+
+def _inverted(matrix: np.ndarray) -> np.ndarray:
+    """The inverse by Gauss and Jordan, in plain array arithmetic: the driver's threads must not wait for a linear algebra library's."""
+    n = len(matrix)
+    both = np.hstack([matrix, np.eye(n)])
+    for c in range(n):
+        r = c + int(np.abs(both[c:, c]).argmax())
+        both[[c, r]] = both[[r, c]]
+        both[c] /= both[c, c]
+        way = both[:, c].copy()
+        way[c] = 0
+        both -= way[:, None] * both[c]
+    return both[:, n:]
+
+
+def configurations(sizes: np.ndarray, demand: np.ndarray, capacity: int, rounds: int = 4000) -> tuple[np.ndarray, np.ndarray]:
+    """(patterns, how often): the basic optimum of the configuration programme for falling sizes above capacity / 4.
+
+    rounds bounds the pivots, after which the basis is still feasible.
+    """
+    prices = _Prices(sizes, capacity)
     basis = np.diag(capacity // sizes).astype(float)
     inverse = np.diag(1 / (capacity // sizes))
-    amount = inverse @ demand
+    amount = (inverse * demand).sum(1)
     for turn in range(1, rounds + 1):
-        price = np.maximum(inverse.sum(0), 0)
-        best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
-        for c in range(int(sizes.min()), capacity + 1):
-            fit = np.searchsorted(-sizes, -c)  # sizes fall, so those from here on fit
-            value = best[c - sizes[fit:]] + price[fit:]
-            j = int(value.argmax())
-            best[c], last[c] = value[j], fit + j
-            if best[c - 1] > best[c]:
-                best[c], last[c] = best[c - 1], -2
-        if best[capacity] <= 1 + 1e-6:
+        value, items = prices.best(np.maximum(inverse.sum(0), 0))
+        if value <= 1 + 1e-6:
             break
-        pattern, c = np.zeros(k), capacity
-        while c > 0 and last[c] != -1:
-            if last[c] == -2:
-                c -= 1
-            else:
-                pattern[last[c]] += 1
-                c -= sizes[last[c]]
-        way = inverse @ pattern
+        way = inverse[:, items].sum(1)
         ratio = np.where(way > 1e-9, np.maximum(amount, 0) / np.where(way > 1e-9, way, 1), np.inf)
         out = int(ratio.argmin())
         step = ratio[out]
         amount -= step * way
         amount[out] = step
-        basis[:, out] = pattern
+        basis[:, out] = np.bincount(items, minlength=len(sizes))
         row = inverse[out] / way[out]
-        inverse -= np.outer(way, row)
+        inverse -= way[:, None] * row
         inverse[out] = row
-        if not turn % 100:
-            inverse = np.linalg.inv(basis)
-            amount = inverse @ demand
+        if not turn % 500:
+            inverse = _inverted(basis)
+            amount = (inverse * demand).sum(1)
     return basis.T.astype(int), np.maximum(amount, 0)
 
 
-def _equal_groups(left: np.ndarray, small: int, groups: int) -> dict[int, list[list[int]]]:
-    """Lengths above small in groups of equal cardinality: largest length of each -> its [length, pieces], longest first."""
+def _equal_groups(left: np.ndarray, small: int, groups: int) -> tuple[np.ndarray, np.ndarray]:
+    """(sizes, pieces): lengths above small in groups of equal cardinality, rounded up to their group's largest length; longest first."""
     lengths = np.arange(len(left) - 1, small, -1)
-    many = left[lengths]
-    total = int(many.sum())
-    groups = min(groups, total // 8)
-    out: dict[int, list[list[int]]] = {}
-    at = used = 0
-    for share in np.diff(np.linspace(0, total, groups + 1).astype(np.int64)) if groups else ():
-        queue: list[list[int]] = []
-        while share:
-            while used == many[at]:
-                at, used = at + 1, 0
-            take = int(min(share, many[at] - used))
-            queue.append([int(lengths[at]), take])
-            used, share = used + take, share - take
-        out.setdefault(queue[0][0], []).extend(queue)
-    return out
-
-
-def _substituted(slots: list[int], bins: int, queues: dict[int, list[list[int]]]) -> Iterator[tuple[int, list[int]]]:
-    """(bins, actual lengths) of a configuration used `bins` times: runs of bins that hold the same lengths."""
+    ends = np.cumsum(left[lengths])
+    total = int(ends[-1])
+    groups = max(1, min(groups, total // 8))
+    edges = np.unique(np.linspace(0, total, groups + 1).astype(np.int64))
+    sizes = lengths[np.searchsorted(ends, edges[:-1], "right")]
+    size, first = np.unique(-sizes, return_index=True)
+    return -size, np.diff(np.append(edges[:-1][first], total))
+
+
+def _longest(left: np.ndarray, small: int, space: int, taken: list[int]) -> int:
+    """The longest length above small and up to space that is left beside those taken; 0 if none."""
+    for length in range(space, small, -1):
+        if left[length] > taken.count(length):
+            return length
+    return 0
+
+
+def _substituted(slots: list[int], bins: int, left: np.ndarray, small: int, spare: int) -> Iterator[tuple[int, list[int]]]:
+    """(bins, actual lengths) of a configuration used `bins` times, as runs of bins that hold the same lengths.
+
+    A slot takes the longest length up to its size, and the last one the longest up to the space that is there, so
+    what rounding lost in the others is made good. It stops when bins would have over `spare` tokens more free than
+    configured.
+    """
+    capacity = len(left) - 1
     while bins > 0:
-        picks: list[tuple[int, int]] = []
-        for size in slots:
-            queue, i = queues[size], 0
-            while i < len(queue) and picks.count((size, i)) >= queue[i][1]:
-                i += 1
-            if i == len(queue):
+        taken: list[int] = []
+        for k, size in enumerate(slots):
+            length = _longest(left, small, size if k < len(slots) - 1 else capacity - sum(taken), taken)
+            if not length:
                 return
-            picks.append((size, i))
-        step = min(bins, *(queues[size][i][1] // picks.count((size, i)) for size, i in picks))
-        lengths = [queues[size][i][0] for size, i in picks]
-        for size, i in picks:
-            queues[size][i][1] -= step
-        for size in set(slots):
-            queues[size] = [x for x in queues[size] if x[1]]
-        yield step, lengths
+            taken.append(length)
+        if sum(taken) < sum(slots) - spare:
+            return
+        step = min(bins, *(int(left[n]) // taken.count(n) for n in taken))
+        for n in taken:
+            left[n] -= step
+        yield step, taken
         bins -= step
 
 
@@ -205,28 +244,36 @@ def _best_fit(left: np.ndarray, runs: list[list], capacity: int) -> None:
                 space = length
 
 
-def plan_packing(counts: np.ndarray, capacity: int = CAPACITY, groups: int = 256, slack: int = 0) -> np.ndarray:
-    """Rows (length, first rank, bins, first sequence, offset): pieces of the length with ranks from first rank on lie one in a bin.
+@dataclass
+class Plan:
+    """The runs of a packing and how they came about."""
 
-    counts[n] is the number of pieces of length n.
-    """
-    left = counts.astype(np.int64).copy()
+    #: Rows (length, first rank, bins, first sequence, offset): pieces of the length with ranks from first rank on lie one in a bin.
+    rows: np.ndarray
+    sequences: int
+    #: Pieces above a quarter of the capacity, and how many of them lie in bins that a configuration made.
+    large: int
+    configured: int
+
+
+def plan_packing(counts: np.ndarray, capacity: int = CAPACITY, groups: int = 256, spare: int = 1) -> Plan:
+    """The plan for counts[n] pieces of length n."""
+    left, small = counts.astype(np.int64).copy(), capacity // 4
     runs: list[list] = []  # [bins, space left, [(length, offset), ...]]
     if left[capacity]:
         runs.append([int(left[capacity]), 0, [(capacity, 0)]])
         left[capacity] = 0
-    queues = _equal_groups(left, capacity // 4, groups)
-    if queues:
-        sizes = sorted(queues, reverse=True)
-        demand = np.array([sum(n for _, n in queues[s]) for s in sizes], float)
-        patterns, amount = configurations(np.array(sizes), demand, capacity)
-        for pattern, bins in zip(patterns, np.floor(amount + 1e-6).astype(int), strict=True):
-            slots = [s for s, n in zip(sizes, pattern, strict=True) for _ in range(n)]
-            for step, lengths in _substituted(slots, int(bins), queues):
-                if capacity - sum(lengths) <= slack:
-                    runs.append([step, capacity - sum(lengths), [(n, sum(lengths[:i])) for i, n in enumerate(lengths)]])
-                    for n in lengths:
-                        left[n] -= step
+    large = int(left[small + 1 :].sum())
+    if large:
+        sizes, demand = _equal_groups(left, small, groups)
+        patterns, amount = configurations(sizes, demand.astype(float), capacity)
+        used = [(int(n), sorted((int(s) for s, c in zip(sizes, pattern, strict=True) for _ in range(c)), reverse=True)) for pattern, n in zip(patterns, np.floor(amount + 1e-6).astype(np.int64), strict=True)]
+        # Fullest configurations first: those with free space are content with what others leave.
+        for bins, slots in sorted(used, key=lambda x: (-sum(x[1]), x[1])):
+            for step, taken in _substituted(slots, bins, left, small, spare):
+                ends = np.cumsum([0, *taken])
+                runs.append([step, capacity - int(ends[-1]), [(n, int(at)) for n, at in zip(taken, ends, strict=False)]])
+    configured = large - int(left[small + 1 :].sum())
     _best_fit(left, runs, capacity)
     ranks, sequence, rows = np.zeros(capacity + 1, np.int64), 0, []
     for bins, _, made in runs:
@@ -235,7 +282,7 @@ def plan_packing(counts: np.ndarray, capacity: int = CAPACITY, groups: int = 256
             ranks[length] += bins
         sequence += bins * bool(made)
     assert (ranks == counts).all()
-    return np.array(sorted(rows), np.int64).reshape(-1, 5)
+    return Plan(np.array(sorted(rows), np.int64).reshape(-1, 5), sequence, large, configured)
 
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_rows: int = 1_000_000) -> DataFrame:
@@ -243,7 +290,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_rows: int = 1_000_0
     counts = np.zeros(capacity + 1, np.int64)
     for length, n in pieces.groupBy("length").count().collect():  # at most `capacity` rows
         counts[length] = n
-    plan = plan_packing(counts, capacity)
+    plan = plan_packing(counts, capacity).rows
     buckets = max(64, int(counts.max()) // bucket_rows + 1)
     dealt = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(buckets)).cast("int"))
     before = Window.partitionBy("length").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -571,8 +571,9 @@ def test_plan_packing(seed):
     if seed == 5:
         x = np.concatenate([x, np.full(4000, 341)])
     counts = np.bincount(x, minlength=1025)
-    plan = packing.plan_packing(counts)
-    bins = int((plan[:, 3] + plan[:, 2]).max())
+    report = packing.plan_packing(counts)
+    plan, bins = report.rows, report.sequences
+    assert bins == int((plan[:, 3] + plan[:, 2]).max()) and report.configured <= report.large == (x > 256).sum() - (x == 1024).sum()
     fill = np.zeros(bins, np.int64)
     for length, _, many, first, offset in plan[np.argsort(plan[:, 4], kind="stable")]:
         assert (fill[first : first + many] <= offset).all()
@@ -595,6 +596,37 @@ def test_plan_packing(seed):
     assert bins <= 1.03 * (x.sum() / 1024) + 3 or n < 1000
 
 
+@pytest.mark.parametrize("shape", ["uniform", "large", "exponential", "narrow"])
+def test_configurations_place_most_large_pieces(spark, shape):
+    """In the Spark driver, with as many threads as the libraries like."""
+    rng = np.random.default_rng(7)
+    n = 200_000
+    x = {"uniform": rng.integers(1, 1025, n), "large": rng.integers(257, 1025, n), "exponential": np.clip(rng.exponential(300, n).astype(int) + 1, 1, 1024), "narrow": np.clip(rng.normal(600, 90, n).astype(int), 1, 1024)}[shape]
+    report = packing.plan_packing(np.bincount(x, minlength=1025))
+    assert report.configured > 0.8 * report.large
+    # What exceeds half a sequence needs one of its own; what is over 1024 less the shortest shares it with none.
+    bound = max(-(-int(x.sum()) // 1024), int((x > 512).sum()))
+    assert report.sequences <= 1.005 * bound
+
+
+def test_both_encoders_agree(spark):
+    """All code points of the plain class, in contexts that splitting looks at, and every text of the largest test table."""
+    encode = packing.default_encoder()
+    encode("\u3042")  # loads the slower one
+    same = lambda t: encode.whole.encode(t, add_special_tokens=False).ids == encode(t).tolist()
+    points = [chr(c) for c in range(0x250) if packing._PLAIN.fullmatch(chr(c))]
+    assert len(points) > 500
+    frames = ["{}", "a{}b", " {} ", "  {}", "1{}2", "{}{}", "'{}", "{}'s", ".{}!", "\n{}\r\n", "\t{} x", "A{}A", "{} {}", "it'{}e"]
+    assert [c for c in points if not all(same(f.format(c, c)) for f in frames)] == []
+    rng = random.Random(3)
+    assert all(same("".join(rng.choices(points, k=40))) for _ in range(3000))
+    texts = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("text").where("text is not null")
+    plain = [r[0] for r in texts.collect() if "<|" not in r[0] and packing._PLAIN.fullmatch(r[0])]
+    assert len(plain) > 1000
+    ids = encode.whole.encode_batch(plain, add_special_tokens=False)
+    assert all(encode(t).tolist() == i.ids for t, i in zip(plain, ids, strict=True))
+
+
 # --- 10
 
 
