@@ -3,10 +3,6 @@ import sys
 
 import pytest
 
-# Small matrices gain nothing from threads and wait for each other on a busy machine.
-os.environ.setdefault("OMP_NUM_THREADS", "1")
-os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
-
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
