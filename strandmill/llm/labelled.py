@@ -11,16 +11,15 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.pmod(F.crc32(F.encode(F.coalesce(doc_id.cast("string"), F.lit("")), "UTF-8")), F.lit(folds)).cast("int")
 
 
-def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, rows: int, max_chars: int) -> list[tuple[int, str, int]]:
-    """(doc_id, text, label) of at most `rows` labelled documents of at most max_chars characters, outside the held-out fold.
+def sample(docs: DataFrame, labels: DataFrame, label: str, folds: int, held_out: int, rows: int) -> list[tuple[int, str, int]]:
+    """(doc_id, whole text, label) of at most `rows` labelled documents outside the held-out fold, whatever their length.
 
-    Which ones is decided by a hash of doc_id, so the sample doesn't depend on partitions. Longer texts aren't cut:
-    they stay out of training.
+    Which ones is decided by a hash of doc_id, so the sample doesn't depend on partitions. Texts come to the driver one
+    partition at a time.
     """
     fit = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (fold(F.col("doc_id"), folds) != held_out))
     fit = fit.groupBy("doc_id").agg(F.max(label).alias("label"))
-    # Twice the rows wanted, as some texts are too long: a fixed number of ids is broadcast.
-    ids = fit.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * rows)
-    texts = docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
+    texts = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
+    ids = fit.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)  # a fixed number, broadcast
     found = texts.join(F.broadcast(ids), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"), F.max("label").alias("label"))
-    return [tuple(r) for r in found.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()]
+    return [tuple(r) for r in found.orderBy(F.xxhash64("doc_id"), "doc_id").toLocalIterator()]

@@ -28,7 +28,7 @@ BITS, DIM = 15, 16
 BUCKETS = 1 << BITS
 REPEATED, CAPITALS = 0, 1
 SIGNS = SPACED & ~ALNUM
-TRAIN_ROWS, TRAIN_CHARS = 6000, 20_000
+TRAIN_ROWS = 6000
 RESULT_SCHEMA = "doc_id bigint, held_out boolean, score double, predicted int"
 
 
@@ -143,11 +143,11 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(z / self.temperature, -60, 60)))
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, threshold: float = 0.7, rows: int = TRAIN_ROWS, max_chars: int = TRAIN_CHARS) -> DataFrame:
-    """doc_id, held_out, score and predicted of every document. rows and max_chars bound the training sample."""
+def score_quality(docs: DataFrame, labels: DataFrame, folds: int = 4, held_out: int = 2, threshold: float = 0.7, rows: int = TRAIN_ROWS) -> DataFrame:
+    """doc_id, held_out, score and predicted of every document. rows bounds the training sample."""
     small_batches(docs.sparkSession)
     vectors = word_vectors(context_sums(docs))
-    learned = sample(docs, labels, "quality", folds, held_out, rows, max_chars)
+    learned = sample(docs, labels, "quality", folds, held_out, rows)
     texts = pa.RecordBatch.from_arrays([pa.array([t for _, t, _ in learned], pa.string())], ["text"])
     features = [pooled(*text_bytes(part.column(0)), vectors) for part in chunks(iter([texts]), "text", 1 << 19)]
     features = np.concatenate(features) if features else np.zeros((0, vectors.shape[1] + 1))

@@ -28,7 +28,7 @@ from strandmill.llm.words import FOLD, U, Words, bucketed, chunks, mix, split_wo
 WINDOW, STRIDE = 40, 30
 WORD_BITS, CHAR_BITS = 14, 12
 WORD_DIM, CHAR_DIM, HIDDEN, ATTEND = 6, 6, 8, 4
-TRAIN_ROWS, TRAIN_CHARS, EPOCHS, STEPS = 3000, 20_000, 8, 200
+TRAIN_ROWS, EPOCHS, STEPS = 3000, 8, 200
 RESULT_SCHEMA = "doc_id bigint, held_out boolean, score double, predicted int"
 F32 = np.float32
 
@@ -259,9 +259,9 @@ def scores(p: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return out
 
 
-def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, rows: int = TRAIN_ROWS, max_chars: int = TRAIN_CHARS) -> dict:
-    """A network trained on at most `rows` labelled documents of at most max_chars characters each."""
-    learned = sample(docs, labels, "toxic", folds, held_out, rows, max_chars)
+def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, rows: int = TRAIN_ROWS) -> dict:
+    """A network trained on at most `rows` labelled documents."""
+    learned = sample(docs, labels, "toxic", folds, held_out, rows)
     return train([t for _, t, _ in learned], np.array([y for *_, y in learned], F32))
 
 
