@@ -1,21 +1,21 @@
 """Line dedup by pairwise alignment.
 
-1. Each line that isn't blank gets a hash; the owner of a hash is the document of smallest doc_id that has the line.
-2. In a later document, runs of consecutive lines that earlier documents have are found; only runs of at least
-   min_words words can be deleted, and the owners of their lines are the documents to align with. One owner a line
-   keeps hot lines linear: a line of a third of all documents gives each of them one partner.
-3. Each (later document, owner) pair is aligned with patience diff on line hashes: equal ends, then the longest
-   increasing chain of lines that are unique in both, then between those again. The rarer a line, the surer it is such
-   an anchor. What this leaves (passages in another order, or repeated in either document) is aligned again in regions
-   of its own, each against the whole owner, until no line that the owner has is left: so no run of min_words words or
-   more stays whose lines earlier documents have.
+1. Each line that isn't blank gets a hash. Documents stand in the order of doc_id (those of one doc_id: of a hash of the
+   text). A hash has some owners: the first document that has the line, and the first in each of OWNERS random parts.
+2. In a later document, runs of consecutive lines that earlier documents have are found; only runs of at least min_words
+   words can be deleted. Documents to align with are found through the rarest lines of these runs first: the owner that
+   has most lines not yet accounted for, until each line has a partner. So a hot line costs a document one partner.
+3. Each pair is aligned with patience diff on line hashes: equal ends, then the longest increasing chain of lines that
+   are unique in both, then between those again. What this leaves (passages in another order, or repeated in either
+   document) is aligned again in regions of its own, each against the whole partner, until no line that the partner has
+   is left: so no run of min_words words or more stays whose lines earlier documents have.
 4. Lines of the later document that some alignment covers form blocks (blank lines between them belong to a block);
    blocks of at least min_words words are deleted, so every deleted line is still in an earlier document.
 
-Lines equal byte for byte share a hash (64 bits). Nulls: a null text has no lines and stays null; a document with a
-null doc_id has no place in the order and stays as it is. Rows that repeat a doc_id count as one document: they don't
-delete each other's lines. Empty and very long texts are ordinary. Extra columns of documents are kept, whatever
-their names. An empty table gives an empty result.
+Lines equal byte for byte share a hash (64 bits); so do rows, by doc_id and text. Nulls: a null text has no lines and
+stays null; a document with a null doc_id has no place in the order and stays as it is. Rows with the same doc_id and
+text are one document: they don't delete each other's lines. Empty and very long texts are ordinary. Extra columns of
+documents are kept, whatever their names. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,22 +29,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmill.llm.bloom import BROADCAST_BYTES, ROW_BYTES, build_filter, filter_blocks, with_possible
-from strandmill.llm.shared import small_batches, write_table
+from strandmill.llm.bloom import split_possible
+from strandmill.llm.shared import drop_table, fresh, row_key, small_batches, spread_join, write_table
 from strandmill.llm.words import SPACED, chunks, hashed, split_words, text_bytes
 
 MIN_WORDS = 20
 SALTS = 16
+OWNERS = 3
 _SAME = np.arange(256, dtype=np.uint8)
-LINE_SCHEMA = "doc_id bigint, hashes array<bigint>, words array<int>"
+LINE_SCHEMA = "doc_id bigint, row bigint, hashes array<bigint>, words array<int>"
+GONE_SCHEMA = "entry bigint, kept array<struct<at int, n int>>, n_lines int, n_words int, partners array<bigint>"
 
 
 def line_table(docs: DataFrame) -> DataFrame:
-    """Per document with a doc_id and a text: hash (0 for a blank line) and words of each line."""
+    """Per document with a doc_id and a text: its row key, and hash (0 for a blank line) and words of each line."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text"):
-            data, offsets = text_bytes(part.column(1))
+            data, offsets = text_bytes(part.column(2))
             breaks = np.flatnonzero(data == 10)
             start = np.sort(np.concatenate([offsets[:-1], breaks + 1]))
             # A text's last byte may be a line break: the empty line after it starts where the next text does.
@@ -55,9 +57,10 @@ def line_table(docs: DataFrame) -> DataFrame:
             count = np.searchsorted(word.start, end) - np.searchsorted(word.start, start)
             hashes = np.where(count > 0, hashed(data, start, end, _SAME), 0).astype(np.uint64).view(np.int64)
             ends = pa.array(first.astype(np.int32))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.ListArray.from_arrays(ends, pa.array(hashes)), pa.ListArray.from_arrays(ends, pa.array(count.astype(np.int32)))], ["doc_id", "hashes", "words"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.ListArray.from_arrays(ends, pa.array(hashes)), pa.ListArray.from_arrays(ends, pa.array(count.astype(np.int32)))], ["doc_id", "row", "hashes", "words"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").where("doc_id is not null and text is not null").mapInArrow(work, LINE_SCHEMA)
+    own = docs.select(F.col("doc_id").cast("bigint"), row_key().alias("row"), "text")
+    return own.where("doc_id is not null and text is not null").mapInArrow(work, LINE_SCHEMA)
 
 
 def _slices(batches: Iterator[pa.RecordBatch], rows: int = 64) -> Iterator[pa.RecordBatch]:
@@ -133,80 +136,112 @@ def aligned(a: list[int], b: list[int]) -> list[int]:
     return sorted({*patience(a, b), *(k for k, h in enumerate(b) if h in has)})
 
 
-def aligned_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, gone, partners): line numbers to delete and the earlier documents that have them. lines is read several times."""
-    each = lines.select("doc_id", F.explode(F.array_distinct("hashes")).alias("hash")).where("hash <> 0")
-    owners = each.groupBy("hash").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("owner < last").select("hash", "owner")
-    # A hot line's rows are dealt to SALTS tasks, each with a copy of its owner.
-    salted = owners.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    owned = each.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).join(salted, ["hash", "salt"]).where("owner < doc_id")
-    shared = owned.groupBy("doc_id").agg(F.collect_list("hash").alias("known"), F.collect_list("owner").alias("owner"))
+def partners_for(runs: list[tuple[int, int]], hashes: list[int], rarity: dict[int, int], owners: dict[int, list[tuple[int, int]]]) -> list[tuple[int, int]]:
+    """Owners (doc_id, row) that together have every line of the runs, found from the rarest line on."""
+    lines = sorted({h for a, b in runs for h in hashes[a:b] if h}, key=lambda h: (rarity[h], h))
+    of: dict[tuple[int, int], set[int]] = {}
+    for h in lines:
+        for o in owners[h]:
+            of.setdefault(o, set()).add(h)
+    out, open_ = [], set(lines)
+    for h in lines:
+        if h in open_:
+            best = max(owners[h], key=lambda o: (len(of[o] & open_), (-o[0], -o[1])))
+            out.append(best)
+            open_ -= of[best]
+    return out
+
+
+def gone_lines(lines: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """GONE_SCHEMA: per row that loses lines, the ranges of those that stay, and the doc_ids that have the others. lines is read several times."""
+    spark, paths = lines.sparkSession, []
+
+    def stored(df: DataFrame, tag: str) -> DataFrame:
+        table, path = write_table(df, tag)
+        paths.append(path)
+        return table
+
+    single = lines.dropDuplicates(["row"])
+    place = F.struct("doc_id", "row")
+    each = lines.select("doc_id", "row", F.explode(F.array_distinct("hashes")).alias("hash")).where("hash <> 0")
+    part = F.pmod(F.col("row"), F.lit(OWNERS))
+    owners = each.groupBy("hash").agg(F.count("*").alias("rarity"), F.max(place).alias("last"), *(F.min(F.when(part == k, place)).alias(f"o{k}") for k in range(OWNERS)))
+    owners = owners.withColumn("owners", F.filter(F.array(*(f"o{k}" for k in range(OWNERS))), lambda o: o.isNotNull() & (o < F.col("last")))).where(F.size("owners") > 0)
+    # A hot line's rows are dealt to SALTS tasks, each with a copy of its owners.
+    salted = owners.select("hash", "rarity", "owners", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    owned = each.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(salted, ["hash", "salt"])
+    owned = owned.select("row", "hash", "rarity", F.filter("owners", lambda o: o < F.struct(F.col("doc_id"), F.col("row"))).alias("owners")).where(F.size("owners") > 0)
+    shared = owned.distinct().groupBy("row").agg(F.collect_list(F.struct("hash", "rarity", "owners")).alias("known"))
 
     def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
-            docs, partners, seqs, counts = [], [], [], []
-            for doc, hashes, words, known, owner in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                of = dict(zip(known, owner, strict=True))
-                runs = blocks(np.array([h in of for h in hashes], bool), np.array(words), min_words)
-                for partner in sorted({of[h] for a, b in runs for h in hashes[a:b] if h}):
-                    docs.append(doc)
-                    partners.append(partner)
-                    seqs.append(hashes)
-                    counts.append(words)
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(partners, pa.int64()), pa.array(seqs, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int32()))], ["doc_id", "partner", "hashes", "words"])
-
-    single = lines.dropDuplicates(["doc_id"])
-    with_lines = single.join(shared, "doc_id").select("doc_id", "hashes", "words", "known", "owner")
-    pairs = with_lines.mapInArrow(choose, "doc_id bigint, partner bigint, hashes array<bigint>, words array<int>")
-    pairs, _ = write_table(pairs, "op6-pairs")
+            out: list[tuple] = []
+            for row, hashes, words, known in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                owners = {k["hash"]: [(o["doc_id"], o["row"]) for o in k["owners"]] for k in known}
+                runs = blocks(np.array([h in owners for h in hashes], bool), np.array(words), min_words)
+                out += [(row, of, other, hashes, words) for of, other in partners_for(runs, hashes, {k["hash"]: k["rarity"] for k in known}, owners)]
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(types)], ["row", "doc_id", "partner", "hashes", "words"])
+
+    pairs = single.join(shared, "row").select("row", "hashes", "words", "known").mapInArrow(choose, "row bigint, doc_id bigint, partner bigint, hashes array<bigint>, words array<int>")
+    pairs = stored(pairs, "op6-pairs")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches):
             theirs, own = batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array([aligned(a, b) for a, b in zip(theirs, own, strict=True)], pa.list_(pa.int32()))], ["doc_id", "partner", "words", "at"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array([aligned(a, b) for a, b in zip(theirs, own, strict=True)], pa.list_(pa.int32()))], ["row", "doc_id", "words", "at"])
 
-    theirs = single.select(F.col("doc_id").alias("partner"), F.col("hashes").alias("theirs"))
-    found = pairs.join(theirs, "partner").select("doc_id", "partner", "words", "theirs", "hashes").mapInArrow(align, "doc_id bigint, partner bigint, words array<int>, at array<int>")
-    merged = found.groupBy("doc_id").agg(F.first("words").alias("words"), F.collect_list(F.struct("partner", "at")).alias("found"))
+    theirs = single.select(F.col("row").alias("partner"), F.col("hashes").alias("theirs"))
+    found = spread_join(pairs, theirs, "partner", "row", pairs).select("row", "doc_id", "words", "theirs", "hashes").mapInArrow(align, "row bigint, doc_id bigint, words array<int>, at array<int>")
+    merged = found.groupBy("row").agg(F.first("words").alias("words"), F.collect_list(F.struct("doc_id", "at")).alias("found"))
 
     def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept_type = pa.list_(pa.struct([("at", pa.int32()), ("n", pa.int32())]))
         for batch in _slices(batches):
-            docs, gone, partners = [], [], []
-            for doc, words, matches in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                flags = np.zeros(len(words), bool)
+            out: list[tuple] = []
+            for row, words, matches in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                flags, words = np.zeros(len(words), bool), np.array(words)
                 for m in matches:
                     flags[m["at"]] = True
-                ranges = blocks(flags, np.array(words), min_words)
+                ranges = blocks(flags, words, min_words)
                 if ranges:
-                    lost = [i for a, b in ranges for i in range(a, b)]
-                    docs.append(doc)
-                    gone.append(lost)
-                    partners.append(sorted(m["partner"] for m in matches if set(m["at"]) & set(lost)))
-            yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), pa.array(gone, pa.list_(pa.int32())), pa.array(partners, pa.list_(pa.int64()))], ["doc_id", "gone", "partners"])
-
-    return write_table(merged.mapInArrow(decide, "doc_id bigint, gone array<int>, partners array<bigint>"), "op6-gone")[0]
+                    lost = np.zeros(len(words), bool)
+                    for a, b in ranges:
+                        lost[a:b] = True
+                    stay = [(a, b) for a, b in zip([0, *(b for _, b in ranges)], [*(a for a, _ in ranges), len(words)], strict=True) if a < b]
+                    out.append((row, [{"at": a, "n": b - a} for a, b in stay], int(lost.sum()), int(words[lost].sum()), sorted({m["doc_id"] for m in matches if lost[m["at"]].any()})))
+            types = [pa.int64(), kept_type, pa.int32(), pa.int32(), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in out], t) for c, t in enumerate(types)], ["entry", "kept", "n_lines", "n_words", "partners"])
+
+    gone, _ = write_table(merged.mapInArrow(decide, GONE_SCHEMA), "op6-gone")
+    for path in paths:
+        drop_table(spark, path)
+    return gone
+
+
+def deduped(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, str]:
+    """docs with their text less the deleted blocks, and the name of one more column: n_lines, n_words and partners of what was deleted, null where nothing was."""
+    spark, names = docs.sparkSession, docs.columns
+    small_batches(spark)
+    lines, path = write_table(line_table(docs), "op6-lines")
+    gone = gone_lines(lines, min_words)
+    drop_table(spark, path)
+    key, entry, change = fresh(names, "row"), fresh(names, "entry"), fresh(names, "change")
+    table = gone.select(F.col("entry").alias(entry), F.struct("kept", "n_lines", "n_words", "partners").alias(change))
+    # Documents that surely lose nothing aren't shuffled.
+    same, touched = split_possible(docs.withColumn(key, row_key()), key, gone)
+    joined = touched.join(table, F.col(key) == F.col(entry), "left").select(*names, change)
+    out = same.select(*names, F.lit(None).cast(joined.schema[change].dataType).alias(change)).unionByName(joined)
+    lines_ = F.split("text", "\n", -1)
+    left = F.array_join(F.flatten(F.transform(F.col(change)["kept"], lambda r: F.slice(lines_, r["at"] + 1, r["n"]))), "\n")
+    return out.select(*(F.when(F.col(change).isNull(), F.col("text")).otherwise(left).alias("text") if n == "text" else F.col(n) for n in names), change), change
 
 
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """documents with their text less the deleted blocks, then n_removed_lines, n_removed_words and partners (null where nothing was deleted)."""
-    small_batches(docs.sparkSession)
-    lines, _ = write_table(line_table(docs), "op6-lines")
-    gone = aligned_lines(lines, min_words).select(F.col("doc_id").alias("_doc"), F.col("gone").alias("_gone"), F.col("partners").alias("_partners"))
-    names = docs.columns
-    blocks_ = filter_blocks(gone.count())
-    if blocks_ * ROW_BYTES <= BROADCAST_BYTES:
-        # Documents that surely lose nothing aren't shuffled.
-        keyed = with_possible(docs.withColumn("_key", F.col("doc_id").cast("bigint")), "_key", build_filter(gone, "_doc", blocks_), blocks_)
-        same = keyed.where(~F.col("possible")).select(*names, F.lit(None).cast("array<int>").alias("_gone"), F.lit(None).cast("array<bigint>").alias("_partners"))
-        touched = keyed.where("possible")
-    else:
-        same, touched = None, docs.withColumn("_key", F.col("doc_id").cast("bigint"))
-    joined = touched.join(gone, touched["_key"] == gone["_doc"], "left").select(*(touched[n] for n in names), "_gone", "_partners")
-    out = joined if same is None else same.unionByName(joined)
-    left = F.expr("array_join(filter(split(text, '\\n', -1), (line, i) -> not array_contains(_gone, i)), '\\n')")
-    words = F.expr("aggregate(filter(split(text, '\\n', -1), (line, i) -> array_contains(_gone, i)), 0, (n, line) -> n + size(filter(split(line, '[ \\t-\\r]+'), w -> w <> '')))")
-    removed = {"n_removed_lines": F.coalesce(F.size("_gone"), F.lit(0)), "n_removed_words": F.when(F.col("_gone").isNull(), 0).otherwise(words), "partners": F.col("_partners")}
-    return out.select(*(F.when(F.col("_gone").isNull(), F.col("text")).otherwise(left).alias("text") if n == "text" else F.col(n) for n in names), *(c.alias(n) for n, c in removed.items() if n not in names))
+    """docs with their text less the deleted blocks, then n_removed_lines, n_removed_words and partners (null where nothing was deleted) unless docs has such a column."""
+    out, change = deduped(docs, min_words)
+    more = {"n_removed_lines": F.coalesce(F.col(change)["n_lines"], F.lit(0)), "n_removed_words": F.coalesce(F.col(change)["n_words"], F.lit(0)), "partners": F.col(change)["partners"]}
+    return out.select(*docs.columns, *(c.alias(n) for n, c in more.items() if n not in docs.columns))
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

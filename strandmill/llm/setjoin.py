@@ -10,20 +10,25 @@ g > k parts some part is equal in both; parts that are empty are allowed for by
 than x empty ones also enters the list of such sets. g and k follow from size levels, each 1 / t wide: a set enters
 its own level and the one below. The boundary is the largest size at which the subsets cost less than the lists.
 
+This departs from lists of single shingles, rare ones first: whatever order the shingles have, the passage that a third
+of all documents share would be in the prefix of short ones and make one list of them all.
+
 Sets that share a list are candidates, and overlap is always counted on the whole sets:
 * equal sets are one node from the start;
 * a list's pivot is the member with most shared lists, near the middle of its family; each node is held against the
-  pivot it meets most often. That is one pair a node, and gives components;
-* lists that still hold several components are compared in numpy, in blocks of bounded size: a pair across components
-  goes on only where enough of its parts are equal for a link of these sizes. What goes on is verified on the whole
-  sets.
-So no link between different components is lost, and no list is turned into all its pairs.
-
-A key is 40 bits of the part's hash, 16 of its number and 8 of the level (0: a subset).
-
-Nodes and shingles are 64-bit hashes. Nulls and texts without words have no set and link with nothing. Repeated rows
-link with each other through their node. A null doc_id is kept with its own row; its text links as any other, and a
-component of such rows alone has a null id. Extra columns are ignored.
+  pivot it meets most often. That is one pair a node, and gives most components;
+* lists that still hold several components are compared in numpy, in blocks of bounded size, but only nodes that are in
+  as many of them as a link needs.
+Before its sets are fetched, a pair must pass a bound: a part's signature is a byte of its hash and its number of
+shingles, and parts that differ add up to a least difference of the sets, which a link of these sizes must allow. So no
+link between different components is lost, and no list is turned into all its pairs.
+
+A list key is 34 bits of the part's hash, 6 of its number of shingles (63: that or more), 16 of its place and 8 of the
+level's tag, its number + 1. Subset keys have tag 0.
+
+Nodes and shingles are 64-bit hashes, and so are rows: row is the hash of doc_id and text. Nulls and texts without words
+have no set and link with nothing. Repeated rows link with each other through their node. A null doc_id is kept with its
+own row; its text links as any other, and a component of such rows alone has a null id. Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -36,23 +41,27 @@ from math import ceil, comb
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandmill.llm.bloom import only_possible
 from strandmill.llm.graph import connected_components
-from strandmill.llm.shared import drop_table, release, small_batches, write_table
+from strandmill.llm.shared import drop_table, release, row_key, small_batches, spread_join, write_table
 from strandmill.llm.words import SPACED, U, chunks, mix, shingles, split_words, text_bytes
 
-SET_SCHEMA = "doc_id bigint, n bigint, node bigint, keys array<bigint>"
+SET_SCHEMA = "doc_id bigint, row bigint, n bigint, node bigint, keys array<bigint>"
+VECTOR_SCHEMA = "node bigint, n bigint, own int, tag int, need int, parts int, vector binary"
 #: Work for a key in an inverted list, against a subset key: its candidates have to be verified.
 LIST_COST = 8
 #: The part number in the key of the list of sets with many empty parts.
 SPARSE = 0xFFFF
-_HASH = 0xFFFFFFFFFF000000
+_HASH = 0xFFFFFFFFC0000000
+_SUBSET = 0xFFFFFFFFFFFFFF00
+#: Largest number of shingles that a key and a signature tell.
+MANY = 63
 #: Members of a list that one task compares with as many others.
 BLOCK = 1024
-#: Of sets with more parts than this, equal parts are counted over the lists instead: their keys would be as long as the lists.
+#: Sets with more parts than this don't take their signatures to every list; the lists that two of them share are counted instead.
 VECTOR_PARTS = 512
 
 
@@ -97,6 +106,31 @@ class Plan:
         g, x = self._parts(self.starts[level + 1] - 1)
         return np.array([(i << 64) // g for i in range(g)], U), x
 
+    def apart(self, total: np.ndarray | int):
+        """Most shingles that linked sets of so many together differ in."""
+        return total - 2 * -(-self.num * total // (self.num + self.den))
+
+    def vectors(self, n: int, keys: np.ndarray) -> list[tuple[int, int, int, int, bytes]]:
+        """(own tag, tag, need, parts, signature) of a set at its own tag and the one below; sets below all levels have tag 0 alone.
+
+        A linked set of no lower tag shares `need` lists of the tag at least.
+        """
+        own = self.level(n) + 1 if n >= self.lowest else 0
+        out = []
+        for tag in {own, max(own - 1, 0)}:
+            if not tag:
+                out.append((own, 0, 1, 0, b""))
+                continue
+            g = len(self.parts(tag - 1)[0])
+            mine = keys[(keys & U(0xFF)) == U(tag)]
+            place = (mine >> U(8) & U(SPARSE)).astype(np.int64)
+            mine, place = mine[place < g], place[place < g]
+            both = np.zeros((2, g), np.uint8)
+            both[0, place] = (mine >> U(56)).astype(np.uint8)
+            both[1, place] = (mine >> U(24) & U(MANY)).astype(np.uint8)
+            out.append((own, tag, max(1, len(place) - int(self.apart(n + n * self.den // self.num))), g, both.tobytes()))
+        return out
+
     def keys(self, shingle: np.ndarray) -> np.ndarray:
         """List and subset keys of an ascending set."""
         n, out = len(shingle), []
@@ -109,7 +143,7 @@ class Plan:
                     continue
                 low, high = min(n, m), max(n, m)
                 drop = np.array([sum(int(mixed[i]) for i in gone) & (2**64 - 1) for gone in combinations(range(n), n - size)], U)
-                out.append(mix(total[-1] - drop + U((low << 20 | high) * 0x9E3779B97F4A7C15 & (2**64 - 1))) & U(_HASH | 0xFFFF00))
+                out.append(mix(total[-1] - drop + U((low << 20 | high) * 0x9E3779B97F4A7C15 & (2**64 - 1))) & U(_SUBSET))
         if n >= self.lowest:
             own = self.level(n)
             for level in (own, own - 1) if own else (own,):
@@ -117,7 +151,8 @@ class Plan:
                 cut = np.append(np.searchsorted(shingle, edges), n)
                 full = np.flatnonzero(cut[1:] > cut[:-1])
                 part = total[cut[full + 1]] - total[cut[full]]
-                out.append(mix(part) & U(_HASH) | (full.astype(U) & U(SPARSE)) << U(8) | U(level + 1))
+                count = np.minimum(cut[full + 1] - cut[full], MANY).astype(U)
+                out.append(mix(part) & U(_HASH) | count << U(24) | (full.astype(U) & U(SPARSE)) << U(8) | U(level + 1))
                 if len(edges) - len(full) > x:
                     out.append(np.array([SPARSE << 8 | level + 1], U))
         return np.concatenate(out) if out else np.zeros(0, U)
@@ -125,7 +160,7 @@ class Plan:
 
 def shingle_sets(part: pa.RecordBatch, words_in_shingle: int) -> Iterator[tuple[int, np.ndarray]]:
     """(row, ascending distinct shingles) of the rows that have any."""
-    doc, hashes = shingles(split_words(*text_bytes(part.column(1)), SPACED), words_in_shingle)
+    doc, hashes = shingles(split_words(*text_bytes(part.column(part.schema.get_field_index("text"))), SPACED), words_in_shingle)
     if len(doc) and (doc[1:] < doc[:-1]).any():
         order = np.argsort(doc, kind="stable")
         doc, hashes = doc[order], hashes[order]
@@ -134,8 +169,17 @@ def shingle_sets(part: pa.RecordBatch, words_in_shingle: int) -> Iterator[tuple[
         yield int(i), np.unique(hashes[edge[i] : edge[i + 1]])
 
 
+def rows_of(docs: DataFrame) -> DataFrame:
+    """doc_id, row (a key of the row's id and text, never null) and text."""
+    return docs.select(F.col("doc_id").cast("bigint"), row_key().alias("row"), "text")
+
+
+def _node(own: np.ndarray) -> int:
+    return int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
+
+
 def keyed_sets(docs: DataFrame, words_in_shingle: int, num: int, den: int) -> DataFrame:
-    """Per document: set size, node (hash of the set; null without a set) and list keys."""
+    """Per document: row, set size, node (hash of the set; null without a set) and list keys."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         plan = Plan(num, den)
@@ -143,26 +187,70 @@ def keyed_sets(docs: DataFrame, words_in_shingle: int, num: int, den: int) -> Da
             n, node = np.zeros(part.num_rows, np.int64), np.zeros(part.num_rows, np.int64)
             keys: list = [np.zeros(0, np.int64)] * part.num_rows
             for i, own in shingle_sets(part, words_in_shingle):
-                n[i] = len(own)
-                node[i] = int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True)
-                keys[i] = plan.keys(own).view(np.int64)
+                n[i], node[i], keys[i] = len(own), _node(own), plan.keys(own).view(np.int64)
             ends = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
             lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys)))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n), pa.array(node, mask=n == 0), lists], ["doc_id", "n", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(n), pa.array(node, mask=n == 0), lists], ["doc_id", "row", "n", "node", "keys"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(work, SET_SCHEMA)
+    return rows_of(docs).mapInArrow(work, SET_SCHEMA)
 
 
-def _whole_sets(docs: DataFrame, words_in_shingle: int) -> DataFrame:
+def _vectors(single: DataFrame, num: int, den: int) -> DataFrame:
+    """The signatures of each row's set; rows of one node give the same."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan = Plan(num, den)
+        for batch in batches:
+            rows = []
+            for node, n, keys in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                own = keys.values.to_numpy().view(U)
+                rows += [(node, n, *v) for v in plan.vectors(n, own)]
+            names = [x.split(" ")[0] for x in VECTOR_SCHEMA.split(", ")]
+            types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array([r[c] for r in rows], t) for c, t in enumerate(types)], names)
+
+    return single.select("node", "n", "keys").mapInArrow(work, VECTOR_SCHEMA).dropDuplicates(["node", "tag"])
+
+
+def _whole_sets(docs: DataFrame, words_in_shingle: int, rows: DataFrame) -> DataFrame:
+    """(node, members) of the documents whose row is an entry of rows, and of a few others."""
+
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in chunks(batches, "text"):
             node, sets = [], []
             for _, own in shingle_sets(part, words_in_shingle):
-                node.append(int.from_bytes(hashlib.blake2b(own.tobytes(), digest_size=8).digest(), "little", signed=True))
+                node.append(_node(own))
                 sets.append(own.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(node, pa.int64()), pa.array(sets, pa.binary())], ["node", "members"])
 
-    return docs.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(work, "node bigint, members binary")
+    return only_possible(rows_of(docs), "row", rows).mapInArrow(work, "node bigint, members binary").dropDuplicates(["node"])
+
+
+def least_difference(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The fewest shingles in which sets with the signatures a (rows, 2, parts) can differ from one with b."""
+    x, y = a[:, 1].astype(np.int16), b[1].astype(np.int16)
+    count = np.maximum(np.abs(x - y), 1 + ((x == y) & (x < MANY)))
+    return np.where((a[:, 0] == b[0]) & (x == y), 0, count).sum(1)
+
+
+def _may_link(pairs: DataFrame, vectors: DataFrame, num: int, den: int) -> DataFrame:
+    """The distinct pairs (a, b) that the bound allows."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plan = Plan(num, den)
+        for batch in batches:
+            n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            keep = den * np.minimum(n, m) >= num * np.maximum(n, m)
+            most = plan.apart(n + m)
+            for i in np.flatnonzero(keep):
+                x, y = (np.frombuffer(batch.column(c)[i].as_buffer(), np.uint8).reshape(2, -1) for c in (4, 5))
+                keep[i] = least_difference(x[None], y)[0] <= most[i]
+            keep = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+
+    of = lambda x: vectors.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("own").alias(f"own_{x}"), F.col("tag").alias(f"tag_{x}"), F.col("vector").alias(f"of_{x}"))
+    both = pairs.distinct().join(of("a"), "a").join(of("b"), "b").where((F.col("tag_a") == F.col("tag_b")) & (F.col("tag_a") == F.least("own_a", "own_b")))
+    return both.select("a", "b", "n_a", "n_b", "of_a", "of_b").mapInArrow(work, "a bigint, b bigint")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
@@ -185,51 +273,38 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
     with_a = pairs.join(sets.select(F.col("node").alias("a"), F.col("members").alias("of_a")), "a")
-    with_b = with_a.join(sets.select(F.col("node").alias("b"), F.col("members").alias("of_b")), "b")
+    with_b = spread_join(with_a, sets.select(F.col("node").alias("b"), F.col("members").alias("of_b")), "b", "a", pairs)
     return with_b.select("a", "b", "of_a", "of_b").mapInArrow(work, "a bigint, b bigint")
 
 
 def _across(rest: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) of nodes of different roots that share a list and may link. rest is dealt and sorted by (key, i, j).
 
-    A pair comes once, with need 0, where its keys were compared; or once a shared list, with the number of lists that
-    a link needs: all parts, less those that may differ and those that may be empty in both.
+    Where signatures came along, a pair must pass the bound (need 0); else it comes once a shared list, with the number
+    of lists that a link needs: all parts, less those that may differ and those that may be empty in both.
     """
 
-    def group_pairs(plan: Plan, key: int, cross: bool, side: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, filled: np.ndarray, keys: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        tag, place = key & 0xFF, key >> 8 & 0xFFFF
+    def group_pairs(plan: Plan, key: int, cross: bool, side: np.ndarray, node: np.ndarray, n: np.ndarray, root: np.ndarray, need: np.ndarray, parts: np.ndarray, own: np.ndarray, vector: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        tag = key & 0xFF
         if not tag:  # the smallest set links with all others of its list
             pivot = np.lexsort((node, n))[0]
             other = np.flatnonzero(root != root[pivot])
             return np.full(len(other), node[pivot]), node[other], np.zeros(len(other), np.int64)
-        own = np.array([plan.level(int(x)) for x in n])
-        g = len(plan.parts(tag - 1)[0])
-        dense = None
-        if g <= VECTOR_PARTS:
-            dense = np.zeros((len(n), g), np.int64)
-            for r, k in enumerate(keys):
-                at = k >> 8 & 0xFFFF
-                dense[r, at[at < g]] = k[at < g]
+        table = None
+        if parts[0] <= VECTOR_PARTS:
+            table = np.frombuffer(b"".join(vector), np.uint8).reshape(len(n), 2, int(parts[0]))
         found = []
         for r in range(len(n)):
-            fit = (side != side[r]) & (side > side[r]) if cross else np.arange(len(n)) > r
-            small, large = np.minimum(n, n[r]), np.maximum(n, n[r])
-            fit &= (root != root[r]) & (np.minimum(own, own[r]) == tag - 1) & (den * small >= num * large)
+            fit = (side > side[r]) if cross else np.arange(len(n)) > r
+            fit &= (root != root[r]) & (np.minimum(own, own[r]) == tag) & (den * np.minimum(n, n[r]) >= num * np.maximum(n, n[r]))
             to = np.flatnonzero(fit)
-            total = n[to] + n[r]
-            # Linked sets differ in at most this many shingles, so in at most as many parts.
-            apart = total - 2 * -(-num * total // (num + den))
-            if dense is None:
-                need = g - apart - (g - np.maximum(filled[to], filled[r]))
+            most = plan.apart(n[to] + n[r])
+            if table is None:
+                least = np.maximum(need[to], need[r])
             else:
-                same = dense[to] == dense[r]
-                enough = same.sum(1) >= g - apart
-                to, same = to[enough], same[enough]
-                real = same & (dense[r] != 0)
-                first = np.where(real.any(1), real.argmax(1), SPARSE)
-                to = to[first == place]
-                need = np.zeros(len(to), np.int64)
-            found.append((np.full(len(to), node[r]), node[to], need))
+                to = to[least_difference(table[to], table[r]) <= most]
+                least = np.zeros(len(to), np.int64)
+            found.append((np.full(len(to), node[r]), node[to], least))
         return tuple(np.concatenate([x[c] for x in found]) for c in range(3))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,18 +312,16 @@ def _across(rest: DataFrame, num: int, den: int) -> DataFrame:
 
         def pairs(batch: pa.RecordBatch, whole: bool):
             """Pairs of the whole groups of the batch, and the rows of its last group unless whole."""
-            key, i, j, side, node, n, root, filled = (batch.column(c).to_numpy() for c in range(8))
-            lists = batch.column(8)
-            flat, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            key, i, j, side, node, n, root, need, parts, own = (batch.column(c).to_numpy() for c in range(10))
             edge = np.flatnonzero((key[1:] != key[:-1]) | (i[1:] != i[:-1]) | (j[1:] != j[:-1])) + 1
             starts = np.concatenate([[0], edge])
             stops = np.append(edge, len(key))
             out = []
             for a, b in zip(starts, stops, strict=True) if whole else zip(starts[:-1], stops[:-1], strict=True):
                 if (root[a:b] != root[a]).any():
-                    out.append(group_pairs(plan, int(key[a]), i[a] != j[a], side[a:b], node[a:b], n[a:b], root[a:b], filled[a:b], [flat[ends[r] : ends[r + 1]] for r in range(a, b)]))
-            x, y, need = (np.concatenate([o[c] for o in out]) if out else np.zeros(0, np.int64) for c in range(3))
-            found = pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64()), pa.array(need, pa.int64())], ["a", "b", "need"])
+                    out.append(group_pairs(plan, int(key[a]), i[a] != j[a], side[a:b], node[a:b], n[a:b], root[a:b], need[a:b], parts[a:b], own[a:b], batch.column(10)[int(a) : int(b)].to_pylist()))
+            x, y, least = (np.concatenate([o[c] for o in out]) if out else np.zeros(0, np.int64) for c in range(3))
+            found = pa.RecordBatch.from_arrays([pa.array(np.minimum(x, y), pa.int64()), pa.array(np.maximum(x, y), pa.int64()), pa.array(least, pa.int64())], ["a", "b", "need"])
             return found, batch.slice(int(starts[-1]))
 
         for batch in batches:
@@ -265,71 +338,80 @@ def _across(rest: DataFrame, num: int, den: int) -> DataFrame:
     return emitted.groupBy("a", "b").agg(F.count("*").alias("shared"), F.min("need").alias("need")).where("shared >= need").select("a", "b")
 
 
-def similarity_components(docs: DataFrame, words_in_shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
+def linked_rows(docs: DataFrame, words_in_shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """One row per document: doc_id, row, n, node and root. Rows of one root are linked; wordless ones have neither node nor root."""
     spark = docs.sparkSession
     small_batches(spark)
-    temporary = []
+    paths: dict[str, str] = {}
 
     def stored(df: DataFrame, tag: str) -> DataFrame:
-        table, path = write_table(df, tag)
-        temporary.append(path)
+        table, paths[tag] = write_table(df, tag)
         return table
 
-    keyed, keyed_path = write_table(keyed_sets(docs, words_in_shingle, num, den), "keyed")
-    sets, _ = write_table(keyed.select("doc_id", "n", "node"), "sets")
+    def drop(*tags: str) -> None:
+        for tag in tags:
+            drop_table(spark, paths.pop(tag))
+
+    keyed = stored(keyed_sets(docs, words_in_shingle, num, den), "keyed")
+    sets, _ = write_table(keyed.select("doc_id", "row", "n", "node"), "sets")
     nodes = sets.where("node is not null")
-    # Keys are counted once a node: only its first document's row goes on (and, harmlessly, a few that the filter takes for
-    # one); a row without doc_id only where no document has its set.
-    pick = F.coalesce("doc_id", "node")
-    firsts = stored(nodes.groupBy("node").agg(F.coalesce(F.min("doc_id"), "node").alias("entry")).select("entry"), "firsts")
-    single = only_possible(keyed.where("node is not null").withColumn("_pick", pick), "_pick", firsts)
+    # Keys are counted once a node: only its first row goes on (and, harmlessly, a few that the filter takes for one).
+    firsts = stored(nodes.groupBy("node").agg(F.min("row").alias("entry")), "firsts")
+    single = only_possible(keyed.where("node is not null"), "row", firsts)
     postings = single.select(F.explode("keys").alias("key"), "node")
     shared = stored(postings.groupBy("key").agg(F.count("*").alias("c")).where("c > 1").select("key"), "lists")
     release(spark)
     held = only_possible(postings, "key", shared.select(F.col("key").alias("entry"))).distinct().join(shared, "key", "left_semi")
     held = stored(held, "held")
-
     degree = stored(held.groupBy("node").agg(F.count("*").alias("degree")), "degree")
-    vectors = only_possible(single, "node", degree.select(F.col("node").alias("entry"))).groupBy("node").agg(F.min("doc_id").alias("entry"), F.first("n").alias("n"), F.first("keys").alias("keys"))
-    vectors = stored(vectors, "vectors")
-    wanted = vectors.select("entry").where("entry is not null")
-    drop_table(spark, keyed_path)
+    vectors = stored(_vectors(only_possible(single, "node", degree.select(F.col("node").alias("entry"))), num, den), "vectors")
+    drop("keyed", "lists")
     release(spark)
-    texts = docs.select(F.col("doc_id").cast("bigint"), "text")
-    whole = _whole_sets(only_possible(texts, "doc_id", wanted), words_in_shingle)
-    nameless = vectors.where("entry is null").select(F.col("node").alias("entry"))
-    whole = whole.unionByName(only_possible(_whole_sets(texts.where("doc_id is null"), words_in_shingle), "node", nameless))
-    whole = stored(whole.dropDuplicates(["node"]), "whole")
+
+    def linked(pairs: DataFrame, tag: str) -> DataFrame:
+        """The pairs that link, by their whole sets, which are made for these nodes alone."""
+        pairs = stored(_may_link(pairs, vectors, num, den), f"{tag}-pairs")
+        ends = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).distinct()
+        wanted = stored(ends.withColumnRenamed("a", "node").join(firsts, "node").select("entry"), f"{tag}-wanted")
+        whole = stored(_whole_sets(docs, words_in_shingle, wanted), f"{tag}-whole")
+        found = stored(_verified(pairs, whole, num, den), tag)
+        drop(f"{tag}-pairs", f"{tag}-wanted", f"{tag}-whole")
+        return found
 
     pivots = held.join(degree, "node").groupBy("key").agg(F.max(F.struct("degree", "node")).alias("top")).select("key", F.col("top.node").alias("pivot"))
     met = held.join(pivots, "key").where("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("times"))
     star = met.groupBy("node").agg(F.max(F.struct("times", "pivot")).alias("best")).select(F.col("node").alias("a"), F.col("best.pivot").alias("b"))
-    linked = stored(_verified(star, whole, num, den), "linked")
+    near = linked(star, "near")
+    drop("degree")
 
-    roots = connected_components(linked)
+    roots = connected_components(near)
     labelled = stored(held.join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("root")), "labelled")
+    drop("held")
+    release(spark)
     mixed = labelled.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("many")).where("low < high")
-    blocks = mixed.select("key", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks"))
-    rest = labelled.join(blocks, "key").withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    rest = stored(rest.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))), "rest")
-    level = F.col("key").bitwiseAND(F.lit(0xFF))
-    own = F.filter("keys", lambda k: k.bitwiseAND(F.lit(0xFF)) == level)
-    filled = F.size(F.filter(own, lambda k: k.bitwiseAND(F.lit(SPARSE << 8)) != SPARSE << 8)).cast("bigint")
-    own = F.when(F.size(own) <= VECTOR_PARTS, own).otherwise(F.array().cast("array<bigint>"))
-    wide = rest.join(vectors.drop("entry"), "node").select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "n", "root", filled.alias("filled"), own.alias("keys"))
-    dealt = wide.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
-    across = stored(_across(dealt, num, den), "across")
-    more = stored(_verified(across, whole, num, den), "more")
-
-    roots = connected_components(linked.unionByName(more))
-    classes = nodes.groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    classes = stored(classes, "classes")
-    named, _ = write_table(classes.join(classes.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("node", "component_id"), "named")
-    for path in temporary:
-        drop_table(spark, path)
-    alone = sets.where("node is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
-    return nodes.select("doc_id", F.col("n").alias("n_shingles"), "node").join(named, "node").select("doc_id", "n_shingles", "component_id").unionByName(alone)
+    rest = labelled.join(mixed.select("key", F.ceil(F.col("many") / BLOCK).cast("int").alias("blocks")), "key").withColumn("tag", F.col("key").bitwiseAND(F.lit(0xFF)).cast("int"))
+    # A set of a higher tag than the list's is there for those of a lower one; both come with their signature at the list's tag.
+    wide = rest.join(vectors, ["node", "tag"]).withColumn("lists", F.count("*").over(Window.partitionBy("node", "tag"))).where("lists >= need")
+    wide = wide.withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    vector = F.when(F.col("parts") <= VECTOR_PARTS, F.col("vector")).otherwise(F.lit(b""))
+    dealt = wide.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "side", "node", "n", "root", F.col("need").cast("bigint").alias("need"), "parts", "own", vector.alias("vector"))
+    across = stored(_across(dealt.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"), num, den), "across")
+    drop("labelled")
+    release(spark)
+    more = linked(across, "more")
+
+    roots = connected_components(near.unionByName(more))
+    names, _ = write_table(nodes.select("node").distinct().join(roots, "node", "left").select("node", F.coalesce("root", "node").alias("root")), "names")
+    drop(*paths)
+    return spread_join(nodes, names, "node", "row", nodes).select("doc_id", "row", "n", "node", "root").unionByName(sets.where("node is null").select("doc_id", "row", "n", "node", F.lit(None).cast("bigint").alias("root")))
+
+
+def similarity_components(docs: DataFrame, words_in_shingle: int = 5, num: int = 80, den: int = 100) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id (smallest doc_id reachable by links)."""
+    rows, _ = write_table(linked_rows(docs, words_in_shingle, num, den), "linked")
+    least = rows.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    alone = rows.where("root is null").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
+    return spread_join(rows.where("root is not null"), least, "root", "row", rows.where("root is not null")).select("doc_id", F.col("n").alias("n_shingles"), "component_id").unionByName(alone)
 
 
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:

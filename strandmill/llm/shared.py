@@ -5,17 +5,21 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; where that is unset (local tests), one temporary folder per application."""
+    """spark.checkpoint.dir; where that is unset, one temporary folder per application, in local mode only."""
     conf = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if conf:
         return conf.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _own:
         _own[app] = tempfile.mkdtemp(prefix="strandmill-")
@@ -23,6 +27,14 @@ def shared_folder(spark: SparkSession) -> str:
     return _own[app]
 
 
+def fresh(names: Iterable[str], stem: str) -> str:
+    """A column name that none of the names clashes with."""
+    taken = {n.lower() for n in names}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
     """At most so many rows in a batch for Python from now on: two workers share an executor's memory outside the heap."""
     name = "spark.sql.execution.arrow.maxRecordsPerBatch"
@@ -49,3 +61,23 @@ def release(spark: SparkSession) -> None:
     """Let Spark delete shuffle files that no plan needs any more; it does so when the driver collects its garbage."""
     gc.collect()
     spark._jvm.System.gc()
+
+
+def row_key() -> Column:
+    """A key of a document's doc_id and text, never null."""
+    return F.xxhash64(F.col("doc_id").cast("bigint"), "text")
+
+
+def spread_join(many: DataFrame, one: DataFrame, key: str, by: str, counted: DataFrame, hot: int = 256) -> DataFrame:
+    """many joined with one, whose keys are distinct; the rows of a hot key are dealt by the column `by` to several copies of its partner.
+
+    counted is a stored table with many's keys. A key is hot above `hot` rows and above a ten-thousandth of all rows, so
+    at most 10,000 hot keys are broadcast.
+    """
+    sizes = counted.groupBy(key).agg(F.count("*").alias("rows_of_key"))
+    limit = max(hot, counted.count() // 10_000)
+    copies = F.broadcast(sizes.where(F.col("rows_of_key") > limit).select(key, F.ceil(F.col("rows_of_key") / limit).cast("int").alias("copies")))
+    copy = F.coalesce(F.pmod(F.xxhash64(by), F.col("copies")).cast("int"), F.lit(0))
+    dealt = many.join(copies, key, "left").withColumn("copy", copy).drop("copies")
+    spread = one.join(copies, key, "left").withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1))).drop("copies")
+    return dealt.join(spread, [key, "copy"]).drop("copy")

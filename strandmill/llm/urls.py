@@ -75,7 +75,7 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
     judged = judged.withColumn("canonical", F.when(F.col("ruled").isNull(), canonical(F.col("host"), F.col("path"))))
     wanted = listed.select(F.col("canonical").alias("entry")).where("entry is not null").distinct()
     blocks = filter_blocks(wanted.count() if n_listed is None else n_listed)
-    seen = with_possible(judged, "canonical", build_filter(wanted, "entry", blocks), blocks)
+    seen = with_possible(judged, "canonical", build_filter(wanted, "entry", blocks), blocks, "possible")
     sure = seen.where(~F.col("possible")).withColumn("entry", F.lit(None).cast("string"))
     # One canonical URL may have a third of all rows: the exact join's large side is dealt by a salted key.
     salts = 16

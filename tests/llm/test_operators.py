@@ -12,7 +12,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from strandmill.llm import decontamination, linededup, media, packing, pii, quality, setjoin, sharding, toxicity, urls
-from strandmill.llm.bloom import build_filter, filter_blocks, with_possible, without_ids
+from strandmill.llm import bloom
+from strandmill.llm.bloom import build_filter, filter_blocks, split_possible, with_possible, without_keys
 from strandmill.llm.graph import connected_components
 from strandmill.llm.registry import ORACLE_SQL, QUERIES
 from strandmill.llm.words import ALNUM, SPACED, chunks, shingles, split_words, text_bytes
@@ -62,14 +63,25 @@ def test_chunks_cover_all():
     assert sum(p.num_rows for p in parts) == 5 and [x for p in parts for x in p.column(0).to_pylist()] == batch.column(0).to_pylist()
 
 
-def test_bloom(spark):
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_bloom(spark, monkeypatch, broadcast):
+    """Broadcast, and joined on the block; with columns named as those used inside, null keys and a hot key."""
+    if not broadcast:
+        monkeypatch.setattr(bloom, "BROADCAST_BYTES", 0)
     keys = spark.range(1000).select((F.col("id") * 7).alias("entry"))
-    rows = spark.range(8000).withColumnRenamed("id", "doc_id")
+    clashing = ["block", "words", "salt", "possible", "entry", "row", *(f"w{i}" for i in range(8))]
+    rows = spark.range(8000).withColumnRenamed("id", "doc_id").withColumns({n: F.lit(8) for n in clashing})
     blocks = filter_blocks(1000)
-    seen = with_possible(rows, "doc_id", build_filter(keys, "entry", blocks), blocks)
-    assert seen.where("doc_id % 7 = 0 and doc_id < 7000 and not possible").count() == 0
-    assert seen.where("possible").count() < 1200
-    assert without_ids(rows, keys).count() == 7000
+    seen = with_possible(rows, "doc_id", build_filter(keys, "entry", blocks), blocks, "seen")
+    assert seen.where("doc_id % 7 = 0 and doc_id < 7000 and not seen").count() == 0
+    assert seen.where("seen").count() < 1200 and seen.columns == [*rows.columns, "seen"]
+    with pytest.raises(ValueError, match="possible"):
+        with_possible(rows, "doc_id", build_filter(keys, "entry", blocks), blocks, "possible")
+    more = rows.unionByName(rows.limit(1).withColumn("doc_id", F.lit(None).cast("bigint"))).unionByName(spark.range(500).join(rows.where("doc_id = 7")).drop("id"))
+    sure, doubtful = split_possible(more, "doc_id", keys)
+    assert sure.count() + doubtful.count() == 8501 and sure.columns == doubtful.columns == rows.columns
+    left = without_keys(more, "doc_id", keys)
+    assert left.count() == 7001 and left.where("possible <> 8 or block <> 8 or w0 <> 8").isEmpty()
 
 
 def test_components(spark):
