@@ -10,6 +10,28 @@ from strandmill.functions.rules import midpoint
 from strandmill.operators.evidence import best_hits
 
 
+def checked_hits(hits: DataFrame, ranks: DataFrame, windows: DataFrame) -> DataFrame:
+    """hits (motif_id, window_id, start, stop, ...) with family_id and rank. A motif outside the library, an unknown window or a place outside its window is an error.
+
+    ranks: motif_id, family_id, rank, as many rows as the library has motifs; windows: window_id, sequence.
+    """
+    ranked = hits.join(F.broadcast(ranks.select("motif_id", "family_id", "rank", F.lit(True).alias("_known"))), "motif_id", "left")
+    sized = ranked.join(windows.select("window_id", F.length("sequence").alias("_length")), "window_id", "left")
+    place = F.concat_ws(" ", F.lit("hit"), "motif_id", "window_id", F.col("start").cast("string"), F.col("stop").cast("string"))
+    fault = F.when(F.col("_known").isNull(), "unknown motif in ").when(F.col("_length").isNull(), "unknown window in ").when((F.col("start") < 1) | (F.col("stop") < F.col("start")) | (F.col("stop") > F.col("_length")), "place outside its window in ")
+    checked = F.when(fault.isNull(), F.col("motif_id")).otherwise(F.raise_error(F.concat(fault, place)))
+    return sized.withColumn("motif_id", checked).drop("_known", "_length")
+
+
+def identity_counts(records: DataFrame, annotation: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
+    """Per dataset: rows of one side only, and rows that differ in any of the columns; nulls are equal to each other."""
+    side = lambda df, name: df.select(*key, F.struct(*columns).alias(name))
+    both = side(records, "_record").join(side(annotation, "_annotation"), key, "full")
+    alone = [F.col("_annotation").isNull(), F.col("_record").isNull()]
+    differing = ~alone[0] & ~alone[1] & ~F.col("_record").eqNullSafe(F.col("_annotation"))
+    return both.groupBy("dataset_id").agg(F.count_if(alone[1]).alias("only_annotation"), F.count_if(alone[0]).alias("only_record"), F.count_if(differing).alias("differing"))
+
+
 def window_winners(hits: DataFrame, flank: int) -> DataFrame:
     """Per window: the winning hit, its midpoint and the number of distinct motifs."""
     best = best_hits(hits, ["window_id"], "winner")

@@ -107,12 +107,23 @@ def similarity(models: dict[str, np.ndarray], min_overlap: int = 6) -> list[dict
     return rows
 
 
-def stability(rows: DataFrame, min_rotations: int, require_all: bool = True) -> DataFrame:
+def stability(rows: DataFrame, min_rotations: int, require_all: bool = True, configured: DataFrame | None = None) -> DataFrame:
     """Per family: clones, stable clones, fewest supported rotations, and pass. rows: family_id, dataset_id, rotation, support.
 
-    A family passes if all (or any) of its clones are supported in enough rotations.
+    A family passes if all (or any) of its clones are supported in enough rotations. A configured clone (a short table
+    with dataset_id) without rows counts as never supported, and rows of other clones, or two of one clone and rotation,
+    are an error.
     """
-    clones = rows.groupBy("family_id", "dataset_id").agg(F.count_if("support").alias("supported"))
+    once = rows.groupBy("family_id", "dataset_id", "rotation").agg(F.max("support").alias("support"), F.count("*").alias("n"))
+    repeated = F.raise_error(F.concat_ws(" ", F.lit("repeated support of"), "family_id", F.col("dataset_id").cast("string"), F.col("rotation").cast("string"))).cast("boolean")
+    once = once.withColumn("support", F.when(F.col("n") == 1, F.col("support")).otherwise(repeated))
+    clones = once.groupBy("family_id", "dataset_id").agg(F.count_if("support").alias("supported"))
+    if configured is not None:
+        known = F.broadcast(configured.select("dataset_id").distinct())
+        every = clones.select("family_id").distinct().crossJoin(known).withColumn("known", F.lit(True))
+        joined = every.join(clones, ["family_id", "dataset_id"], "full")
+        other = F.raise_error(F.concat_ws(" ", F.lit("clone that isn't configured:"), F.col("dataset_id").cast("string"))).cast("bigint")
+        clones = joined.select("family_id", "dataset_id", F.when(F.col("known").isNull(), other).otherwise(F.coalesce("supported", F.lit(0))).alias("supported"))
     clones = clones.withColumn("stable", F.col("supported") >= min_rotations)
     out = clones.groupBy("family_id").agg(F.count("*").alias("clones"), F.count_if("stable").alias("stable_clones"), F.min("supported").alias("min_supported_rotations"), (F.bool_and("stable") if require_all else F.bool_or("stable")).alias("pass"))
     return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FOLDS = 5
@@ -32,9 +32,11 @@ def longest_first(groups: DataFrame, folds: int = FOLDS) -> DataFrame:
 
 
 def assign_folds(contigs: DataFrame, pattern: str | None = None) -> DataFrame:
-    """(contig, length_bp, group_id, fold_id, inclusion_status, reason); unmatched contigs are excluded."""
+    """(contig, length_bp, group_id, fold_id, inclusion_status, reason); unmatched contigs are excluded. Fewer groups than folds are an error."""
     named = contigs.select("contig", F.col("length").alias("length_bp"), (F.col("contig") if pattern is None else group_of(F.col("contig"), pattern)).alias("group_id"))
     deal = longest_first(named.where("group_id is not null").groupBy("group_id").agg(F.sum("length_bp").alias("bp")))
+    few = F.raise_error(F.concat(F.lit(f"fewer than {FOLDS} contig groups: "), F.col("groups").cast("string"))).cast("int")
+    deal = deal.withColumn("groups", F.count("*").over(Window.partitionBy(F.lit(0)))).withColumn("fold_id", F.when(F.col("groups") >= FOLDS, F.col("fold_id")).otherwise(few)).drop("groups")
     out = named.join(F.broadcast(deal), "group_id", "left")  # as many rows as groups of contigs
     inside = F.col("group_id").isNotNull()
     return out.select("contig", "length_bp", "group_id", "fold_id", F.when(inside, "included").otherwise("excluded").alias("inclusion_status"), F.when(inside, "").otherwise("unmatched_group_regex").alias("reason"))

@@ -18,29 +18,32 @@ from strandmill.functions.genotype import reverse_complement
 
 #: Two strands of so many words take some megabytes.
 BROADCAST_WORDS = 50_000
+#: Letters of windows that are scored together.
+SLICE = 1 << 18
 PWM_SCHEMA = "motif_id string, window_id string, start int, stop int, strand string, score double, p double, matched_sequence string"
 
 
 def word_hits(windows: DataFrame, models: DataFrame) -> DataFrame:
     """Every place where a model's word stands on either strand. windows: kind, window_id, sequence; models: motif_id, family_id, rank.
 
-    The sequence is cut into words once per word length and joined on the word, so work grows with windows, not with
-    windows times models. A library of up to BROADCAST_WORDS words is broadcast; a larger one is joined by shuffle.
+    Every place of a window is taken once for each word length and joined on the word, so work grows with windows, not
+    with windows times models. A library of up to BROADCAST_WORDS words is broadcast; a larger one is joined by shuffle.
+    A word scores 2 bits a letter, and p is that of the word in random letters.
     """
     both = models.select("*", F.col("motif_id").alias("word"), F.lit("+").alias("strand")).unionByName(models.select("*", reverse_complement(F.col("motif_id")).alias("word"), F.lit("-").alias("strand")))
     sizes = models.groupBy(F.length("motif_id").alias("width")).count().collect()
     lengths = sorted(r["width"] for r in sizes)
     if sum(r["count"] for r in sizes) <= BROADCAST_WORDS:
         both = F.broadcast(both)
-    cut = [windows.select("kind", "window_id", F.lit(w).alias("width"), F.posexplode(F.expr(f"transform(sequence(1, greatest(length(sequence) - {w - 1}, 1)), i -> substring(sequence, i, {w}))")).alias("at", "matched")) for w in lengths]
-    places = cut[0]
-    for more in cut[1:]:
-        places = places.unionByName(more)
-    found = places.where(F.length("matched") == F.col("width")).join(both, F.col("matched") == F.col("word"))
-    start = F.col("at") + 1
-    score = 2.0 * F.col("width") - 0.25 * (start % 4)
-    p = (1 + (start * 5 + F.col("rank")) % 9) / F.lit(100000.0)
-    return found.select("kind", "motif_id", "family_id", "rank", "window_id", start.alias("start"), (start + F.col("width") - 1).alias("stop"), "strand", "matched", score.alias("score"), p.alias("p"))
+    if not lengths:
+        lengths = [1]
+    # Explode, substring and join all stay inside generated code.
+    places = windows.select("kind", "window_id", "sequence", F.explode(F.array(*map(F.lit, lengths))).alias("width"))
+    places = places.where(F.length("sequence") >= F.col("width")).select("*", F.explode(F.sequence(F.lit(1), F.length("sequence") - F.col("width") + 1)).alias("start"))
+    places = places.select("kind", "window_id", "width", "start", F.substring("sequence", F.col("start"), F.col("width")).alias("matched"))
+    found = places.join(both, F.col("matched") == F.col("word"))
+    score, p = (2.0 * F.col("width")).alias("score"), F.pow(F.lit(0.25), F.col("width")).alias("p")
+    return found.select("kind", "motif_id", "family_id", "rank", "window_id", "start", (F.col("start") + F.col("width") - 1).alias("stop"), "strand", "matched", score, p)
 
 
 @dataclass(frozen=True)
@@ -78,34 +81,67 @@ _CODE = np.full(256, 4, np.uint8)
 _CODE[[65, 67, 71, 84]] = 0, 1, 2, 3
 
 
+def scan_codes(codes: np.ndarray, tables: list[ScoringTable], threshold: float) -> list[tuple[np.ndarray, ...]]:
+    """Per table: (row, start, plus strand, score, p) of placements with p below the threshold in windows of one length.
+
+    codes has a row a window; placements over letters other than ACGT are skipped. All models of one width share their
+    placements, each scored by one look-up a column.
+    """
+    out = []
+    clean: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for table in tables:
+        if codes.shape[1] < table.width:
+            out.append(tuple(np.zeros(0, t) for t in (np.int64, np.int64, bool, float, float)))
+            continue
+        if table.width not in clean:
+            view = np.lib.stride_tricks.sliding_window_view(codes, table.width, axis=1)
+            row, at = np.nonzero((view < 4).all(2))
+            clean[table.width] = row, at
+        row, at = clean[table.width]
+        parts = []
+        for plus, matrix in ((True, table.whole), (False, table.whole[::-1, ::-1])):
+            total = np.zeros(len(row), np.int64)
+            for k in range(table.width):
+                total += matrix[k][codes[row, at + k]]
+            p = table.tail[total]
+            hit = np.flatnonzero(p < threshold)
+            parts.append((row[hit], at[hit] + 1, np.full(len(hit), plus), table.score(total[hit]), p[hit]))
+        out.append(tuple(np.concatenate([x[c] for x in parts]) for c in range(5)))
+    return out
+
+
 def scan_sequence(sequence: str, table: ScoringTable, threshold: float) -> list[tuple[int, str, float, float]]:
     """(start, strand, score, p) of placements with p below the threshold; placements over other letters are skipped."""
-    code = _CODE[np.frombuffer(sequence.encode(), np.uint8)]
-    if len(code) < table.width:
-        return []
-    view = np.lib.stride_tricks.sliding_window_view(code, table.width)
-    clean = np.flatnonzero((view < 4).all(1))
-    out = []
-    for strand, matrix in (("+", table.whole), ("-", table.whole[::-1, ::-1])):
-        total = matrix[np.arange(table.width), view[clean]].sum(1) if len(clean) else np.zeros(0, np.int64)
-        p = table.tail[total]
-        out += [(int(clean[i]) + 1, strand, float(table.score(total[i])), float(p[i])) for i in np.flatnonzero(p < threshold)]
-    return sorted(out)
+    _, start, plus, score, p = scan_codes(_CODE[np.frombuffer(sequence.encode(), np.uint8)][None], [table], threshold)[0]
+    return sorted((int(a), "+" if s else "-", float(x), float(y)) for a, s, x, y in zip(start, plus, score, p, strict=True))
 
 
 def pwm_hits(windows: DataFrame, models: list[Pwm], background: tuple[float, ...] = (0.25, 0.25, 0.25, 0.25), threshold: float = 1e-4, pseudo: float = 0.1) -> DataFrame:
-    """All hits of all models in all windows (window_id, sequence), models shipped once. No models or windows: no hits."""
+    """All hits of all models in all windows (window_id, sequence), models shipped once. No models or windows: no hits.
+
+    Windows of one length are stacked into a matrix, SLICE letters at a time.
+    """
     tables = [(m.motif_id, ScoringTable(m, background, pseudo)) for m in models]
+    names = [x.split(" ")[0] for x in PWM_SCHEMA.split(", ")]
+    types = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.string()]
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for window, sequence in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                for motif, table in tables:
-                    for start, strand, score, p in scan_sequence(sequence or "", table, threshold):
-                        rows.append((motif, window, start, start + table.width - 1, strand, score, p, sequence[start - 1 : start - 1 + table.width]))
-            cols = list(zip(*rows, strict=True)) or [[]] * 8
-            types = [pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string(), pa.float64(), pa.float64(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types, strict=True)], [x.split(" ")[0] for x in PWM_SCHEMA.split(", ")])
+            ids, texts = batch.column(0).to_pylist(), [(s or "").encode() for s in batch.column(1).to_pylist()]
+            by_length: dict[int, list[int]] = {}
+            for i, t in enumerate(texts):
+                by_length.setdefault(len(t), []).append(i)
+            cols: list[list] = [[] for _ in types]
+            for size, own in by_length.items():
+                step = max(1, SLICE // max(size, 1))
+                for first in range(0, len(own), step):
+                    some = own[first : first + step]
+                    codes = _CODE[np.frombuffer(b"".join(texts[i] for i in some), np.uint8)].reshape(len(some), size)
+                    for (motif, table), (row, start, plus, score, p) in zip(tables, scan_codes(codes, [t for _, t in tables], threshold), strict=True):
+                        which = [some[r] for r in row.tolist()]
+                        begin = start.tolist()
+                        for c, v in zip(cols, ([motif] * len(which), [ids[i] for i in which], begin, (start + table.width - 1).tolist(), ["+" if s else "-" for s in plus.tolist()], score.tolist(), p.tolist(), [texts[i][a - 1 : a - 1 + table.width].decode() for i, a in zip(which, begin, strict=True)]), strict=True):
+                            c += v
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 
     return windows.select("window_id", "sequence").mapInArrow(work, PWM_SCHEMA)

@@ -10,7 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from strandmill.operators.context import chunked
+
 FLANK, RADIUS, REFERENCE = 50, 10, "ref"
+CHUNK = 256
 #: Motif, family, rank.
 MODELS = [("ACGT", "fam_a", 1), ("GATT", "fam_a", 2), ("CCAT", "fam_b", 3), ("TTGC", "fam_b", 4), ("AGGA", "fam_c", 5), ("CATCA", "fam_c", 6), ("TACGC", "fam_d", 7), ("GGCAT", "fam_d", 8)]
 GENOTYPES = ["0/1", "1/1", "0/0", "./.", "1/.", "1|2", "2/2"]
@@ -32,11 +35,15 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per genotype record, with its window's bounds; the contig's sequence is reduced to that window at once."""
     n = table(spark, sf_dir, "documents").count()
     line = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice").withColumn("ord", F.col("l_orderkey") % n)
-    r = line.join(contigs(spark, sf_dir), "ord")
+    whole = contigs(spark, sf_dir)
+    r = line.join(whole.select("ord", "contig", "length"), "ord")
     r = r.withColumn("pos", 1 + (F.col("l_partkey") * 7 + F.col("l_linenumber")) % F.col("length"))
     r = r.withColumn("start", F.col("pos") - FLANK).withColumn("stop", F.col("pos") + FLANK)
     eligible = (F.col("start") >= 1) & (F.col("stop") <= F.col("length"))
-    r = r.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "ord", "contig", "length", "pos", "start", "stop", F.substring("sequence", F.col("pos").cast("int"), F.lit(2)).alias("two"), eligible.alias("eligible"), F.when(eligible, F.substring("sequence", F.col("start").cast("int"), F.lit(2 * FLANK + 1))).alias("window_sequence"))
+    # A line carries a piece of its contig, not the whole of it.
+    r = r.withColumn("chunk", F.floor((F.greatest(F.col("start"), F.lit(1)) - 1) / CHUNK).cast("int")).join(chunked(whole, 2 * FLANK + 2, CHUNK, "ord"), ["ord", "chunk"])
+    local = lambda c: (F.col(c) - F.col("chunk") * CHUNK).cast("int")
+    r = r.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "ord", "contig", "length", "pos", "start", "stop", F.substring("piece", local("pos"), F.lit(2)).alias("two"), eligible.alias("eligible"), F.when(eligible, F.substring("piece", local("start"), F.lit(2 * FLANK + 1))).alias("window_sequence"))
     r = r.withColumn("base", F.substring("two", 1, 1)).withColumn("kind", F.col("l_partkey") % 23)
     turn = lambda by: F.expr("substring('ACGTACGT', instr('ACGT', base) + cast(" + by + " as int), 1)")
     one, two = turn("1 + l_suppkey % 3"), turn("1 + (l_suppkey + 1) % 3")
@@ -61,6 +68,12 @@ def windows(records_: DataFrame) -> DataFrame:
     return records_.where(F.col("eligible") & carrier).select("window_id", "contig", "ord", "pos", "fold_id", F.col("window_sequence").alias("sequence")).dropDuplicates(["window_id"])
 
 
+def valued(hits: DataFrame) -> DataFrame:
+    """hits with a score and p that vary by place and model, so that ties and orders are tested; the oracle has the same."""
+    width = F.length("motif_id")
+    return hits.withColumns({"score": 2.0 * width - 0.25 * (F.col("start") % 4), "p": (1 + (F.col("start") * 5 + F.col("rank")) % 9) / F.lit(100000.0)})
+
+
 def models(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(MODELS, "motif_id string, family_id string, rank int")
 

@@ -38,13 +38,14 @@ def query(sql: str | None = None):
 
 
 def _sides(windows: DataFrame) -> DataFrame:
-    real = windows.select(F.lit("real").alias("kind"), "window_id", "sequence")
-    return real.unionByName(windows.select(F.lit("control").alias("kind"), "window_id", F.reverse("sequence").alias("sequence")))
+    """Windows and their reversed controls, in one pass over the windows."""
+    two = F.array(F.struct(F.lit("real").alias("kind"), F.col("sequence").alias("sequence")), F.struct(F.lit("control").alias("kind"), F.reverse("sequence").alias("sequence")))
+    return windows.select("window_id", F.explode(two).alias("side")).select("side.kind", "window_id", "side.sequence")
 
 
 def _hits(spark: SparkSession, sf_dir: str, records: DataFrame | None = None) -> DataFrame:
     windows = V.windows(V.records(spark, sf_dir) if records is None else records)
-    return word_hits(_sides(windows), V.models(spark))
+    return V.valued(word_hits(_sides(windows), V.models(spark)))
 
 
 def _alleles(records: DataFrame) -> DataFrame:
@@ -263,7 +264,7 @@ def shared_vs_additional(spark, sf_dir):
     return E.mark_loci(V.windows(r), loci, ["contig", "pos"], "shared").select("window_id", F.when(F.col("shared"), "shared").otherwise("additional").alias("subset"))
 
 
-@query(V.sql("SELECT dataset_id, contig, ordinal, (contig, pos) IN (SELECT (contig, pos) FROM records WHERE role <> 'other_illumina' AND regexp_matches(gt, '[1-9]')) AS seen_in_selection_loci FROM records WHERE role = 'other_illumina'"))
+@query(V.sql("SELECT r.dataset_id, r.contig, r.ordinal, l.contig IS NOT NULL AS seen_in_selection_loci FROM records r LEFT JOIN (SELECT DISTINCT contig, pos FROM records WHERE role <> 'other_illumina' AND regexp_matches(gt, '[1-9]')) l ON l.contig = r.contig AND l.pos = r.pos WHERE r.role = 'other_illumina'"))
 def seen_in_loci(spark, sf_dir):
     r = V.records(spark, sf_dir)
     loci = r.where((F.col("role") != "other_illumina") & G.has_alt(G.alleles_of(F.col("gt"))))
@@ -331,7 +332,7 @@ _METRICS = "metrics AS (" + _metric_sql("fold_id, motif_id", "by_fold", "totals"
 
 def _fold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = V.windows(V.records(spark, sf_dir))
-    best = E.best_hits(word_hits(_sides(windows), V.models(spark)), ["kind", "motif_id", "window_id"], "positional")
+    best = E.best_hits(V.valued(word_hits(_sides(windows), V.models(spark))), ["kind", "motif_id", "window_id"], "positional")
     totals = windows.groupBy("fold_id").agg(F.count("*").alias("n_windows")).crossJoin(F.broadcast(V.models(spark).select("motif_id")))
     return E.metrics(best.join(windows.select("window_id", "fold_id"), "window_id"), totals, ["fold_id", "motif_id"], FLANK, RADIUS)
 
@@ -350,7 +351,7 @@ def subset_metric(spark, sf_dir):
     windows = V.windows(r)
     loci = r.where((F.col("role") == "pacbio") & G.has_alt(G.alleles_of(F.col("gt"))))
     marked = E.mark_loci(windows, loci, ["contig", "pos"], "shared").select("window_id", F.when(F.col("shared"), "shared").otherwise("additional").alias("subset"))
-    best = E.best_hits(word_hits(_sides(windows), V.models(spark)), ["kind", "motif_id", "window_id"], "positional").join(marked, "window_id")
+    best = E.best_hits(V.valued(word_hits(_sides(windows), V.models(spark))), ["kind", "motif_id", "window_id"], "positional").join(marked, "window_id")
     totals = marked.groupBy("subset").agg(F.count("*").alias("n_windows")).crossJoin(F.broadcast(V.models(spark).select("motif_id")))
     return E.metrics(best, totals, ["subset", "motif_id"], FLANK, RADIUS)
 
@@ -490,7 +491,7 @@ _ANNOTATED = """annotated AS (
 def _annotated(spark: SparkSession, sf_dir: str, records: DataFrame | None = None) -> DataFrame:
     r = V.records(spark, sf_dir) if records is None else records
     real = V.windows(r).select(F.lit("real").alias("kind"), "window_id", "sequence")
-    winners = N.window_winners(word_hits(real, V.models(spark)).drop("kind"), FLANK)
+    winners = N.window_winners(V.valued(word_hits(real, V.models(spark))).drop("kind"), FLANK)
     return N.annotate(r, winners, min(len(m) for m, *_ in V.MODELS))
 
 
@@ -509,12 +510,15 @@ def application_positions(spark, sf_dir):
     return N.application_positions(_annotated(spark, sf_dir))
 
 
-@query(V.sql("SELECT coalesce(a.dataset_id, b.dataset_id) AS dataset_id, count(*) FILTER (a.ordinal IS NULL) AS only_annotation, count(*) FILTER (b.ordinal IS NULL) AS only_record, count(*) FILTER (a.ordinal IS NOT NULL AND b.ordinal IS NOT NULL AND a.gt <> b.gt) AS differing FROM (SELECT * FROM records WHERE ordinal <> 3) a FULL JOIN (SELECT * FROM records WHERE ordinal <> 2) b ON a.dataset_id = b.dataset_id AND a.contig = b.contig AND a.ordinal = b.ordinal GROUP BY ALL"))
+_COMPARED = ["sample_name", "role", "ord", "fold_id", "length", "pos", "ref", "alt", "gt", "start", "stop", "eligible", "window_sequence", "window_id"]
+
+
+@query(V.sql("SELECT coalesce(a.dataset_id, b.dataset_id) AS dataset_id, count(*) FILTER (a.ordinal IS NULL) AS only_annotation, count(*) FILTER (b.ordinal IS NULL) AS only_record, count(*) FILTER (a.ordinal IS NOT NULL AND b.ordinal IS NOT NULL AND (" + " OR ".join(f"a.{c} IS DISTINCT FROM b.{c}" for c in _COMPARED) + ")) AS differing FROM (SELECT * FROM records WHERE ordinal <> 3) a FULL JOIN (SELECT * REPLACE (CASE WHEN ordinal = 4 THEN alt || 'T' ELSE alt END AS alt, CASE WHEN ordinal = 5 THEN NULL ELSE window_sequence END AS window_sequence) FROM records WHERE ordinal <> 2) b ON a.dataset_id = b.dataset_id AND a.contig = b.contig AND a.ordinal = b.ordinal GROUP BY ALL"))
 def record_annotation_identity(spark, sf_dir):
-    key = ["dataset_id", "contig", "ordinal"]
-    r = V.records(spark, sf_dir).select(*key, "gt")
-    a, b = r.where("ordinal <> 3").withColumnRenamed("gt", "gt_a"), r.where("ordinal <> 2").withColumnRenamed("gt", "gt_b")
-    return a.join(b, key, "full").groupBy("dataset_id").agg(F.count_if(F.col("gt_a").isNull()).alias("only_annotation"), F.count_if(F.col("gt_b").isNull()).alias("only_record"), F.count_if(F.col("gt_a") != F.col("gt_b")).alias("differing"))
+    """Records against an annotation that lacks one ordinal, has one too many, and differs in two."""
+    r = V.records(spark, sf_dir)
+    changed = r.where("ordinal <> 2").withColumns({"alt": F.when(F.col("ordinal") == 4, F.concat("alt", F.lit("T"))).otherwise(F.col("alt")), "window_sequence": F.when(F.col("ordinal") != 5, F.col("window_sequence"))})
+    return N.identity_counts(r.where("ordinal <> 3"), changed, ["dataset_id", "contig", "ordinal"], _COMPARED)
 
 
 # --- consensus
@@ -641,12 +645,36 @@ def display_values(spark, sf_dir):
 # --- operators that SQL can't express: tests hold them against brute force
 
 
-@query()
+_PWM_SQL = """
+pwm(motif_id, w) AS (VALUES ('m1', 'ACGTTGCA'), ('m2', 'GATTACA')),
+-- Rounded log odds of a letter: 1000 for the word's, 0 for others. A placement's p is the chance of as many right letters or more.
+tails AS (
+  SELECT motif_id, least, (SELECT sum(c.ways * pow(0.25, least_all) * pow(0.75, length(w) - least_all)) FROM (
+      SELECT least_all, CAST(round(exp(lgamma(length(w) + 1) - lgamma(least_all + 1) - lgamma(length(w) - least_all + 1))) AS BIGINT) AS ways FROM range(0, length(w) + 1) r(least_all) WHERE least_all >= least) c) AS p
+  FROM pwm, range(0, 9) t(least) WHERE least <= length(w)),
+pwm_placed AS (SELECT motif_id, w, window_id, s AS start, substr(sequence, s, length(w)) AS matched FROM windows, pwm, range(1, 102) t(s) WHERE s + length(w) - 1 <= length(sequence)),
+scored AS (
+  SELECT motif_id, window_id, start, start + length(w) - 1 AS stop, strand, matched, len([i FOR i IN range(1, length(w) + 1) IF matched[i] = word[i]]) AS good, length(w) AS size
+  FROM (SELECT *, '+' AS strand, w AS word FROM pwm_placed UNION ALL SELECT *, '-', translate(reverse(w), 'ACGT', 'TGCA') FROM pwm_placed))"""
+
+
+@query(V.sql("SELECT s.motif_id, s.window_id, s.start, s.stop, s.strand, s.good, round(t.p, 12) AS p, s.matched AS matched_sequence FROM scored s JOIN tails t ON t.motif_id = s.motif_id AND t.least = s.good WHERE t.p < 1e-4", _PWM_SQL.strip()))
 def pwm_scan(spark, sf_dir):
-    """Two matrices over all distinct windows, both strands."""
+    """Two matrices over all distinct windows, both strands; good is the number of columns with the best letter."""
     strong = lambda word: tuple(tuple(0.97 if b == c else 0.01 for b in "ACGT") for c in word)
     models = [Pwm("m1", strong("ACGTTGCA"), 20), Pwm("m2", strong("GATTACA"), 20)]
-    return pwm_hits(V.windows(V.records(spark, sf_dir)), models)
+    hits = pwm_hits(V.windows(V.records(spark, sf_dir)), models)
+    size = F.col("stop") - F.col("start") + 1
+    high, low = (float(np.log2((20 * x + 0.025) / 20.1 / 0.25)) for x in (0.97, 0.01))
+    good = F.round((F.col("score") - size * low) / (high - low)).cast("bigint")
+    return hits.select("motif_id", "window_id", F.col("start").cast("bigint").alias("start"), F.col("stop").cast("bigint").alias("stop"), "strand", good.alias("good"), F.round("p", 12).alias("p"), "matched_sequence")
+
+
+@query(V.sql("SELECT window_id, sha256(string_agg(word, ',' ORDER BY word)) AS words_sha256 FROM (SELECT window_id, unnest([substr(sequence, i, 3) FOR i IN range(1, length(sequence) - 1)]) AS word FROM windows) GROUP BY window_id"))
+def kmer_shuffle_words(spark, sf_dir):
+    """The 3-letter words of every shuffled window, sorted: those of the window itself."""
+    words = F.expr("transform(sequence(1, length(sequence) - 2), i -> substring(sequence, i, 3))")
+    return shuffled(V.windows(V.records(spark, sf_dir)), 3, 42).select("window_id", F.sha2(F.encode(F.array_join(F.array_sort(words), ","), "UTF-8"), 256).alias("words_sha256"))
 
 
 @query()
@@ -655,7 +683,17 @@ def kmer_shuffle(spark, sf_dir):
     return shuffled(V.windows(V.records(spark, sf_dir)), 3, 42)
 
 
-@query()
+_ALIGNED = """
+each AS (SELECT DISTINCT contig, pos, ref, allele, exclusion_reason FROM alleles),
+-- An insertion or deletion of the base c after place a moves left past every c that stands before.
+moved AS (
+  SELECT e.*, sequence, CASE WHEN exclusion_reason <> '' THEN NULL WHEN length(ref) = 1 AND length(allele) = 2 THEN allele[2]
+      WHEN length(ref) = 2 AND allele = ref[1] THEN ref[2] WHEN length(ref) = 2 AND allele = ref[2] AND pos > 1 THEN ref[1] END AS c,
+    CASE WHEN length(ref) = 2 AND allele <> ref[1] THEN pos - 1 ELSE pos END AS a FROM each e JOIN contigs USING (contig)),
+anchored AS (SELECT *, greatest(length(rtrim(substr(sequence, 1, a), c)), 1) AS spot FROM moved)"""
+
+
+@query(V.sql("SELECT contig, pos, ref, allele, exclusion_reason, CASE WHEN exclusion_reason = '' THEN coalesce(CASE WHEN c IS NULL THEN pos END, spot) END AS canonical_pos, CASE WHEN exclusion_reason <> '' THEN NULL WHEN c IS NULL THEN ref WHEN length(ref) = 1 THEN sequence[spot] ELSE sequence[spot] || c END AS canonical_ref, CASE WHEN exclusion_reason <> '' THEN NULL WHEN c IS NULL THEN allele WHEN length(ref) = 1 THEN sequence[spot] || c ELSE sequence[spot] END AS canonical_alt FROM anchored", _ALLELES, _ALIGNED.strip()))
 def left_align(spark, sf_dir):
     """Canonical alleles of all usable ALTs."""
     each = A.explode_alleles(V.records(spark, sf_dir)).select("contig", "pos", "ref", "allele", "exclusion_reason").distinct()

@@ -18,7 +18,7 @@ from strandmill.operators import consensus as C
 from strandmill.operators import evidence as E
 from strandmill.operators import families as M
 from strandmill.operators.alleles import explode_alleles, normalise
-from strandmill.operators.annotate import annotate, window_winners
+from strandmill.operators.annotate import annotate, checked_hits, window_winners
 from strandmill.operators.context import add_windows, scan_windows
 from strandmill.operators.discover import discover
 from strandmill.operators.folds import assign_folds
@@ -55,7 +55,7 @@ def prepare(spark: SparkSession, contigs: DataFrame, vcf_path: str, role: str, n
     parsed = parse_gt(F.col("gt"), F.size(alts_of(F.col("alt"))))
     r = r.withColumn("gt_status", F.when(parsed.isNull(), F.raise_error(F.concat(F.lit("malformed GT "), "gt"))).otherwise(parsed["gt_status"]))
     r = add_windows(r, contigs, config.flank_bp, reference)
-    r = r.withColumn("ref", F.when(F.coalesce(F.col("ref_agrees"), F.lit(True)), F.col("ref")).otherwise(F.raise_error(F.concat(F.lit("REF differs at "), "contig", F.lit(":"), F.col("pos").cast("string")))))
+    r = r.withColumn("ref", F.when(F.col("ref_agrees"), F.col("ref")).otherwise(F.raise_error(F.concat(F.lit("REF differs at "), "contig", F.lit(":"), F.col("pos").cast("string")))))
     folds = assign_folds(contigs, config.grouping_regex).select("contig", "fold_id", F.col("inclusion_status").alias("fold_status"))
     if config.unmatched == "error" and config.grouping_regex and not folds.where("fold_id is null").isEmpty():
         raise ValueError("contigs that no group matches")
@@ -65,7 +65,7 @@ def prepare(spark: SparkSession, contigs: DataFrame, vcf_path: str, role: str, n
 def seeds(config: Config) -> dict[tuple[str, int, str], int]:
     """By (sample, rotation, role)."""
     platforms = {"pacbio": list(config.pacbio_samples), "illumina": [m for v in config.corresponding.values() for m in v]}
-    rows = seed_table(config.base_seed, platforms, list(config.rotations), {"pacbio": ["train_shuffle", "test_shuffle", "discovery"], "illumina": ["test_shuffle"]})
+    rows = seed_table(config.base_seed, platforms, list(config.rotations), {"pacbio": ["train_shuffle", "test_shuffle", "streme"], "illumina": ["test_shuffle"]})
     return {(r["sample_name"], r["rotation"], r["role"]): r["seed"] for r in rows}
 
 
@@ -167,8 +167,10 @@ def apply_library(records: DataFrame, library: list[tuple[Pwm, str, int]], confi
     """Every record annotated with the frozen library (matrix, family, rank): each distinct window is scanned once."""
     spark = records.sparkSession
     ranks = spark.createDataFrame([(p.motif_id, f, r) for p, f, r in library] or [], "motif_id string, family_id string, rank int")
-    hits = pwm_hits(scan_windows(records).select("window_id", "sequence"), [p for p, *_ in library], threshold=config.p_threshold)
-    winners = window_winners(hits.withColumnRenamed("matched_sequence", "matched").join(F.broadcast(ranks), "motif_id"), config.flank_bp)
+    windows = scan_windows(records).select("window_id", "sequence")
+    hits = pwm_hits(windows, [p for p, *_ in library], threshold=config.p_threshold)
+    hits = checked_hits(hits.withColumnRenamed("matched_sequence", "matched"), ranks, windows)
+    winners = window_winners(hits, config.flank_bp)
     return annotate(records, winners, min((len(p.matrix) for p, *_ in library), default=None))
 
 
