@@ -14,12 +14,13 @@ def _keys(kind: str) -> list[Column]:
     return {"positional": [score, p, start, stop, strand], "union": [p, F.col("motif_id"), score, start, stop, strand], "winner": [p, F.col("rank"), score, start, stop, strand]}[kind]
 
 
-def best_hits(hits: DataFrame, by: list[str], kind: str) -> DataFrame:
-    """The first hit of each group in the order of that kind; min_by combines on the map side, so hot windows don't gather."""
-    rest = [c for c in hits.columns if c not in by]
+def best_hits(hits: DataFrame, by: list[str], kind: str, sums: dict[str, Column] | None = None) -> DataFrame:
+    """The first hit of each group in the order of that kind; min_by combines on the map side, so hot windows don't gather. sums: columns that tell of the whole group."""
+    sums = sums or {}
+    rest = [c for c in hits.columns if c not in by and c not in sums]
     key = F.struct(*(k.alias(f"k{i}") for i, k in enumerate(_keys(kind))))
-    best = hits.groupBy(*by).agg(F.min_by(F.struct(*rest), key).alias("best"))
-    return best.select(*by, *(F.col(f"best.{c}").alias(c) for c in rest))
+    best = hits.groupBy(*by).agg(F.min_by(F.struct(*rest), key).alias("best"), *(c.alias(n) for n, c in sums.items()))
+    return best.select(*by, *(F.col(f"best.{c}").alias(c) for c in rest), *sums)
 
 
 def metrics(best: DataFrame, totals: DataFrame, by: list[str], flank: int, radius: int) -> DataFrame:
@@ -58,9 +59,10 @@ def vote(rows: DataFrame, by: list[str], configured: Column, required: Column) -
 def position_histogram(best: DataFrame, by: list[str], flank: int) -> DataFrame:
     """Share of real and control best hits at each whole midpoint from -flank to flank; null where a kind has none."""
     bins = best.groupBy(*by, F.floor(midpoint(F.col("start"), F.col("stop"), flank)).cast("int").alias("midpoint_bin")).agg(F.count_if(F.col("kind") == "real").alias("real"), F.count_if(F.col("kind") == "control").alias("control"))
-    totals = best.groupBy(*by).agg(F.count_if(F.col("kind") == "real").alias("real_hit_windows"), F.count_if(F.col("kind") == "control").alias("control_hit_windows"))
-    dense = totals.withColumn("midpoint_bin", F.explode(F.sequence(F.lit(-flank), F.lit(flank))))
-    out = dense.join(bins, [*by, "midpoint_bin"], "left")
+    # At most 2 * flank + 1 bins a group travel in one map.
+    totals = bins.groupBy(*by).agg(F.sum("real").alias("real_hit_windows"), F.sum("control").alias("control_hit_windows"), F.map_from_entries(F.collect_list(F.struct("midpoint_bin", F.struct("real", "control")))).alias("bins"))
+    dense = totals.withColumn("midpoint_bin", F.explode(F.sequence(F.lit(-flank), F.lit(flank)))).withColumn("own", F.try_element_at("bins", F.col("midpoint_bin")))
+    out = dense.withColumns({"real": F.col("own")["real"], "control": F.col("own")["control"]})
     r, c = (safe_div(F.coalesce(F.col(k), F.lit(0)), F.col(f"{k}_hit_windows")) for k in ("real", "control"))
     return out.select(*by, "midpoint_bin", r.alias("real_conditional_proportion"), c.alias("control_conditional_proportion"), (r - c).alias("conditional_difference"), "real_hit_windows", "control_hit_windows")
 

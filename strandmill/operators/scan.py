@@ -24,7 +24,7 @@ PWM_SCHEMA = "motif_id string, window_id string, start int, stop int, strand str
 
 
 def word_hits(windows: DataFrame, models: DataFrame) -> DataFrame:
-    """Every place where a model's word stands on either strand. windows: kind, window_id, sequence; models: motif_id, family_id, rank.
+    """Every place where a model's word stands on either strand. windows: kind, window_id, sequence and more, which is kept; models: motif_id, family_id, rank.
 
     Every place of a window is taken once for each word length and joined on the word, so work grows with windows, not
     with windows times models. A library of up to BROADCAST_WORDS words is broadcast; a larger one is joined by shuffle.
@@ -38,12 +38,13 @@ def word_hits(windows: DataFrame, models: DataFrame) -> DataFrame:
     if not lengths:
         lengths = [1]
     # Explode, substring and join all stay inside generated code.
-    places = windows.select("kind", "window_id", "sequence", F.explode(F.array(*map(F.lit, lengths))).alias("width"))
+    kept = [c for c in windows.columns if c != "sequence"]
+    places = windows.select(*kept, "sequence", F.explode(F.array(*map(F.lit, lengths))).alias("width"))
     places = places.where(F.length("sequence") >= F.col("width")).select("*", F.explode(F.sequence(F.lit(1), F.length("sequence") - F.col("width") + 1)).alias("start"))
-    places = places.select("kind", "window_id", "width", "start", F.substring("sequence", F.col("start"), F.col("width")).alias("matched"))
+    places = places.select(*kept, "width", "start", F.substring("sequence", F.col("start"), F.col("width")).alias("matched"))
     found = places.join(both, F.col("matched") == F.col("word"))
     score, p = (2.0 * F.col("width")).alias("score"), F.pow(F.lit(0.25), F.col("width")).alias("p")
-    return found.select("kind", "motif_id", "family_id", "rank", "window_id", "start", (F.col("start") + F.col("width") - 1).alias("stop"), "strand", "matched", score, p)
+    return found.select(*kept, "motif_id", "family_id", "rank", "start", (F.col("start") + F.col("width") - 1).alias("stop"), "strand", "matched", score, p)
 
 
 @dataclass(frozen=True)

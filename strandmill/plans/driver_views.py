@@ -27,7 +27,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def contigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(ord, contig, sequence, length)."""
     seq = F.translate(F.upper(F.regexp_replace("text", "[^A-Za-z]", "")), LETTERS, FOLDED)
-    docs = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("ord"), F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("contig"), seq.alias("sequence"))
+    # Few files or row groups would leave the folding of all letters to few tasks.
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").repartition("doc_id").select(F.col("doc_id").alias("ord"), F.concat(F.lit("doc"), F.col("doc_id").cast("string")).alias("contig"), seq.alias("sequence"))
     return docs.withColumn("length", F.length("sequence").cast("bigint")).where("length > 0")
 
 

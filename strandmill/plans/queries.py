@@ -40,12 +40,13 @@ def query(sql: str | None = None):
 def _sides(windows: DataFrame) -> DataFrame:
     """Windows and their reversed controls, in one pass over the windows."""
     two = F.array(F.struct(F.lit("real").alias("kind"), F.col("sequence").alias("sequence")), F.struct(F.lit("control").alias("kind"), F.reverse("sequence").alias("sequence")))
-    return windows.select("window_id", F.explode(two).alias("side")).select("side.kind", "window_id", "side.sequence")
+    kept = [c for c in windows.columns if c != "sequence"]
+    return windows.select(*kept, F.explode(two).alias("side")).select("side.kind", *kept, "side.sequence")
 
 
 def _hits(spark: SparkSession, sf_dir: str, records: DataFrame | None = None) -> DataFrame:
     windows = V.windows(V.records(spark, sf_dir) if records is None else records)
-    return V.valued(word_hits(_sides(windows), V.models(spark)))
+    return V.valued(word_hits(_sides(windows.select("window_id", "sequence")), V.models(spark)))
 
 
 def _alleles(records: DataFrame) -> DataFrame:
@@ -332,9 +333,9 @@ _METRICS = "metrics AS (" + _metric_sql("fold_id, motif_id", "by_fold", "totals"
 
 def _fold_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = V.windows(V.records(spark, sf_dir))
-    best = E.best_hits(V.valued(word_hits(_sides(windows), V.models(spark))), ["kind", "motif_id", "window_id"], "positional")
+    best = E.best_hits(V.valued(word_hits(_sides(windows.select("window_id", "fold_id", "sequence")), V.models(spark))), ["kind", "motif_id", "window_id"], "positional")
     totals = windows.groupBy("fold_id").agg(F.count("*").alias("n_windows")).crossJoin(F.broadcast(V.models(spark).select("motif_id")))
-    return E.metrics(best.join(windows.select("window_id", "fold_id"), "window_id"), totals, ["fold_id", "motif_id"], FLANK, RADIUS)
+    return E.metrics(best, totals, ["fold_id", "motif_id"], FLANK, RADIUS)
 
 
 @query(V.sql("SELECT * FROM metrics", _BEST, *_BY_FOLD, _METRICS))
@@ -351,7 +352,7 @@ def subset_metric(spark, sf_dir):
     windows = V.windows(r)
     loci = r.where((F.col("role") == "pacbio") & G.has_alt(G.alleles_of(F.col("gt"))))
     marked = E.mark_loci(windows, loci, ["contig", "pos"], "shared").select("window_id", F.when(F.col("shared"), "shared").otherwise("additional").alias("subset"))
-    best = E.best_hits(V.valued(word_hits(_sides(windows), V.models(spark))), ["kind", "motif_id", "window_id"], "positional").join(marked, "window_id")
+    best = E.best_hits(V.valued(word_hits(_sides(windows.select("window_id", "sequence")), V.models(spark))), ["kind", "motif_id", "window_id"], "positional").join(marked, "window_id")
     totals = marked.groupBy("subset").agg(F.count("*").alias("n_windows")).crossJoin(F.broadcast(V.models(spark).select("motif_id")))
     return E.metrics(best, totals, ["subset", "motif_id"], FLANK, RADIUS)
 
