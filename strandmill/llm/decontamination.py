@@ -7,7 +7,11 @@ takes the rarest word of each phrase in the segment, shifts its places by the wo
 intersects them with the lists of the other words from rare to frequent. proximity_matches() finds documents where
 all words of an item lie within a span.
 
-Nulls: a null text has no words; a null doc_id is kept as it is. A null or wordless item never matches. Repeated
+Items are searched in blocks of bounded size, one broadcast at a time: with more than one, a pass writes the index with
+what it found so far, and the last pass reports.
+
+Nulls: a null text has no words; a null doc_id is kept as it is. A null or wordless item never matches, nor does one
+without an item_id, which could not be named. Repeated
 rows are kept, each with its own result. Extra columns are ignored. Empty tables give empty results.
 """
 
@@ -21,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strandmill.llm.shared import write_table
+from strandmill.llm.shared import drop_table, write_table
 from strandmill.llm.words import U, chunks, split_words, text_bytes
 
 INDEX_SCHEMA = "docs array<bigint>, firsts binary, terms binary, ends binary, places binary"
@@ -59,7 +63,7 @@ class Phrases:
     """Windows of item words: term numbers (padded with -1), item of each, and the sorted distinct term hashes."""
 
     def __init__(self, items: list[tuple[int, str]], window: int):
-        items = [(i, t) for i, t in items if t]
+        items = [(i, t) for i, t in items if t and i is not None]
         words = split_words(*text_bytes(pa.array([t for _, t in items], pa.string())))
         self.terms, number = np.unique(words.hash, return_inverse=True)
         rows, whose = [], []
@@ -73,6 +77,12 @@ class Phrases:
         both, self.of = np.unique(np.column_stack([whose, table]) if rows else np.zeros((0, window + 1), np.int64), axis=0, return_index=True)
         self.items, self.table = both[:, 0], both[:, 1:]
         self.sizes = (self.table >= 0).sum(1)
+        # Phrases are looked up by their rarest term among all phrases.
+        if len(self.table):
+            often = np.append(np.bincount(self.table[self.table >= 0], minlength=len(self.terms)), np.iinfo(np.int64).max)
+            key = self.table[np.arange(len(self.table)), often[self.table].argmin(1)]
+            self.by_key = np.argsort(key, kind="stable")
+            self.key_first = np.searchsorted(key[self.by_key], np.arange(len(self.terms) + 1))
 
 
 class Segment:
@@ -102,12 +112,17 @@ class Segment:
     def phrases(self, query: Phrases) -> tuple[np.ndarray, np.ndarray]:
         """(phrase number, first place) of every occurrence that lies within one document."""
         none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if not len(query.table):
+            return none
         slot = np.append(self.slots(query.terms), -2)  # -2 stands for padding
-        table = slot[query.table]
-        alive = np.flatnonzero((table != -1).all(1) & (query.sizes > 0))
+        here = np.flatnonzero(slot[:-1] >= 0)
+        low, many = query.key_first[here], query.key_first[here + 1] - query.key_first[here]
+        alive = query.by_key[np.repeat(low - np.cumsum(many) + many, many) + np.arange(many.sum())]
+        table = slot[query.table[alive]]
+        whole = (table != -1).all(1)
+        alive, table = alive[whole], table[whole]
         if not len(alive):
             return none
-        table = table[alive]
         size = np.where(table >= 0, (self.ends - self.starts)[np.maximum(table, 0)], np.iinfo(np.int64).max)
         rank = np.argsort(size, axis=1, kind="stable")
         keys = self.keys(np.unique(table[table >= 0]))
@@ -201,35 +216,62 @@ def proximity_matches(index: DataFrame, items: DataFrame, span: int = 40, block_
     return index.sparkSession.createDataFrame([], "doc_id bigint, item_id bigint, at bigint") if out is None else out
 
 
+#: The index and what earlier blocks of items found: the words that hits begin and end at, and (document, item) pairs.
+FOUND_SCHEMA = INDEX_SCHEMA + ", steps binary, found array<struct<doc:bigint,item:bigint>>"
+
+
+def _search(batches: Iterator[pa.RecordBatch], query: Phrases) -> Iterator[tuple[dict, Segment, np.ndarray, list]]:
+    """(row, segment, steps, pairs found) of each row, with the block's finds added to those of earlier ones."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            seg = Segment(row)
+            step = np.frombuffer(row["steps"], np.int64).copy() if row.get("steps") else np.zeros(int(seg.first[-1]) + 1, np.int64)
+            found = [(x["doc"], x["item"]) for x in row.get("found") or ()]
+            which, place = seg.phrases(query)
+            np.add.at(step, place, 1)
+            np.add.at(step, place + query.sizes[which], -1)
+            doc = np.searchsorted(seg.first, place, "right") - 1
+            if len(doc):
+                found += [(int(d), int(i)) for d, i in np.unique(np.column_stack([doc, query.items[which]]), axis=0)]
+            yield row, seg, step, found
+
+
 def contamination(index: DataFrame, items: DataFrame, window: int = 13, one_in: int = 20, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Per document its words, words inside any occurrence, items that occur, and whether hits are at least 1 in one_in words."""
-    blocks = [index.sparkSession.sparkContext.broadcast(Phrases(b, window)) for b in _blocks(items, window, block_bytes)]
-
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    spark, path, blocks = index.sparkSession, None, _blocks(items, window, block_bytes)
+    block = next(blocks, [])
+    while (following := next(blocks, None)) is not None:
+        query = spark.sparkContext.broadcast(Phrases(block, window))
+
+        def add(batches: Iterator[pa.RecordBatch], query=query) -> Iterator[pa.RecordBatch]:
+            schema = pa.schema([("docs", pa.list_(pa.int64())), *((n, pa.binary()) for n in ("firsts", "terms", "ends", "places", "steps")), ("found", pa.list_(pa.struct([("doc", pa.int64()), ("item", pa.int64())])))])
+            for row, _, step, found in _search(batches, query.value):
+                yield pa.RecordBatch.from_pylist([{**row, "steps": step.tobytes(), "found": [{"doc": d, "item": i} for d, i in found]}], schema)
+
+        before = path
+        index, path = write_table(index.mapInArrow(add, FOUND_SCHEMA), "found")
+        if before:
+            drop_table(spark, before)
+        query.destroy()
+        block = following
+    last = spark.sparkContext.broadcast(Phrases(block, window))
+
+    def report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         empty = hashlib.sha256(b"").hexdigest()
-        for batch in batches:
-            for row in batch.to_pylist():
-                seg = Segment(row)
-                n = np.diff(seg.first)
-                step = np.zeros(int(seg.first[-1]) + 1, np.int64)
-                items_of: dict[int, set[str]] = {}
-                for block in blocks:
-                    query = block.value
-                    which, place = seg.phrases(query)
-                    np.add.at(step, place, 1)
-                    np.add.at(step, place + query.sizes[which], -1)
-                    doc = np.searchsorted(seg.first, place, "right") - 1
-                    for d, w in np.unique(np.column_stack([doc, query.items[which]]), axis=0) if len(doc) else ():
-                        items_of.setdefault(int(d), set()).add(str(w))
-                hit = np.concatenate([[0], np.cumsum(np.cumsum(step[:-1]) > 0)])
-                hits = hit[seg.first[1:]] - hit[seg.first[:-1]]
-                names = [sorted(items_of.get(d, ())) for d in range(len(n))]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(seg.docs, pa.int64()), pa.array(n), pa.array(hits), pa.array([len(x) for x in names], pa.int64()), pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() if x else empty for x in names]), pa.array((hits > 0) & (one_in * hits >= n))],
-                    REPORT_SCHEMA.replace(" bigint", "").replace(" string", "").replace(" boolean", "").split(", "),
-                )
-
-    return index.mapInArrow(search, REPORT_SCHEMA)
+        for _, seg, step, found in _search(batches, last.value):
+            n = np.diff(seg.first)
+            items_of: dict[int, set[str]] = {}
+            for d, i in found:
+                items_of.setdefault(d, set()).add(str(i))
+            hit = np.concatenate([[0], np.cumsum(np.cumsum(step[:-1]) > 0)])
+            hits = hit[seg.first[1:]] - hit[seg.first[:-1]]
+            names = [sorted(items_of.get(d, ())) for d in range(len(n))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(seg.docs, pa.int64()), pa.array(n), pa.array(hits), pa.array([len(x) for x in names], pa.int64()), pa.array([hashlib.sha256(",".join(x).encode()).hexdigest() if x else empty for x in names]), pa.array((hits > 0) & (one_in * hits >= n))],
+                REPORT_SCHEMA.replace(" bigint", "").replace(" string", "").replace(" boolean", "").split(", "),
+            )
+
+    return index.mapInArrow(report, REPORT_SCHEMA)
 
 
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,7 +9,8 @@ different, and equal values stay equal in all documents:
 * iban: right by mod 97. The digits of the account part are permuted, country and letters stay, check digits are new.
 * ssn: a valid area, group and serial, permuted over the valid ones.
 * ipv4: four octets, permuted over all 2**32.
-* phone: + and a country code; the digits after it are permuted.
+* phone: + and a country code, found by its digits; those after it are permuted over their length, whatever separates
+  them, so a number keeps its pseudonym in every notation.
 * date: a real day between 1800 and 2199, as yyyy-mm-dd or dd/mm/yyyy, permuted over these 146,097 days.
 * email and secret (32 to 64 hexadecimal digits) are no numbers of bounded size: a keyed digest of the same shape.
 
@@ -42,6 +43,8 @@ PATTERNS = {
 }
 DAYS_A, DAYS_B = 189, 773  # 146,097 days in 400 years
 AREAS = 898  # 001 to 899 without 666
+#: Country calling codes of two digits; 1 and 7 have one, all others three.
+TWO_DIGIT_CODES = [20, 27, 30, 31, 32, 33, 34, 36, 39, 40, 41, 43, 44, 45, 46, 47, 48, 49, 51, 52, 53, 54, 55, 56, 57, 58, 60, 61, 62, 63, 64, 65, 66, 81, 82, 84, 86, 90, 91, 92, 93, 94, 95, 98]
 
 _long = lambda c: c.cast("bigint")
 
@@ -129,7 +132,8 @@ def _iban(key: Column, x: Column) -> Column:
 
 
 def _phone(key: Column, x: Column) -> Column:
-    code = F.length(F.regexp_extract(x, r"^\+[0-9]{1,3}(?=[ (-])|^\+[0-9]", 0))
+    two = F.substring(x, 2, 2).isin(*map(str, TWO_DIGIT_CODES))
+    code = 1 + F.when(F.substring(x, 2, 1).isin("1", "7"), 1).when(two, 2).otherwise(3)  # of the digits, not of how they are grouped
     d = F.regexp_replace(F.substring(x, code + 1, F.length(x)), "[^0-9]", "")
     return _place(x, _digits(key, F.concat(F.lit("phone"), F.substring(x, F.lit(1), code)), d), code)
 

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandmill.llm.bloom import build_filter, filter_blocks, with_possible
+from strandmill.llm.shared import write_table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -30,7 +31,9 @@ RULES = [
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 ]
-#: Names of sites whose pages make up the list.
+#: So many listed URLs are of sites without a page.
+LISTED_ELSEWHERE = 20_000
+#: Names of sites whose pages are listed.
 LISTED_SITES = ["ads-track", "casino-win", "cheap-pills", "free-bets"]
 
 
@@ -51,7 +54,7 @@ def _rest(url: Column) -> Column:
 def canonical(host: Column, path: Column) -> Column:
     """Host without a leading www. or m., path without .html and closing slashes; scheme, query and fragment don't count. Null for an empty host."""
     bare = F.regexp_replace(host, r"^(www|m)\.", "")
-    return F.when(host != "", F.concat(bare, F.regexp_replace(path, r"(\.html|/+)$", "")))
+    return F.when(host != "", F.concat(bare, F.regexp_replace(path, r"(\.html|/+)\z", "")))
 
 
 def rule_for(host: Column, path: Column, rules: list[tuple[str, str, str]]) -> tuple[Column, Column]:
@@ -73,7 +76,8 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)
     judged = pages.select("page_id", host.alias("host"), path.alias("path")).withColumns({"rule": rule, "ruled": verdict})
     judged = judged.withColumn("canonical", F.when(F.col("ruled").isNull(), canonical(F.col("host"), F.col("path"))))
-    wanted = listed.select(F.col("canonical").alias("entry")).where("entry is not null").distinct()
+    # Stored once: counted, made into a filter and joined.
+    wanted, _ = write_table(listed.select(F.col("canonical").alias("entry")).where("entry is not null").distinct(), "listed")
     blocks = filter_blocks(wanted.count() if n_listed is None else n_listed)
     seen = with_possible(judged, "canonical", build_filter(wanted, "entry", blocks), blocks, "possible")
     sure = seen.where(~F.col("possible")).withColumn("entry", F.lit(None).cast("string"))
@@ -81,16 +85,18 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
     salts = 16
     salted = wanted.select("entry", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     hits = seen.where("possible").withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(salts)).cast("int"))
-    exact = hits.join(salted.hint("shuffle_hash"), (F.col("canonical") == F.col("entry")) & (hits.salt == salted.salt), "left").drop("salt")
+    exact = hits.join(salted, (F.col("canonical") == F.col("entry")) & (hits.salt == salted.salt), "left").drop("salt")
     out = sure.unionByName(exact)
     return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("entry").isNotNull(), "block").otherwise("allow")).alias("verdict"), F.when(F.col("ruled").isNull(), F.col("entry").isNotNull()).alias("listed"))
 
 
-def listed_urls(pages: DataFrame, sites: list[str] = LISTED_SITES) -> DataFrame:
-    """The list of the query: canonical URLs of the pages on the listed sites."""
+def listed_urls(pages: DataFrame, sites: list[str] = LISTED_SITES, elsewhere: int = LISTED_ELSEWHERE) -> DataFrame:
+    """The list of the query: canonical URLs of the pages on the listed sites, and so many that no page has."""
     host, path = host_of(F.col("url")), path_of(F.col("url"))
     on = reduce(lambda a, b: a | b, [F.col("host").rlike(rf"(^|\.){s}\.") for s in sites])
-    return pages.select(host.alias("host"), path.alias("path")).where(on).select(canonical(F.col("host"), F.col("path")).alias("canonical"))
+    own = pages.select(host.alias("host"), path.alias("path")).where(on).select(canonical(F.col("host"), F.col("path")).alias("canonical"))
+    other = pages.sparkSession.range(elsewhere).select(F.concat(F.lit("listed"), F.col("id").cast("string"), F.lit(".test/p/"), F.col("id").cast("string")).alias("canonical"))
+    return own.unionByName(other)
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,7 +119,7 @@ rules(verdict, h, p) AS (
 fits AS (
   SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS ruled
   FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id),
-list AS (SELECT DISTINCT canonical FROM keyed WHERE site AND canonical IS NOT NULL)
+list AS (SELECT canonical FROM keyed WHERE site AND canonical IS NOT NULL UNION SELECT 'listed' || i || '.test/p/' || i FROM range(20000) t(i))
 SELECT k.page_id, k.host, k.path, f.rule,
        coalesce(f.ruled, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
        CASE WHEN f.ruled IS NULL THEN l.canonical IS NOT NULL END AS listed

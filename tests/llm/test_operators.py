@@ -110,6 +110,27 @@ def test_sql(spark, name):
     compare(QUERIES[name](spark, SF), connect(SF), ORACLE_SQL[name])
 
 
+def test_urls_false_positives(spark, monkeypatch):
+    """With two bits a key the filter takes most URLs for listed ones; the exact join removes them, with the filter broadcast and joined."""
+    monkeypatch.setattr(urls, "filter_blocks", lambda n: 4)
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(F.lit("https://h.test/p/"), (F.col("id") % 900).cast("string")).alias("url"))
+    listed = spark.range(300).select(F.concat(F.lit("h.test/p/"), (F.col("id") * 7).cast("string")).alias("canonical"))
+    want = {i for i in range(3000) if i % 900 % 7 == 0}
+    for limit in (bloom.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(bloom, "BROADCAST_BYTES", limit)
+        out = urls.judge_urls(pages, listed)
+        assert {r["page_id"] for r in out.where("verdict = 'block'").collect()} == want and out.count() == 3000
+
+
+def test_phones_in_any_notation(spark):
+    same = ["+44 20 7946 0958", "+442079460958", "+44 2079 460958"]
+    a, b, c = (re.sub("[^0-9]", "", x) for x in _mask(spark, same))
+    assert a == b == c != "442079460958" and a.startswith("44")
+    one, two = _mask(spark, ["+1 (212) 555-7713", "+12125557713"])
+    assert re.sub("[^0-9]", "", one) == re.sub("[^0-9]", "", two)
+    assert _mask(spark, ["+353 1 234 5678"])[0].startswith("+353 ")
+
+
 def test_urls_odd(spark):
     rows = [(1, None), (2, "no scheme"), (3, "http://"), (4, "HTTP://A.Example.COM/en/7?x#y"), (5, "x://y://net/de/1"), (6, "http://example.net/de/81#a"), (7, "http://www.cheap-pills.example.com/q.html"), (8, "http://m.cheap-pills.example.com/q/"), (9, "http://org/es/"), (9, "http://org/es/")]
     pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash"))
@@ -465,6 +486,30 @@ def test_line_dedup_leaves_no_run_that_earlier_documents_have(spark):
 # --- 7
 
 
+def test_decontamination_in_blocks(spark):
+    """Items without an id are left out; one block at a time gives what one block of all gives."""
+    rng = random.Random(4)
+    word = lambda: f"w{rng.randint(0, 40)}"
+    items = [(i, " ".join(word() for _ in range(rng.randint(0, 30)))) for i in range(40)] + [(None, "w1 w2 w3"), (50, None), (51, "")]
+    docs = [(i, " ".join([*(word() for _ in range(20)), items[i][1], *(word() for _ in range(20))])) for i in range(40)] + [(None, items[3][1]), (7, None), (8, "")]
+    item_df = spark.createDataFrame(items, "item_id long, text string")
+    index = decontamination.build_index(spark.createDataFrame(docs, DOC), 300)
+    whole = sorted(map(str, decontamination.contamination(index, item_df, 5).collect()))
+    assert sorted(map(str, decontamination.contamination(index, item_df, 5, block_bytes=500).collect())) == whole
+    words = [(d, t.split() if t else []) for d, t in docs]
+    for (d, w), r in zip(words, decontamination.contamination(index, item_df, 5).collect(), strict=True):
+        hit, found = set(), set()
+        for i, t in items:
+            q = (t or "").split()
+            k = min(5, len(q))
+            for a in range(len(q) - k + 1) if k and i is not None else ():
+                for b in range(len(w) - k + 1):
+                    if w[b : b + k] == q[a : a + k]:
+                        hit |= set(range(b, b + k))
+                        found.add(i)
+        assert (r["doc_id"], r["n_words"], r["n_hit"], r["n_items"]) == (d, len(w), len(hit), len(found))
+
+
 def test_decontamination(spark, odd, none):
     rng = random.Random(9)
     words = [f"w{i}" for i in range(30)]
@@ -518,6 +563,39 @@ def test_sharding(spark, odd):
     assert set(by) <= set(range(40)) and all(sorted(s for s, _ in v) == list(range(len(v))) for v in by.values())
 
 
+def test_sharding_is_balanced_and_its_map_is_kept(spark, tmp_path):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    got = sharding.op8_sharding(spark, "/root/testdata/sf0.01").collect()
+    want = sorted((r["doc_id"], len((r["text"] or "").encode()) + 16, zlib.crc32((r["text"] or "").encode())) for r in docs)
+    assert sorted((r["doc_id"], r["size"], r["text_crc32"]) for r in got) == want
+    load, places = [0] * 40, [[] for _ in range(40)]
+    for r in got:
+        load[r["shard"]] += r["size"]
+        places[r["shard"]].append(r["slot"])
+    # One document may be larger than the least difference.
+    assert max(load) - min(load) <= max(r["size"] for r in got) and all(sorted(p) == list(range(len(p))) for p in places)
+    folder, sizes = str(tmp_path / "map"), {s: 100 + s % 7 for s in range(sharding.SLOTS)}
+    shard_of = lambda m: [r["shard"] for r in m.orderBy("vslot").collect()]
+    first = shard_of(sharding.current_map(spark, folder, sizes, 40))
+    assert shard_of(sharding.current_map(spark, folder, sizes, 40)) == first and sharding.map_versions(spark, folder) == [1]
+    heavier = {**sizes, **{s: 150 for s, shard in enumerate(first) if shard == 3}}
+    second = shard_of(sharding.current_map(spark, folder, heavier, 40))
+    moved = sum(a != b for a, b in zip(first, second, strict=True))
+    assert sharding.map_versions(spark, folder) == [1, 2] and 0 < moved < sharding.SLOTS // 20
+    assert max(sharding.loads(second, heavier, 40)) <= sum(heavier.values()) * (1.001 / 40 + 1 / sharding.SLOTS)
+    assert shard_of(sharding.read_map(spark, folder, 1)) == first and max(shard_of(sharding.current_map(spark, folder, heavier, 41))) == 40
+    with pytest.raises(ValueError, match="version 9"):
+        sharding.read_map(spark, folder, 9)
+
+
+def test_sharding_odd(spark):
+    """Null keys are dealt by text, repeated rows one by one."""
+    rows = [(None, f"text {i}") for i in range(200)] + [(5, "same")] * 3 + [(6, None), (7, "")]
+    df = spark.createDataFrame(rows, DOC)
+    slots = {r[0] for r in df.where("doc_id is null").select(sharding.slot_of(F.coalesce(F.col("doc_id"), F.xxhash64("text")))).collect()}
+    assert len(slots) > 150
+
+
 def test_rebalance():
     rng = random.Random(3)
     sizes = {s: rng.randint(1, 100) for s in range(1000)}
@@ -531,6 +609,90 @@ def test_rebalance():
     assert max(fewer) == 38
 
 
+def _exact_lines(rows, min_words):
+    """Brute force: per (doc_id, text) in order, the runs of lines that earlier documents have are deleted if long enough."""
+    seen, out = set(), {}
+    for doc, text in sorted(set(rows)):
+        lines = text.split("\n")
+        owned = [not x.split() or x in seen for x in lines]
+        keep, run = [], []
+        for x, o in [*zip(lines, owned, strict=True), (None, False)]:
+            if o:
+                run.append(x)
+                continue
+            while run and not run[0].split():  # blank lines at the ends stay
+                keep.append(run.pop(0))
+            tail = []
+            while run and not run[-1].split():
+                tail.insert(0, run.pop())
+            keep += tail if sum(len(r.split()) for r in run) >= min_words else run + tail
+            run = []
+            if x is not None:
+                keep.append(x)
+        out[doc, text] = "\n".join(keep)
+        seen |= {x for x in lines if x.split()}
+    return out
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_line_dedup_against_brute_force(spark, seed):
+    """Blocks in other orders, repeats within a document, blank lines, repeated ids with other texts and repeated rows."""
+    rng = random.Random(seed)
+    pool = [" ".join(f"w{rng.randint(0, 500)}" for _ in range(rng.randint(3, 8))) for _ in range(50)]
+    rows = []
+    for i in range(80):
+        at = rng.randint(0, 44)
+        block = pool[at : at + rng.randint(2, 6)]
+        if rng.random() < 0.4:
+            block = block[::-1]
+        lines = [f"own {i} {rng.random()}", *block, "", *rng.sample(pool, 3), *block[: rng.randint(0, 4)], f"end {i}"]
+        rows.append((i // 2 if i % 8 == 0 else i, "\n".join(lines)))
+    rows += rows[:3]
+    got = linededup.dedup_lines(spark.createDataFrame(rows, DOC).withColumn("row", F.col("text"))).collect()
+    keys = {}
+    for d, t in rows:
+        keys.setdefault(d, set()).add(t)
+    # Documents of one id come in the order of a hash, so only ids with one text are compared with the order of the text.
+    want = _exact_lines(rows, linededup.MIN_WORDS)
+    several = {d for d, t in keys.items() if len(t) > 1}
+    if several:
+        first = {t for d in several for t in keys[d]}
+        rank = {r["text"]: r["k"] for r in spark.createDataFrame([(d, t) for d, t in rows if t in first], DOC).select("text", F.xxhash64("doc_id", "text").alias("k")).collect()}
+        order = sorted(set(rows), key=lambda r: (r[0], rank.get(r[1], 0)))
+        want = {}
+        numbered = [(k, t) for k, (_, t) in enumerate(order)]
+        fixed = _exact_lines(numbered, linededup.MIN_WORDS)
+        want = {order[k]: v for (k, _), v in fixed.items()}
+    assert len(got) == len(rows)
+    for r in got:
+        assert r["text"] == want[r["doc_id"], r["row"]]
+
+
+def test_line_dedup_block_of_a_later_owner(spark):
+    lines = [f"line number {k} has six words" for k in "abcdef"]
+    rows = [(1, "\n".join(lines[::-1])), (2, "\n".join(["second starts", *lines, "second ends"])), (3, "\n".join(["third starts", *lines, "third ends"]))]
+    got = {r["doc_id"]: r for r in linededup.dedup_lines(spark.createDataFrame(rows, DOC)).collect()}
+    assert got[1]["text"] == rows[0][1] and got[3]["text"] == "third starts\nthird ends" and got[3]["n_removed_words"] == 36
+
+
+def test_line_dedup_partners_rarest_first():
+    rarity = {1: 9, 2: 2, 3: 5, 4: 2}
+    owners = {1: [(0, 0)], 2: [(3, 3), (5, 5)], 3: [(0, 0), (5, 5)], 4: [(5, 5)]}
+    assert linededup.partners_for([(0, 4)], [1, 2, 3, 4], rarity, owners) == [(5, 5), (0, 0)]
+
+
+def test_line_dedup_hot_partner_and_names(spark, monkeypatch):
+    """A line block of most documents, spread over copies of its owner; columns named as those used inside."""
+    block = "\n".join(f"a hot block of words number {k}" for k in range(6))
+    rows = [(i, f"{block}\nown words {i}") for i in range(700)]
+    names = ["row", "entry", "change", "kept", "block", *(f"w{i}" for i in range(8)), "possible", "words", "salt", "hashes", "copy", "copies", "rows_of_key"]
+    df = spark.createDataFrame(rows, DOC).withColumns({n: F.lit(n) for n in names})
+    out = linededup.dedup_lines(df)
+    got = {r["doc_id"]: r for r in out.collect()}
+    assert out.columns[: len(df.columns)] == df.columns and all(r[n] == n for r in got.values() for n in names)
+    assert got[0]["text"] == rows[0][1] and all(got[i]["text"] == f"own words {i}" for i in range(1, 700))
+
+
 # --- 9
 
 

@@ -35,6 +35,35 @@ def test_stages(spark):
     assert {r["doc_id"] for r in stages["packing"](spark, docs, SF).collect()} == set(range(1, 11))
 
 
+def test_stages_know_rows_by_id_and_text(spark):
+    """Repeated and null ids, repeated rows, and columns named as those used inside."""
+    rng = random.Random(2)
+    text = lambda n: " ".join("".join(rng.choice("aeioustrn") for _ in range(6)) for _ in range(n))
+    one, two, three, four = (text(60) for _ in range(4))
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy(F.desc(F.length("text"))).first()["text"]
+    rows = [(1, one), (5, one), (5, two), (7, three), (7, three), (None, four), (None, four), (None, one), (8, ""), (8, ""), (9, None)]
+    inside = ["row", "entry", "n_removed_lines", "change", "block", "w0", "possible", "kept", "words", "key", "node", "root", "salt"]
+    docs = _docs(spark, rows).withColumns({n: F.lit(7) for n in inside if n != "entry"})
+    stages = dict(P.STAGES)
+    kept = stages["near_duplicates"](spark, docs, SF)
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted([(1, one), (5, two), (7, three), (None, four), (8, ""), (8, ""), (9, None)], key=str)
+    assert kept.columns == docs.columns and kept.where("possible <> 7 or block <> 7 or row <> 7").isEmpty()
+    more = _docs(spark, [*rows, (None, item), (7, item)]).withColumns({n: F.lit(7) for n in inside if n != "entry"})
+    clean = stages["decontamination"](spark, more, SF)
+    assert sorted(((r["doc_id"], r["text"]) for r in clean.collect()), key=str) == sorted(rows, key=str) and clean.columns == docs.columns
+    block = "\n".join(text(12) for _ in range(4))
+    lines = _docs(spark, [(1, block), (2, f"{block}\nown line"), (2, "another text"), (None, block), (3, None)]).withColumns({n: F.lit(7) for n in inside if n != "entry"})
+    got = {(r["doc_id"], r["text"], r["n_chars"], r["n_removed_lines"]) for r in stages["line_dedup"](spark, lines, SF).collect()}
+    assert got == {(1, block, len(block), 7), (2, "own line", 8, 7), (2, "another text", 12, 7), (None, block, len(block), 7), (3, None, None, 7)}
+
+
+def test_stages_on_empty_tables(spark):
+    docs = _docs(spark, [(1, "x")]).limit(0)
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, SF)
+        assert out.count() == 0 and (name == "packing" or out.columns == docs.columns)
+
+
 def test_toxicity_stage_agrees_with_scores(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
