@@ -85,7 +85,7 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
     salts = 16
     salted = wanted.select("entry", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     hits = seen.where("possible").withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(salts)).cast("int"))
-    exact = hits.join(salted, (F.col("canonical") == F.col("entry")) & (hits.salt == salted.salt), "left").drop("salt")
+    exact = hits.join(salted.hint("merge"), (F.col("canonical") == F.col("entry")) & (hits.salt == salted.salt), "left").drop("salt")
     out = sure.unionByName(exact)
     return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("entry").isNotNull(), "block").otherwise("allow")).alias("verdict"), F.when(F.col("ruled").isNull(), F.col("entry").isNotNull()).alias("listed"))
 
