@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strandmill.llm.shared import write_table
 from strandmill.llm.words import chunks
 
 RATE = 8000
@@ -275,4 +276,5 @@ def stored_features(stored: DataFrame) -> DataFrame:
 
 def op10_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's text stored as audio samples, sniffed and read back."""
-    return stored_features(store_texts(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    stored, _ = write_table(store_texts(spark.read.parquet(f"{sf_dir}/documents.parquet")), "op10-media")
+    return stored_features(stored)
