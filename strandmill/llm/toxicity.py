@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandmill.llm.labelled import fold, sample
-from strandmill.llm.shared import small_batches
+from strandmill.llm.shared import release, small_batches
 from strandmill.llm.words import FOLD, U, Words, bucketed, chunks, mix, split_words, text_bytes
 
 WINDOW, STRIDE = 40, 30
@@ -262,7 +262,10 @@ def scores(p: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 def learn(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0, rows: int = TRAIN_ROWS) -> dict:
     """A network trained on at most `rows` labelled documents."""
     learned = sample(docs, labels, "toxic", folds, held_out, rows)
-    return train([t for _, t, _ in learned], np.array([y for *_, y in learned], F32))
+    out = train([t for _, t, _ in learned], np.array([y for *_, y in learned], F32))
+    del learned
+    release(docs.sparkSession)
+    return out
 
 
 def score_toxicity(docs: DataFrame, parameters: dict, folds: int = 5, held_out: int = 0, threshold: float = 0.5) -> DataFrame:
