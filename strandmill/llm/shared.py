@@ -84,3 +84,24 @@ def spread_join(many: DataFrame, one: DataFrame, key: str, by: str, counted: Dat
     dealt = many.join(copies, key, "left").withColumn("copy", copy).drop("copies")
     spread = one.join(copies, key, "left").withColumn("copy", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1))).drop("copies")
     return dealt.join(spread, [key, "copy"]).drop("copy")
+
+
+def text_key(column: Column) -> Column:
+    """A column as a string that is never null: two values have the same one exactly if they are equal or both null."""
+    return F.coalesce(F.concat(F.lit("="), column.cast("string")), F.lit(""))
+
+
+def attach(many: DataFrame, one: DataFrame, key: str, by: str, few: int = 100_000) -> DataFrame:
+    """many joined with one, whose keys are distinct and which is broadcast if it has at most `few` rows; else hot keys are
+    dealt out. many is a stored table; its keys aren't null."""
+    if one.count() <= few:
+        return many.join(F.broadcast(one), key)
+    return spread_join(many, one, key, by, many)
+
+
+def range_sorted(df: DataFrame, keys: list[Column], tag: str, part: str = "part", place: str = "place") -> DataFrame:
+    """df as a stored table in global order: rows of a smaller `part` come first, within one those of a smaller `place`,
+    from 0. No task holds more than one range of the keys, which should be nearly distinct."""
+    at = F.monotonically_increasing_id()
+    out = df.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumns({part: F.shiftright(at, 33).cast("int"), place: at.bitwiseAND(F.lit((1 << 33) - 1))})
+    return write_table(out, tag)[0]
