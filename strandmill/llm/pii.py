@@ -18,8 +18,9 @@ The permutation is an alternating Feistel network of ROUNDS rounds over two part
 sizes; round values come from SHA-256 of key, kind, round and the other part. It maps a kind's space onto itself
 exactly, without cycle walking.
 
-Nulls: a null text stays null with no finds. Empty and very long texts, ties and repeated rows are ordinary; extra
-columns are dropped.
+Nulls: a null text stays null with no finds. Empty and very long texts, ties and repeated rows are ordinary; a find of any
+length is matched without recursion, as its only unbounded groups are possessive. Extra columns are dropped. An empty
+table gives an empty result.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 #: Patterns of the kinds, in order of preference.
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "secret": r"(?<![A-Za-z0-9])(?=[0-9A-Fa-f]*[0-9])(?=[0-9A-Fa-f]*[A-Fa-f])[0-9A-Fa-f]{32,64}(?![A-Za-z0-9])",
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "phone": r"\+1[ -]?\(?[0-9]{3}\)?[ -]?[0-9]{3}[ -]?[0-9]{4}(?![0-9])|\+[2-9][0-9]{0,2}(?:[ -]?\([0-9]{1,4}\))?(?:[ -]?[0-9]{2,4}){2,4}(?![0-9])",

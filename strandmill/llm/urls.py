@@ -7,8 +7,9 @@ which removes the filter's false positives (see bloom). A false positive rate ne
 
 Host rules stand before the list: the longest rule (host and path together) that fits a URL decides.
 
-Nulls: a null URL, or one without "://", has empty host and path, fits no rule and is never listed. Empty texts and
-repeated rows are ordinary rows. Extra columns are dropped. An empty list allows all.
+Nulls: a null URL, or one without "://", has empty host and path, fits no rule and is never listed. Empty texts, very
+long URLs and repeated rows are ordinary rows. Two rules of one length that both fit would tie; the one of the longer host
+decides. Extra columns are dropped. An empty list allows all; no pages give an empty result.
 """
 
 from __future__ import annotations
@@ -31,10 +32,13 @@ RULES = [
     ("block", "example.net", "/de/8"),
     ("block", "org", "/es/"),
 ]
-#: So many listed URLs are of sites without a page.
-LISTED_ELSEWHERE = 20_000
-#: Names of sites whose pages are listed.
+#: Sites, endings and languages of the query's list.
 LISTED_SITES = ["ads-track", "casino-win", "cheap-pills", "free-bets"]
+LISTED_ENDINGS = ["example.com", "example.net", "example.org"]
+LISTED_LANGUAGES = ["de", "en", "es", "fr"]
+SALTS = 16
+#: Rows of the salted list in one partition's hash table, at most a few times over.
+HASHED_ROWS = 500_000
 
 
 def host_of(url: Column) -> Column:
@@ -81,28 +85,30 @@ def judge_urls(pages: DataFrame, listed: DataFrame, rules: list[tuple[str, str,
     blocks = filter_blocks(wanted.count() if n_listed is None else n_listed)
     seen = with_possible(judged, "canonical", build_filter(wanted, "entry", blocks), blocks, "possible")
     sure = seen.where(~F.col("possible")).withColumn("entry", F.lit(None).cast("string"))
-    # One canonical URL may have a third of all rows: the exact join's large side is dealt by a salted key.
-    salts = 16
-    salted = wanted.select("entry", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
-    hits = seen.where("possible").withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(salts)).cast("int"))
-    exact = hits.join(salted.hint("merge"), (F.col("canonical") == F.col("entry")) & (hits.salt == salted.salt), "left").drop("salt")
+    # One canonical URL may have a third of all rows: the exact join's large side is dealt by a salted key. The list is
+    # the hashed side, in as many partitions as keep a partition's table small.
+    salted = wanted.select("entry", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("of"))
+    hits = seen.where("possible").withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    parts = wanted.count() * SALTS // HASHED_ROWS + 1
+    if parts > int(judged.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")):
+        salted, hits = salted.repartition(parts, "entry", "of"), hits.repartition(parts, "canonical", "salt")
+    exact = hits.join(salted.hint("shuffle_hash"), (F.col("canonical") == F.col("entry")) & (F.col("salt") == F.col("of")), "left").drop("salt", "of")
     out = sure.unionByName(exact)
     return out.select("page_id", "host", "path", "rule", F.coalesce("ruled", F.when(F.col("entry").isNotNull(), "block").otherwise("allow")).alias("verdict"), F.when(F.col("ruled").isNull(), F.col("entry").isNotNull()).alias("listed"))
 
 
-def listed_urls(pages: DataFrame, sites: list[str] = LISTED_SITES, elsewhere: int = LISTED_ELSEWHERE) -> DataFrame:
-    """The list of the query: canonical URLs of the pages on the listed sites, and so many that no page has."""
-    host, path = host_of(F.col("url")), path_of(F.col("url"))
-    on = reduce(lambda a, b: a | b, [F.col("host").rlike(rf"(^|\.){s}\.") for s in sites])
-    own = pages.select(host.alias("host"), path.alias("path")).where(on).select(canonical(F.col("host"), F.col("path")).alias("canonical"))
-    other = pages.sparkSession.range(elsewhere).select(F.concat(F.lit("listed"), F.col("id").cast("string"), F.lit(".test/p/"), F.col("id").cast("string")).alias("canonical"))
-    return own.unionByName(other)
+def listed_urls(labels: DataFrame) -> DataFrame:
+    """The query's list, which doesn't depend on the pages: on every listed site, ending and language the number of each toxic
+    document. Some have a page, most have none."""
+    across = lambda names: F.explode(F.array(*map(F.lit, names)))
+    rows = labels.where("toxic = 1 and doc_id is not null").select("doc_id").distinct()
+    rows = rows.select("doc_id", across(LISTED_SITES).alias("site")).select("*", across(LISTED_ENDINGS).alias("ending")).select("*", across(LISTED_LANGUAGES).alias("lang"))
+    return rows.select(F.concat("site", F.lit("."), "ending", F.lit("/"), "lang", F.lit("/"), F.col("doc_id").cast("string")).alias("canonical"))
 
 
 def op1_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's URL, judged by the host rules and the list."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url")
-    return judge_urls(pages, listed_urls(pages))
+    return judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url"), listed_urls(spark.read.parquet(f"{sf_dir}/labels.parquet")))
 
 
 OP1_SQL = r"""
@@ -112,14 +118,16 @@ parts AS (
   SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*', 0), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
          regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM split),
 keyed AS (
-  SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '(\.html|/+)$', '') END AS canonical,
-         regexp_matches(host, '(^|\.)(ads-track|casino-win|cheap-pills|free-bets)\.') AS site FROM parts),
+  SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^(www|m)\.', '') || regexp_replace(path, '(\.html|/+)$', '') END AS canonical FROM parts),
 rules(verdict, h, p) AS (
   VALUES ('block', 'com', '/en/'), ('allow', 'example.com', '/en/7'), ('allow', 'net', '/de/'), ('block', 'example.net', '/de/8'), ('block', 'org', '/es/')),
 fits AS (
   SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(verdict, length(h || p)) AS ruled
   FROM parts JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p) GROUP BY page_id),
-list AS (SELECT canonical FROM keyed WHERE site AND canonical IS NOT NULL UNION SELECT 'listed' || i || '.test/p/' || i FROM range(20000) t(i))
+list AS (
+  SELECT DISTINCT site || '.' || ending || '/' || lang || '/' || doc_id AS canonical
+  FROM labels, unnest(['ads-track', 'casino-win', 'cheap-pills', 'free-bets']) a(site), unnest(['example.com', 'example.net', 'example.org']) b(ending), unnest(['de', 'en', 'es', 'fr']) c(lang)
+  WHERE toxic = 1 AND doc_id IS NOT NULL)
 SELECT k.page_id, k.host, k.path, f.rule,
        coalesce(f.ruled, CASE WHEN l.canonical IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict,
        CASE WHEN f.ruled IS NULL THEN l.canonical IS NOT NULL END AS listed

@@ -1,5 +1,6 @@
 """The training-data operators against plain Python, and on odd inputs."""
 
+import datetime
 import hashlib
 import random
 import re
@@ -132,13 +133,28 @@ def test_phones_in_any_notation(spark):
 
 
 def test_urls_odd(spark):
-    rows = [(1, None), (2, "no scheme"), (3, "http://"), (4, "HTTP://A.Example.COM/en/7?x#y"), (5, "x://y://net/de/1"), (6, "http://example.net/de/81#a"), (7, "http://www.cheap-pills.example.com/q.html"), (8, "http://m.cheap-pills.example.com/q/"), (9, "http://org/es/"), (9, "http://org/es/")]
-    pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("host", F.lit("clash"))
-    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in urls.judge_urls(pages, urls.listed_urls(pages)).collect()}
-    assert got[1] == got[2] == ("", "", None, "allow") and got[3] == ("", "", None, "allow")
+    rows = [(1, None), (2, "no scheme"), (3, "http://"), (4, "HTTP://A.Example.COM/en/7?x#y"), (5, "x://y://net/de/1"), (6, "http://example.net/de/81#a"), (7, "http://www.cheap-pills.example.com/fr/5.html"), (8, "http://m.cheap-pills.example.com/fr/5/"), (9, "http://org/es/"), (9, "http://org/es/"), (10, "http://cheap-pills.example.com/fr/6"), (11, "http://h/" + "p" * 1_000_000), (12, "x" * 1_000_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumns({c: F.lit("clash") for c in ("host", "entry", "salt", "of", "possible", "canonical")})
+    listed = urls.listed_urls(spark.createDataFrame([(5, 1), (5, 1), (6, 0), (None, 1)], "doc_id long, toxic int"))
+    assert listed.count() == 48
+    out = urls.judge_urls(pages, listed)
+    got = {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in out.collect()}
+    assert got[1] == got[2] == ("", "", None, "allow") and got[3] == ("", "", None, "allow") and out.count() == len(rows)
     assert got[4] == ("a.example.com", "/en/7", "example.com/en/7", "allow") and got[5] == ("y:", "//net/de/1", None, "allow")
     assert got[6][2:] == ("example.net/de/8", "block") and got[7][3] == got[8][3] == "block" and got[9][2:] == ("org/es/", "block")
-    assert urls.judge_urls(pages.limit(0), urls.listed_urls(pages.limit(0))).count() == 0
+    assert got[10][3] == "allow" and got[11][:2] == ("h", rows[11][1][8:]) and got[12] == ("", "", None, "allow")
+    assert urls.judge_urls(pages.limit(0), listed).count() == 0
+    assert {r["verdict"] for r in urls.judge_urls(pages.where("page_id in (7, 8)"), listed.limit(0)).collect()} == {"allow"}
+
+
+@pytest.mark.parametrize("rows", [500_000, 20])
+def test_urls_are_joined_by_hash(spark, monkeypatch, rows):
+    monkeypatch.setattr(urls, "HASHED_ROWS", rows)
+    pages = spark.range(2000).select(F.col("id").alias("page_id"), F.concat(F.lit("https://free-bets.example.com/fr/"), (F.col("id") % 40).cast("string")).alias("url"))
+    out = urls.judge_urls(pages, urls.listed_urls(spark.createDataFrame([(i, 1) for i in range(9)], "doc_id long, toxic int")))
+    assert out.where("verdict = 'block'").count() == 450
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "SortMergeJoin" not in plan
 
 
 # --- 2, 3
@@ -301,6 +317,113 @@ def test_pii_formats(spark):
     assert _mask(spark, ["+1 (017) 555-7713"], "other")[0] != phone
 
 
+def _pii_plain(text, key):
+    """A text's pseudonyms by the rules of each kind in plain Python, and the kinds that changed."""
+    digits = lambda x: re.sub("[^0-9]", "", x)
+
+    def permuted(kind, d):
+        u = len(d) // 2
+        a, b = _feistel(key, f"{kind}{len(d)}", int(d[:u]), int(d[u:]), 10**u, 10 ** (len(d) - u))
+        return f"{a:0{u}d}{b:0{len(d) - u}d}"
+
+    def put(shape, new, keep=0):
+        it = iter(new)
+        return "".join(next(it) if c in "0123456789" and i >= keep else c for i, c in enumerate(shape))
+
+    def number(x):
+        return int("".join(str(int(c, 36)) for c in x)) % 97
+
+    def digest(kind, x):
+        return hashlib.sha256(f"{key}|{kind}|{x.lower()}".encode()).hexdigest()
+
+    def card(x):
+        d = digits(x)
+        if not _luhn(d):
+            return put(x, permuted("account", d))
+        p = permuted("card", d[:-1])
+        return put(x, next(p + c for c in "0123456789" if _luhn(p + c)))
+
+    def iban(x):
+        p = x.replace(" ", "")
+        d = digits(p[4:])
+        if number(p[4:] + p[:4]) != 1 or len(d) > 36:
+            return x
+        body = put(p[4:], permuted("iban" + x[:2], d) if len(d) >= 2 else d)
+        return put(x, f"{98 - number(body + p[:2] + '00'):02d}" + digits(body))
+
+    def phone(x):
+        code = 1 + (1 if x[1] in "17" else 2 if int(x[1:3]) in pii.TWO_DIGIT_CODES else 3)
+        return put(x, permuted("phone" + x[:code], digits(x[code:])), code)
+
+    def ssn(x):
+        a, g, n = map(int, x.split("-"))
+        if not (0 < a < 900 and a != 666 and g and n):
+            return x
+        i, j = _feistel(key, "ssn", (a - 1 - (a > 666)) * 99 + g - 1, n - 1, pii.AREAS * 99, 9999)
+        a = i // 99 + 1
+        return f"{a + (a >= 666):03d}-{i % 99 + 1:02d}-{j + 1:04d}"
+
+    def ipv4(x):
+        o = list(map(int, x.split(".")))
+        if max(o) > 255:
+            return x
+        i, j = _feistel(key, "ipv4", o[0] * 256 + o[1], o[2] * 256 + o[3], 65536, 65536)
+        return f"{i // 256}.{i % 256}.{j // 256}.{j % 256}"
+
+    def date(x):
+        first = datetime.date(1800, 1, 1)
+        try:
+            day = datetime.datetime.strptime(x, "%Y-%m-%d" if x[4] == "-" else "%d/%m/%Y").date()
+        except ValueError:
+            return x
+        n = (day - first).days
+        if not 0 <= n < pii.DAYS_A * pii.DAYS_B:
+            return x
+        i, j = _feistel(key, "date", n // pii.DAYS_B, n % pii.DAYS_B, pii.DAYS_A, pii.DAYS_B)
+        new = first + datetime.timedelta(i * pii.DAYS_B + j)
+        return new.isoformat() if x[4] == "-" else new.strftime("%d/%m/%Y")
+
+    new_of = {"email": lambda x: f"u{digest('email', x)[:16]}@{x.rpartition('@')[2]}", "secret": lambda x: digest("secret", x)[: len(x)], "iban": iban, "phone": phone, "date": date, "ssn": ssn, "card": card, "ipv4": ipv4}
+    changed = []
+
+    def one(m):
+        kind = next(k for k in pii.PATTERNS if re.fullmatch(pii.PATTERNS[k], m[0]))
+        new = new_of[kind](m[0])
+        changed.extend([kind] * (new != m[0]))
+        return new
+
+    out = None if text is None else re.sub("|".join(f"(?:{p})" for p in pii.PATTERNS.values()), one, text)
+    return out, len(changed), ",".join(sorted(set(changed)))
+
+
+def test_pii_whole_texts_against_plain_python(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rng = random.Random(9)
+    made = []
+    for _ in range(150):
+        d = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+        finds = [f"{d(4)}-{d(2)}-{d(2)}", f"{d(2)}/0{d(1)}/19{d(2)}", f"{d(3)}-{d(2)}-{d(4)}", d(16), f"{d(4)} {d(4)} {d(4)} {d(4)}", f"{d(3)}.{d(2)}.{d(1)}.{d(3)}", f"+1 {d(3)}-{d(3)}-{d(4)}", f"+49 {d(3)} {d(4)}", f"+35{d(9)}", f"A.{d(3)}@Mail-{d(2)}.example.org", hashlib.md5(d(5).encode()).hexdigest(), "GB82 WEST 1234 5698 7654 32", "DE89370400440532013000", f"FR{d(12)}"]
+        made.append(rng.choice([" ", ", ", "\n", " x "]).join(rng.choices(finds, k=6)))
+    rows = [tuple(r) for r in docs.select("doc_id", "text").collect()] + list(enumerate(made, 10**6)) + [(1, None), (2, ""), (2, ""), (None, "4111111111111111")] * 2
+    table = spark.createDataFrame(rows, DOC).withColumns({c: F.lit(1) for c in ("_text", "_found", "_new", "kinds", "n_replaced")})
+    got = sorted((tuple(r) for r in pii.pseudonymise(table, "k").collect()), key=str)
+    assert got == sorted(((i, *_pii_plain(t, "k")) for i, t in rows), key=str)
+    assert pii.pseudonymise(table.limit(0), "k").count() == 0
+
+
+def test_pii_of_very_long_texts(spark):
+    """A megabyte of each kind, of each pattern's repeated parts, and of what nearly fits."""
+    n = 1_000_000
+    unit = {"email": "ab.c@x-y.example.com ", "domain": "b.", "labels": "b-", "local": "a.", "secret": hashlib.sha256(b"1").hexdigest() + " ", "hex": "abcdef0123456789", "iban": "GB82 WEST 1234 5698 7654 32, ", "groups": " ABCD", "phone": "+1 (212) 555-7713; ", "plus": "+44 ", "date": "1985-02-28 ", "ssn": "123-45-6789 ", "card": "4111111111111111 ", "digits": "4-", "ipv4": "10.0.0.255 ", "octets": "1."}
+    unit = {k: u + "and so on, with other words " * 40 * (k in pii.PATTERNS) for k, u in unit.items()}
+    texts = [("a@" if k in ("domain", "labels") else "") + (u * (n // len(u) + 1))[: n // 20 if k == "digits" else n] + ("@x.yz" if k == "local" else "c") for k, u in unit.items()]
+    got = _mask(spark, texts)
+    for (k, u), old, new in zip(unit.items(), texts, got, strict=True):
+        # Finds are at most a unit long, but for e-mail addresses, whose local part shrinks.
+        want = _pii_plain(old[: 40 * len(u)], "k")[0] if k not in ("domain", "labels", "local") else None
+        assert new[: 30 * len(u)] == want[: 30 * len(u)] if want else re.fullmatch("u[0-9a-f]{16}", new.partition("@")[0]) or k == "labels"
+
+
 def test_pii_leaves_nothing_on_table(spark):
     before = dict(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
     found = re.compile(r"\b[\w.]+@[\w.]+|\+1 \(\d{3}\) \d{3}-\d{4}|\b\d{16}\b")
