@@ -15,7 +15,7 @@ from strandmill.functions import rules as R
 from strandmill.operators import families as M
 from strandmill.operators.alleles import left_align, normalise
 from strandmill.operators.consensus import observe, resolve
-from strandmill.operators.discover import discover
+from strandmill.operators import discover as D
 from strandmill.operators.folds import assign_folds
 from strandmill.operators.scan import Pwm, ScoringTable, pwm_hits, scan_sequence
 from strandmill.operators.shuffle import shuffle_letters, shuffled
@@ -144,29 +144,118 @@ def test_planted_motif_is_found(spark):
     for i in range(200):
         s = "".join(rng.choice("ACGT") for _ in range(60))
         rows += [(f"p{i}", s[:20] + "GATTACA" + s[27:], False), (f"c{i}", s, True)]
-    found = discover(spark.createDataFrame(rows, "window_id string, sequence string, is_control boolean"), range(7, 8), 1)
+    found = D.discover(spark.createDataFrame(rows, WINDOW), range(7, 8), 1)
     word = "".join("ACGT"[int(np.argmax(r))] for r in found[0][0].matrix)
     assert word in ("GATTACA", "TGTAATC") and found[0][1] < 1e-6
 
 
-def test_discovery_finds_every_significant_motif_with_its_neighbours(spark):
-    rng = random.Random(12)
+def _discovered(rows, widths, e_max):
+    """(matrix, sites, E-value) of each motif by the rounds of the module's text, in plain Python."""
+    n, m = (sum(c == k for *_, c in rows) for k in (False, True))
+    seqs = [[s or "", c] for _, s, c in rows]
+
+    def words(s):
+        return {min(w, D.flip(w)) for k in widths for i in range(len(s) - k + 1) if set(w := s[i : i + k]) <= set("ACGT")}
+
+    def counts():
+        out = {}
+        for s, c in seqs:
+            for w in words(s):
+                out.setdefault(w, [0, 0])[c] += 1
+        return out
+
+    now = counts()
+    tests, found = len(now), []
+    limit = math.log10(e_max / tests) if tests else 0
+
+    def placements(s, t):
+        for i in range(len(s) - t.width + 1):
+            for x in (s[i : i + t.width], D.flip(s[i : i + t.width])):
+                yield sum(t.whole[k]["ACGT".index(ch)] for k, ch in enumerate(x)) if set(x) <= set("ACGT") else -1, i, x
+
+    while n >= 2:
+        tested = sorted((D.fisher_tail(a, n, b, m), w) for w, (a, b) in now.items() if a / n > b / max(m, 1))
+        seeds = D.batch_of([x for x in tested if x[0] < limit][: D.LOOK], D.BATCH)
+        if not seeds:
+            return found
+        tables, cuts = [], []
+        for _, w in seeds:
+            near = np.array([[max(0, (z := now.get(min(y, D.flip(y)), [0, 0]))[0] - z[1] * n / max(m, 1)) for y in (w[:i] + base + w[i + 1 :] for base in "ACGT")] for i in range(len(w))])
+            t = ScoringTable(Pwm("", tuple(map(tuple, D.shares(near))), now[w][0]), (0.25,) * 4)
+            best = {}
+            for s, c in seqs:
+                if (top := max((x[0] for x in placements(s, t)), default=-1)) >= 0:
+                    best.setdefault(int(top), [0, 0])[c] += 1
+            tables.append(t)
+            cuts.append(D.site_threshold(best, n, m, int(sum(t.whole[k]["ACGT".index(ch)] for k, ch in enumerate(w)))))
+        free, letters, taken = [[0, 0] for _ in seeds], [np.zeros((t.width, 4)) for t in tables], [set() for _ in seqs]
+        marks = [[[i for v, i, _ in placements(s, t) if v >= cut] for s, _ in seqs] for t, cut in zip(tables, cuts, strict=True)]
+        for k, (t, cut) in enumerate(zip(tables, cuts, strict=True)):
+            for j, (s, c) in enumerate(seqs):
+                own = [x for x in placements(s, t) if x[0] >= cut and not taken[j] & set(range(x[1], x[1] + t.width))]
+                if own:
+                    free[k][c] += 1
+                    if not c:
+                        for i, ch in enumerate(max(own, key=lambda x: x[0])[2]):
+                            letters[k][i]["ACGT".index(ch)] += 1
+                taken[j] |= {i + d for i in marks[k][j] for d in range(t.width)}
+        kept = [k for k in range(len(seeds)) if not k or D.fisher_tail(free[k][0], n, free[k][1], m) < limit]
+        found += [(D.shares(letters[k]), free[k][0], tests * 10 ** seeds[k][0]) for k in kept]
+        for j, x in enumerate(seqs):
+            gone = {i + d for k in kept for i in marks[k][j] for d in range(tables[k].width)}
+            x[0] = "".join("N" if i in gone else ch for i, ch in enumerate(x[0]))
+        now = counts()
+    return found
+
+
+WINDOW = "window_id string, sequence string, is_control boolean"
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_discovery_against_plain_python(spark, monkeypatch, seed):
+    monkeypatch.setattr(D, "BROADCAST_WORDS", 0 if seed == 2 else 500_000)
+    rng = random.Random(seed)
+    rows = [("odd1", None, False), ("odd2", "", True), ("odd3", "ACG", False), ("odd4", "NNNNACGTNN", False), ("odd5", "ACGTTGCA" * 6, False)]
+    # Overlapping, repeated and degenerate words; the second and third share letters.
+    for k, word in enumerate(["GATTACA", "CCGTGCG", "GTGCGAA", "TTT" + "GGT", "ACGTACG"]):
+        for i in range(30):
+            s = "".join(rng.choice("ACGT") for _ in range(rng.choice([24, 30])))
+            w = word if i % 6 else word[:2] + rng.choice("ACGT") + word[3:]
+            at = rng.randint(0, len(s) - len(w))
+            rows += [(f"p{k}.{i}", s[:at] + (w if i % 2 else D.flip(w)) + s[at + len(w) :], False), (f"c{k}.{i}", "".join(rng.choice("ACGT") for _ in range(len(s))), True)]
+    found = D.discover(spark.createDataFrame(rows, WINDOW).repartition(3), range(5, 8))
+    want = _discovered(rows, range(5, 8), 0.05)
+    assert len(found) == len(want) >= 2
+    for (pwm, e), (matrix, sites, e2) in zip(found, want, strict=True):
+        assert np.allclose(pwm.matrix, matrix) and pwm.nsites == sites and np.isclose(e, e2)
+
+
+def test_discovery_loses_no_planted_motif(spark):
+    """60 words of 6 to 15 letters, two of which share four in a row: each that is significant at first is found."""
+    rng = random.Random(60)
+    planted = ["".join(rng.choice("ACGT") for _ in range(6 + k % 10)) for k in range(58)] + ["ACGTTGCACTGA", "GCTAGACCTTGC"]
+    random_text = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
     rows = []
-    for k, word in enumerate(["GATTACAG", "CCGTGCGA", "TTTGGTTC", "AAGCTAAA"]):
-        for i in range(60):
-            s = "".join(rng.choice("ACGT") for _ in range(40))
-            # One planted word in six has another letter at one place.
-            w = word if i % 6 else word[:3] + "ACGT"["ACGT".index(word[3]) - 1] + word[4:]
-            rows += [(f"p{k}.{i}", s[:16] + w + s[24:], False), (f"c{k}.{i}", s, True)]
-    found = discover(spark.createDataFrame(rows, "window_id string, sequence string, is_control boolean"), range(8, 9))
-    words = {"".join("ACGT"[int(np.argmax(r))] for r in pwm.matrix): pwm.matrix for pwm, _ in found}
-    flip = lambda w: w[::-1].translate(str.maketrans("ACGT", "TGCA"))
-    assert {min(w, flip(w)) for w in words} == {min(w, flip(w)) for w in ("GATTACAG", "CCGTGCGA", "TTTGGTTC", "AAGCTAAA")}
-    assert all(e < 0.05 for _, e in found)
-    holds = lambda w, kind: sum(c == kind and (w in s or flip(w) in s) for _, s, c in rows)
-    for w, matrix in words.items():
-        want = 0.1 + np.array([[max(0, holds(x, False) - holds(x, True)) for x in (w[:i] + base + w[i + 1 :] for base in "ACGT")] for i in range(8)])
-        assert np.allclose(matrix, want / want.sum(1, keepdims=True))
+    for k, w in enumerate(planted):
+        for i in range({6: 160, 7: 100, 8: 70}.get(len(w), 45)):
+            s, at = random_text(41), rng.randint(0, 41 - len(w))
+            rows += [(f"p{k}.{i}", s[:at] + (w if i % 2 else D.flip(w)) + s[at + len(w) :], False), (f"c{k}.{i}", random_text(41), True)]
+    found = ["".join("ACGT"[int(np.argmax(r))] for r in pwm.matrix) for pwm, e in D.discover(spark.createDataFrame(rows, WINDOW).repartition(8), range(6, 16)) if e < 0.05]
+    both = lambda w: (w, D.flip(w))
+    # A seed may be a part of the word, with a letter beside it.
+    shared = lambda f, w: any(x[i : i + k] in w for x in both(f) for k in [min(len(w), max(6, len(f) - 2))] for i in range(len(f) - k + 1))
+    lost = [w for w in planted if not any(shared(f, w) for f in found)]
+    assert not lost and len(found) < 80
+
+
+def test_discovery_of_little(spark):
+    none = spark.createDataFrame([], WINDOW)
+    assert D.discover(none) == []
+    one = spark.createDataFrame([("a", "ACGTACGTAC", False), ("b", "ACGTACGTAC", True)], WINDOW)
+    assert D.discover(one) == []
+    assert D.discover(spark.createDataFrame([("a", None, False), ("b", "AC", False)], WINDOW)) == []
+    same = spark.createDataFrame([(str(i), "ACGTTGCA", i % 2 == 0) for i in range(40)], WINDOW)
+    assert D.discover(same) == []
 
 
 def test_families():
