@@ -145,6 +145,12 @@ def family_statistics(coverage: DataFrame, expected_rows: int) -> DataFrame:
     return coverage.groupBy("family_id", "dataset_id").agg(F.median("coverage_ratio").alias("median_ratio"), F.median("coverage_difference").alias("median_difference"), missing("coverage_ratio").alias("missing_ratio_rows"), missing("coverage_difference").alias("missing_difference_rows"))
 
 
+def weakest(statistics: DataFrame) -> DataFrame:
+    """Per family the least median ratio and difference of its datasets; null if one has none."""
+    least = lambda c, name: F.when(F.count(c) == F.count("*"), F.min(c)).alias(name)
+    return statistics.groupBy("family_id").agg(least("median_ratio", "weakest_ratio"), least("median_difference", "weakest_difference"))
+
+
 #: Components of the family rank, most important first; higher is better and null is worst.
 RANK_BY = ["stable_clones", "min_supported_rotations", "min_fraction", "weakest_ratio", "pooled_ratio", "weakest_difference", "mean_coverage"]
 

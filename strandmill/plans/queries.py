@@ -17,6 +17,7 @@ from strandmill.operators import consensus as C
 from strandmill.operators import evidence as E
 from strandmill.operators import families as M
 from strandmill.operators import folds as D
+from strandmill.operators.context import long_refs
 from strandmill.operators.discover import discover
 from strandmill.operators.scan import Pwm, pwm_hits, word_hits
 from strandmill.operators.shuffle import shuffled
@@ -215,7 +216,7 @@ def project_gt(spark, sf_dir):
 @query(V.sql("SELECT contig, pos, ref, regexp_matches(substr(sequence, pos, length(ref)), '^' || ref || '$') AS ref_agrees FROM (SELECT DISTINCT contig, pos, ref FROM records) JOIN contigs USING (contig)"))
 def reference_check(spark, sf_dir):
     r = V.records(spark, sf_dir).select("contig", "pos", "ref").distinct()
-    return A.reference_agrees(r.join(V.contigs(spark, sf_dir).select("contig", "sequence"), "contig")).select("contig", "pos", "ref", "ref_agrees")
+    return long_refs(r, V.contigs(spark, sf_dir), V.CHUNK).select("contig", "pos", "ref", "ref_agrees")
 
 
 @query(V.sql("SELECT contig, pos, ref, alt FROM (SELECT DISTINCT contig, pos, ref, alt FROM records WHERE role = 'pacbio' EXCEPT SELECT contig, pos, ref, alt FROM records WHERE role = 'illumina')"))
@@ -443,13 +444,13 @@ def family_medians(spark, sf_dir):
 
 
 @query(f"""WITH c AS ({_COVERAGE}), d AS (SELECT family_id, dataset_id, median(coverage_ratio) AS mr, median(coverage_difference) AS md FROM c GROUP BY ALL),
-w AS (SELECT family_id, round(min(mr), 6) AS weakest_ratio, round(min(md), 6) AS weakest_difference, count(*) AS stable_clones, max(dataset_id) AS min_supported_rotations FROM d GROUP BY 1),
+w AS (SELECT family_id, CASE WHEN count(mr) = count(*) THEN round(min(mr), 6) END AS weakest_ratio, CASE WHEN count(md) = count(*) THEN round(min(md), 6) END AS weakest_difference, count(*) AS stable_clones, max(dataset_id) AS min_supported_rotations FROM d GROUP BY 1),
 a AS (SELECT family_id, round(median(coverage_ratio), 6) AS pooled_ratio, round(avg(coverage), 6) AS mean_coverage, CASE WHEN count(*) % 2 = 0 THEN 1.0 END AS min_fraction FROM c GROUP BY 1)
 SELECT family_id, stable_clones, weakest_ratio, pooled_ratio, mean_coverage, CAST(row_number() OVER (ORDER BY stable_clones DESC NULLS LAST, min_supported_rotations DESC NULLS LAST, min_fraction DESC NULLS LAST, weakest_ratio DESC NULLS LAST, pooled_ratio DESC NULLS LAST, weakest_difference DESC NULLS LAST, mean_coverage DESC NULLS LAST, family_id) AS INT) AS rank FROM w JOIN a USING (family_id)""")
 def family_rank(spark, sf_dir):
     c = _coverage(spark, sf_dir)
     d = M.family_statistics(c, 0)
-    w = d.groupBy("family_id").agg(F.round(F.min("median_ratio"), 6).alias("weakest_ratio"), F.round(F.min("median_difference"), 6).alias("weakest_difference"), F.count("*").alias("stable_clones"), F.max("dataset_id").alias("min_supported_rotations"))
+    w = M.weakest(d).withColumns({n: F.round(n, 6) for n in ("weakest_ratio", "weakest_difference")}).join(d.groupBy("family_id").agg(F.count("*").alias("stable_clones"), F.max("dataset_id").alias("min_supported_rotations")), "family_id")
     a = c.groupBy("family_id").agg(F.round(F.median("coverage_ratio"), 6).alias("pooled_ratio"), F.round(F.avg("coverage"), 6).alias("mean_coverage"), F.when(F.count("*") % 2 == 0, 1.0).alias("min_fraction"))
     return M.rank_families(w.join(a, "family_id")).select("family_id", "stable_clones", "weakest_ratio", "pooled_ratio", "mean_coverage", "rank")
 
@@ -698,8 +699,7 @@ anchored AS (SELECT *, greatest(length(rtrim(substr(sequence, 1, a), c)), 1) AS
 def left_align(spark, sf_dir):
     """Canonical alleles of all usable ALTs."""
     each = A.explode_alleles(V.records(spark, sf_dir)).select("contig", "pos", "ref", "allele", "exclusion_reason").distinct()
-    with_sequence = each.join(V.contigs(spark, sf_dir).select("contig", "sequence"), "contig")
-    return A.normalise(with_sequence).select("contig", "pos", "ref", "allele", "exclusion_reason", "canonical_pos", "canonical_ref", "canonical_alt")
+    return A.normalise(each, V.contigs(spark, sf_dir)).select("contig", "pos", "ref", "allele", "exclusion_reason", "canonical_pos", "canonical_ref", "canonical_alt")
 
 
 @query()

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from strandmill.functions import genotype as G
 from strandmill.functions import identity as ids
 from strandmill.functions import rules as R
+from strandmill.operators import alleles as A
 from strandmill.operators import families as M
 from strandmill.operators.alleles import left_align, normalise
 from strandmill.operators.consensus import observe, resolve
@@ -96,9 +97,40 @@ def test_left_align_forms(spark):
         assert s[: p - 1] + a + s[p - 1 + len(r) :] == s[: q - 1] + y + s[q - 1 + len(x) :]
         assert left_align(s, q, x, y) == (q, x, y)
         rows.append((s, p, r, a, "", q, x, y))
-    df = spark.createDataFrame(rows, "sequence string, pos long, ref string, allele string, exclusion_reason string, q long, x string, y string")
-    for reach in (1, 5, 1000):
-        assert normalise(df, reach).where("q <> canonical_pos or x <> canonical_ref or y <> canonical_alt").count() == 0
+    # Long runs and repeated units that cross many pieces, up to a contig's first base; alleles longer than a piece.
+    long = [("A" * 300, 299, 2, "A"), ("C" + "AG" * 90, 170, 1, "GAG"), ("ACG" * 60, 178, 3, "ACGACG"), ("T" * 50 + "C" + "ACGT" * 40, 211, 1, "T" + "ACGT" * 30), ("AC" * 80, 1, 2, "ACAC"), ("G" * 64, 64, 1, "GG"), ("GATTACA" * 20, 100, 1, "A"), ("CCC", 1, 2, "C"), ("AC" * 90, 3, 150, "AC")]
+    for s, p, n, a in long:
+        r = s[p - 1 : p - 1 + n]
+        rows.append((s, p, r, a, "", *left_align(s, p, r, a)))
+    contigs = spark.createDataFrame([(f"c{i}", r[0]) for i, r in enumerate(rows)], "contig string, sequence string")
+    df = spark.createDataFrame([(f"c{i}", *r[1:]) for i, r in enumerate(rows)], "contig string, pos long, ref string, allele string, exclusion_reason string, q long, x string, y string")
+    df = df.unionByName(df).unionByName(df.limit(1).withColumn("exclusion_reason", F.lit("symbolic")))
+    for chunk in (16, 64, 1000):
+        out = normalise(df, contigs, chunk)
+        assert out.count() == 2 * len(rows) + 1 and "left" not in out.columns
+        assert out.where("exclusion_reason = '' and not (q <=> canonical_pos and x <=> canonical_ref and y <=> canonical_alt)").count() == 0
+        assert out.where("exclusion_reason <> '' and canonical_pos is null").count() == 1
+    with pytest.raises(ValueError, match="unknown contigs"):
+        normalise(df.where("contig = 'c60'"), contigs.where("contig <> 'c60'"))
+
+
+def test_left_align_carries_no_contig(spark):
+    """Neither the plan of a round nor its stored rows hold more than a piece of a contig."""
+    contigs = spark.createDataFrame([("c", "ACGT" * 5000)], "contig string, sequence string")
+    df = spark.createDataFrame([("c", 19000, "T", "TACGT", "")], "contig string, pos long, ref string, allele string, exclusion_reason string")
+    move = A._move
+
+    def watched(batches):
+        for b in batches:
+            assert max(len(x) for x in b.column(8).to_pylist()) <= 512
+            yield from move(iter([b]))
+
+    A._move, old = watched, A._move
+    try:
+        out = normalise(df, contigs, 512).collect()
+    finally:
+        A._move = old
+    assert (out[0]["canonical_pos"], out[0]["canonical_ref"], out[0]["canonical_alt"]) == left_align("ACGT" * 5000, 19000, "T", "TACGT")
 
 
 def test_scan_against_brute_force(spark):
