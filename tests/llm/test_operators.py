@@ -547,13 +547,51 @@ def test_plan_keys_meet():
 
 
 def test_patience():
-    assert sorted(linededup.patience([1, 2, 3, 4], [9, 2, 3, 8])) == [1, 2]
-    assert sorted(linededup.patience([1, 2, 1, 3], [1, 2, 1, 3])) == [0, 1, 2, 3]
+    assert sorted(linededup.patience([1, 2, 3, 4], [9, 2, 3, 8])) == [(1, 1), (2, 2)]
+    assert sorted(linededup.patience([1, 2, 1, 3], [1, 2, 1, 3])) == [(i, i) for i in range(4)]
     assert linededup.patience([], [1]) == [] and linededup.patience([0, 0], [5, 0, 6]) == []
     a, b = [1, 2, 3, 4, 5, 6], [4, 5, 6, 1, 2, 3]
     assert len(linededup.patience(a, b)) == 3
 
 
+def _common(a, b, words, min_words):
+    """Places of b in the maximal common blocks with a, lines that are 0 left out, by comparing all places."""
+    at, a = [i for i, h in enumerate(b) if h], [h for h in a if h]
+    out = set()
+    for i in range(len(at)):
+        for j in range(len(a)):
+            if b[at[i]] == a[j] and (not i or not j or b[at[i - 1]] != a[j - 1]):
+                n = 0
+                while i + n < len(at) and j + n < len(a) and b[at[i + n]] == a[j + n]:
+                    n += 1
+                if sum(words[k] for k in at[i : i + n]) >= min_words:
+                    out |= set(at[i : i + n])
+    return sorted(out)
+
+
+def test_common_lines():
+    rng = random.Random(7)
+    for _ in range(1500):
+        n = rng.choice([3, 6, 12])
+        size = {h: rng.randint(1, 12) for h in range(1, n + 1)}
+        a, b = ([rng.randint(0, n) for _ in range(rng.randint(0, 14))] for _ in range(2))
+        if a and rng.random() < 0.5:
+            k = rng.randint(0, len(a) - 1)
+            b[rng.randint(0, len(b)) :] = a[k : k + 6]
+        words = [size.get(h, 0) for h in b]
+        got = linededup.common_lines(np.array(a, np.int64), np.array(b, np.int64), np.array(words, np.int32), 20)
+        assert got.tolist() == _common(a, b, words, 20)
+
+
+def test_scattered_lines_are_no_block(spark):
+    """Three lines in a row, two from one earlier document in another order and one from a second: nothing aligns for 20 words."""
+    line = lambda k: " ".join(f"{k}{i}" for i in range(8))
+    p, q, r = line("p"), line("q"), line("r")
+    rows = [(1, "\n".join([p, "between", q, "end"])), (2, "\n".join(["start", r])), (3, "\n".join([q, p, r])), (4, "\n".join([q, p, r, "more"]))]
+    got = {x["doc_id"]: x["text"] for x in linededup.dedup_lines(spark.createDataFrame(rows, DOC)).collect()}
+    assert got[3] == rows[2][1] and got[4] == "more"
+
+
 def test_line_dedup(spark):
     long = ["many words " * 4 + str(i) for i in range(6)]
     rows = [(1, "\n".join(["intro one", *long, "end one"])), (2, "\n".join(["intro two", *long[:3], "", *long[3:], "end two"])), (3, "short\nshared\nlines"), (4, "short\nshared\nlines"), (5, "\n".join(long)), (6, "clean text"), (7, "\n".join(["before", long[0], long[1], long[2] + "!", "after"])), (None, "\n".join(long)), (8, None), (9, "")]
@@ -733,27 +771,17 @@ def test_rebalance():
 
 
 def _exact_lines(rows, min_words):
-    """Brute force: per (doc_id, text) in order, the runs of lines that earlier documents have are deleted if long enough."""
-    seen, out = set(), {}
+    """Brute force: per (doc_id, text) in order, all common blocks with each earlier document go, and blank lines between lines that go."""
+    out, earlier, number = {}, [], {}
     for doc, text in sorted(set(rows)):
         lines = text.split("\n")
-        owned = [not x.split() or x in seen for x in lines]
-        keep, run = [], []
-        for x, o in [*zip(lines, owned, strict=True), (None, False)]:
-            if o:
-                run.append(x)
-                continue
-            while run and not run[0].split():  # blank lines at the ends stay
-                keep.append(run.pop(0))
-            tail = []
-            while run and not run[-1].split():
-                tail.insert(0, run.pop())
-            keep += tail if sum(len(r.split()) for r in run) >= min_words else run + tail
-            run = []
-            if x is not None:
-                keep.append(x)
-        out[doc, text] = "\n".join(keep)
-        seen |= {x for x in lines if x.split()}
+        ids = [number.setdefault(x, len(number) + 1) if x.split() else 0 for x in lines]
+        words = [len(x.split()) for x in lines]
+        gone = {k for a in earlier for k in _common(a, ids, words, min_words)}
+        full = [k for k, h in enumerate(ids) if h]
+        gone |= {k for i, j in zip(full, full[1:], strict=False) if {i, j} <= gone for k in range(i, j)}
+        out[doc, text] = "\n".join(x for k, x in enumerate(lines) if k not in gone)
+        earlier.append(ids)
     return out
 
 
@@ -801,7 +829,7 @@ def test_line_dedup_block_of_a_later_owner(spark):
 def test_line_dedup_partners_rarest_first():
     rarity = {1: 9, 2: 2, 3: 5, 4: 2}
     owners = {1: [(0, 0)], 2: [(3, 3), (5, 5)], 3: [(0, 0), (5, 5)], 4: [(5, 5)]}
-    assert linededup.partners_for([(0, 4)], [1, 2, 3, 4], rarity, owners) == [(5, 5), (0, 0)]
+    assert linededup.partners_for(rarity, owners) == [(5, 5), (0, 0)]
 
 
 def test_line_dedup_hot_partner_and_names(spark, monkeypatch):

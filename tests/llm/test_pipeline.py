@@ -78,3 +78,30 @@ def test_run(spark):
     docs = {r[0] for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id").collect()}
     ids = {r["doc_id"] for r in out.collect()}
     assert ids <= docs and len(ids) > len(docs) // 2
+
+
+def test_near_copies_lose_their_common_lines_first(spark):
+    """The join catches near copies of whole documents at any edit rate that leaves a similarity of 0.8; after line dedup the
+    later one holds nothing but its own lines, and stays as that."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("aeioustrn") for _ in range(7))
+    shingles = lambda t: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)}
+    rows, linked, unlinked, edited = [], set(), set(), {}
+    for k, edits in enumerate([0, 1, 2, 3, 4, 5, 6, 8, 12, 20] * 4):
+        lines = [[word() for _ in range(10)] for _ in range(20)]
+        copy = [list(x) for x in lines]
+        for place in rng.sample(range(200), edits):
+            copy[place // 10][place % 10] = word()
+        a, b = ("\n".join(" ".join(x) for x in t) for t in (lines, copy))
+        rows += [(2 * k, a), (2 * k + 1, b)]
+        x, y = shingles(a), shingles(b)
+        (linked if len(x & y) * 100 >= 80 * len(x | y) else unlinked).add(2 * k + 1)
+        edited[2 * k + 1] = {" ".join(n) for o, n in zip(lines, copy, strict=True) if o != n}
+    docs, stages = _docs(spark, rows), dict(P.STAGES)
+    kept = {r["doc_id"] for r in stages["near_duplicates"](spark, docs, SF).collect()}
+    assert len(linked) >= 12 and len(unlinked) >= 8
+    assert kept == {i for i, _ in rows} - linked
+    left = {r["doc_id"]: r["text"] for r in stages["line_dedup"](spark, docs, SF).collect()}
+    for i, own in edited.items():
+        # Runs of under 20 words between two edited lines stay too.
+        assert (i in left) == bool(own) and (not own or own <= set(left[i].split("\n")))
