@@ -217,18 +217,17 @@ def moved_books(state: DataFrame, books: Codebooks) -> Codebooks:
                 total[p, own] += np.add.reduceat(x[order, p].astype(np.int64), first)
                 count[p] += np.bincount(codes[:, p], minlength=k)
         p, j = np.nonzero(count)
-        kinds = pa.array(p * k + j), pa.ListArray.from_arrays(pa.array(np.arange(len(p) + 1, dtype=np.int32) * width), pa.array(total[p, j].ravel()))
-        yield pa.RecordBatch.from_arrays([kinds[0], pa.array(count[p, j]), kinds[1]], ["entry", "n", "sums"])
+        # A count stands at place -1 before an entry's sums.
+        entry, place = np.repeat(p * k + j, width + 1), np.tile(np.arange(-1, width), len(p))
+        yield pa.RecordBatch.from_arrays([pa.array(entry), pa.array(place), pa.array(np.concatenate([count[p, j][:, None], total[p, j]], 1).ravel())], ["entry", "place", "total"])
 
-    sums = state.select("vector", "codes").mapInArrow(work, "entry bigint, n bigint, sums array<bigint>")
-    counts = sums.groupBy("entry").agg(F.sum("n").alias("n"))
-    places = sums.select("entry", F.posexplode("sums")).groupBy("entry", "pos").agg(F.sum("col").alias("total"))
+    sums = state.select("vector", "codes").mapInArrow(work, "entry bigint, place bigint, total bigint").groupBy("entry", "place").agg(F.sum("total").alias("total"))
+    rows = sums.collect()  # entries x (dimension + 1) rows at most
+    n = {entry: total for entry, at, total in rows if at < 0}
     new = e.copy()
-    n = np.zeros(parts * k, np.int64)
-    for entry, c in counts.collect():
-        n[entry] = c
-    for entry, at, total in places.collect():  # entries x dimension rows at most
-        new[entry // k, entry % k, at] = total // int(n[entry])
+    for entry, at, total in rows:
+        if at >= 0:
+            new[entry // k, entry % k, at] = total // n[entry]
     return Codebooks(new)
 
 
