@@ -19,9 +19,11 @@ from strandmill.operators import families as M
 from strandmill.operators import folds as D
 from strandmill.operators.context import long_refs
 from strandmill.operators.discover import discover
+from strandmill.operators.guards import multiset_difference, with_previous
 from strandmill.operators.scan import Pwm, pwm_hits, word_hits
 from strandmill.operators.shuffle import shuffled
 from strandmill.plans import driver_views as V
+from strandmill.sources import ordered
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -225,6 +227,32 @@ def alt_merge_check(spark, sf_dir):
     return r.where("role = 'pacbio'").drop("role").distinct().join(r.where("role = 'illumina'").drop("role").distinct(), ["contig", "pos", "ref", "alt"], "left_anti")
 
 
+@query(V.sql("SELECT contig, pos, ref, alt, CAST(sum(CASE WHEN role = 'pacbio' THEN 1 ELSE -1 END) AS BIGINT) AS surplus FROM records WHERE role IN ('pacbio', 'illumina') GROUP BY contig, pos, ref, alt HAVING sum(CASE WHEN role = 'pacbio' THEN 1 ELSE -1 END) <> 0"))
+def merge_multiset(spark, sf_dir):
+    """Both directions, with multiplicity."""
+    r = V.records(spark, sf_dir).select("role", "contig", "pos", "ref", "alt")
+    return multiset_difference(r.where("role = 'pacbio'"), r.where("role = 'illumina'"), ["contig", "pos", "ref", "alt"])
+
+
+@query("SELECT event_id, value, previous FROM (SELECT event_id, value, lag(value) OVER (ORDER BY event_id) AS previous FROM events) WHERE previous >= value")
+def order_breaks(spark, sf_dir):
+    """Rows that don't exceed the one before."""
+    return with_previous(V.table(spark, sf_dir, "events").select("event_id", "value"), "event_id", "value").where("previous >= value")
+
+
+#: The bin of the index that holds a record: fixed values, the first number of each level and its bits.
+_BIN = "CASE " + " ".join(f"WHEN a >> {bits} = z >> {bits} THEN {first} + (a >> {bits})" for bits, first in ((14, 4681), (17, 585), (20, 73), (23, 9), (26, 1))) + " ELSE 0 END"
+
+
+@query(V.sql(f"SELECT contig, bin, min(u1 - n) AS u0, max(u1) AS u1 FROM (SELECT *, sum(fresh) OVER (PARTITION BY contig, bin ORDER BY u1) AS island FROM (SELECT *, CASE WHEN lag(u1) OVER (PARTITION BY contig, bin ORDER BY u1) = u1 - n THEN 0 ELSE 1 END AS fresh FROM (SELECT contig, CAST({_BIN} AS BIGINT) AS bin, n, CAST(sum(n) OVER (ORDER BY contig, pos, ref, alt) AS BIGINT) AS u1 FROM (SELECT *, pos - 1 AS a, pos - 2 + length(ref) AS z, CAST(strlen(contig || pos || ref || alt) + 6 AS BIGINT) AS n FROM (SELECT DISTINCT contig, CAST(pos AS BIGINT) AS pos, ref, alt FROM records))))) GROUP BY contig, bin, island"))
+def index_runs(spark, sf_dir):
+    """Where the lines of each bin stand in the ordered file of all sites, as its index is built."""
+    r = V.records(spark, sf_dir).select("contig", "pos", "ref", "alt").distinct()
+    line = F.concat_ws("\t", "contig", F.col("pos").cast("string"), F.lit("."), "ref", "alt")
+    _, placed, _ = ordered.segments(r.withColumn("body", ordered.line_body(line)), b"", ["contig", "pos", "ref", "alt"])
+    return ordered.index_runs(placed)
+
+
 # --- windows
 
 
