@@ -267,8 +267,13 @@ def line_body(line: Column) -> Column:
 
 
 def tsv_body(df: DataFrame, fields: list[str]) -> Column:
-    """A row's fields as a line: null is empty, booleans are words."""
-    return line_body(F.array_join(F.array(*(F.coalesce(F.col(f).cast("string"), F.lit("")) for f in fields)), "\t"))
+    """A row's fields as a line: null is empty, booleans are words, and what holds a quote, tab or line end is quoted."""
+
+    def cell(name: str) -> Column:
+        text = F.coalesce(F.col(name).cast("string"), F.lit(""))
+        return F.when(text.rlike(r'["\t\r\n]'), F.concat(F.lit('"'), F.replace(text, F.lit('"'), F.lit('""')), F.lit('"'))).otherwise(text)
+
+    return line_body(F.array_join(F.array(*map(cell, fields)), "\t"))
 
 
 def write_tsv(df: DataFrame, path: str, fields: list[str], order: list[str], partitions: int | None = None) -> bool:

@@ -10,6 +10,7 @@ from strandmill.operators import consensus as C
 from strandmill.plans.config import Config, ConfigError
 from strandmill.plans.freeze import Stale, content_hash, freeze, invalidated, stage, verify_freeze
 from strandmill.plans.identity_checks import check_identities, group_plan
+from strandmill.plans import group_outputs as GO
 from strandmill.sources import export as X
 from strandmill.sources import motifs as S
 from strandmill.sources import text as T
@@ -184,6 +185,8 @@ def test_six_member_consensus(spark):
     got = {r["canonical_pos"]: r for r in support.collect()}
     assert {p: (r["support_count"], r["retained"], r["support_percent"], r["group_n"]) for p, r in got.items()} == {3: (5, True, "83.333333", 6), 4: (4, False, "66.666667", 6), 5: (5, True, "83.333333", 6), 6: (4, False, "66.666667", 6)}
     assert got[5]["genotype_disagreement"] and got[5]["conflicting_samples"] == '["OTHER,6"]'
-    text = X.consensus_vcf(support, matrix, {"c1": 100}, names, "g", "3/4")
+    group = GO.Group("g", "other_illumina", tuple((f"d{i}", n, "x") for i, n in enumerate(names)), 5, "3/4", "")
+    lines = GO.consensus_lines(support, matrix, {"c1": 100}, group).orderBy("contig_ord", "pos", "ref", "alt").collect()
+    text = GO.consensus_head(group, {"c1": 100}).decode() + "".join(r["body"].decode() for r in lines)
     body = [x.split("\t") for x in text.splitlines() if not x.startswith("#")]
     assert [b[1] for b in body] == ["3", "5"] and "CONFLICTING_SAMPLES=OTHER%2C6" in body[1][7] and "GT_DISAGREEMENT" in body[1][7] and body[0][9:] == ["0/1"] * 5 + ["0/0"] or body[0][14] == "."
