@@ -16,9 +16,10 @@ from strandmill.operators.stored import Stored
 
 
 def explode_alleles(records: DataFrame) -> DataFrame:
-    """One row per ALT: alt_index from 1, allele and why it can't be normalised ('' if it can)."""
+    """One row per ALT: alt_index from 1, allele and why it can't be normalised ('' if it can). A malformed REF or ALT raises."""
     each = records.select("*", F.posexplode(alts_of(F.col("alt"))).alias("_at", "allele"))
-    return each.withColumns({"alt_index": F.col("_at") + 1, "exclusion_reason": exclusion_reason(F.col("ref"), F.col("allele"))}).drop("_at")
+    malformed = F.raise_error(F.concat(F.lit("malformed REF or ALT: "), F.coalesce("ref", F.lit("null")), F.lit(" "), F.coalesce("allele", F.lit("null")))).cast("string")
+    return each.withColumns({"alt_index": F.col("_at") + 1, "exclusion_reason": F.coalesce(exclusion_reason(F.col("ref"), F.col("allele")), malformed)}).drop("_at")
 
 
 def left_align(sequence: str, pos: int, ref: str, alt: str) -> tuple[int, str, str]:

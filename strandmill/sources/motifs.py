@@ -86,8 +86,11 @@ def background(contigs: DataFrame, pseudo: float = 0.1, both_strands: bool = Fal
     return tuple((n[b] + pseudo / 4) / total for b in "ACGT")
 
 
-def read_occurrences(spark: SparkSession, path: str, motif_ids: list[str] | None = None) -> DataFrame:
-    """A scan table: motif_id, sequence_name, start, stop, strand, score, p (numbers, and text as given), matched_sequence; bad rows raise."""
+def read_occurrences(spark: SparkSession, path: str, motif_ids: list[str] | None = None, windows: DataFrame | None = None) -> DataFrame:
+    """A scan table: motif_id, sequence_name, start, stop, strand, score, p (numbers, and text as given), matched_sequence; bad rows raise.
+
+    With windows (window_id), so does a row of a window that isn't there.
+    """
     t = read_tsv(spark, path).where(~F.coalesce(F.col("motif_id").startswith("#"), F.lit(False)) & F.col("sequence_name").isNotNull())
     start, stop = F.col("start").try_cast("bigint"), F.col("stop").try_cast("bigint")
     p, score = F.col("`p-value`").try_cast("double"), F.col("score").try_cast("double")
@@ -95,7 +98,12 @@ def read_occurrences(spark: SparkSession, path: str, motif_ids: list[str] | None
     if motif_ids is not None:
         good &= F.col("motif_id").isin(*motif_ids)
     checked = F.when(good, start).otherwise(F.raise_error(F.concat(F.lit("bad occurrence of "), F.coalesce("motif_id", F.lit("?")))).cast("bigint"))
-    return t.select("motif_id", F.col("sequence_name").alias("window_id"), checked.alias("start"), stop.alias("stop"), "strand", score.alias("score"), p.alias("p"), F.col("score").alias("score_text"), F.col("`p-value`").alias("p_text"), F.col("matched_sequence"))
+    out = t.select("motif_id", F.col("sequence_name").alias("window_id"), checked.alias("start"), stop.alias("stop"), "strand", score.alias("score"), p.alias("p"), F.col("score").alias("score_text"), F.col("`p-value`").alias("p_text"), F.col("matched_sequence"))
+    if windows is None:
+        return out
+    known = out.join(windows.select("window_id", F.lit(True).alias("_known")).distinct(), "window_id", "left")
+    missing = F.raise_error(F.concat(F.lit("bad occurrence in unknown window "), "window_id"))
+    return known.withColumn("window_id", F.when(F.col("_known"), F.col("window_id")).otherwise(missing)).select(*out.columns)
 
 
 def read_similarity(spark: SparkSession, path: str, ids: list[str]) -> DataFrame:

@@ -334,3 +334,11 @@ def test_folds(spark):
         at = loads.index(min(loads))
         assert got[f"contig{i}"] == at + 1
         loads[at] += 100 + 10 * i
+
+
+def test_malformed_alleles_raise(spark):
+    rows = lambda ref, alt: spark.createDataFrame([(ref, alt)], "ref string, alt string")
+    assert [r["exclusion_reason"] for r in A.explode_alleles(rows("A", "C,<DEL>")).orderBy("alt_index").collect()] == ["", "symbolic_alt"]
+    for ref, alt in (("A", "C,x"), ("A", "["), ("?", "C")):
+        with pytest.raises(Exception, match="malformed REF or ALT"):
+            A.explode_alleles(rows(ref, alt)).collect()

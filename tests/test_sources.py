@@ -112,6 +112,10 @@ def test_motif_files(spark, tmp_path):
     assert S.read_occurrences(spark, str(tmp_path / "f.tsv"), ["m1"]).first()["p"] == 1e-5
     with pytest.raises(Exception, match="bad occurrence"):
         S.read_occurrences(spark, str(tmp_path / "f.tsv"), ["other"]).collect()
+    windows = spark.createDataFrame([("w1",), ("w1",)], "window_id string")
+    assert S.read_occurrences(spark, str(tmp_path / "f.tsv"), ["m1"], windows).count() == 1
+    with pytest.raises(Exception, match="unknown window w1"):
+        S.read_occurrences(spark, str(tmp_path / "f.tsv"), ["m1"], windows.where("window_id = 'w2'")).collect()
     (tmp_path / "t.tsv").write_text("Query_ID\tTarget_ID\tq-value\tOverlap\nm1\tm2\t0.01\t6\n# done\t\t\t\n")
     assert [tuple(r) for r in S.read_similarity(spark, str(tmp_path / "t.tsv"), ["m1", "m2"]).collect()] == [("m1", "m2", 0.01, 6)]
 
