@@ -49,13 +49,16 @@ def load_contigs(spark: SparkSession, fasta: str) -> DataFrame:
 
 
 def prepare(spark: SparkSession, contigs: DataFrame, vcf_path: str, role: str, names: list[str], config: Config, reference: str) -> DataFrame:
-    """Genotype records of the samples with windows and folds. A malformed genotype or a REF that differs raises."""
+    """Genotype records of the samples with windows and folds. A malformed genotype, a REF that differs or a letter that no sequence has raises."""
     vcf = read_vcf(spark, vcf_path, required=names)
     r = sample_records(vcf, names).select("ordinal", "sample_name", F.col("CHROM").alias("contig"), F.col("POS").alias("pos"), F.col("ID").alias("id"), F.col("REF").alias("ref"), F.col("ALT").alias("alt"), F.col("GT").alias("gt"))
     parsed = parse_gt(F.col("gt"), F.size(alts_of(F.col("alt"))))
     r = r.withColumn("gt_status", F.when(parsed.isNull(), F.raise_error(F.concat(F.lit("malformed GT "), "gt"))).otherwise(parsed["gt_status"]))
     r = add_windows(r, contigs, config.flank_bp, reference)
     r = r.withColumn("ref", F.when(F.col("ref_agrees"), F.col("ref")).otherwise(F.raise_error(F.concat(F.lit("REF differs at "), "contig", F.lit(":"), F.col("pos").cast("string")))))
+    # The letters of a reference sequence, bases and ambiguity codes.
+    foreign = F.raise_error(F.concat(F.lit("foreign letters in the window at "), "contig", F.lit(":"), F.col("pos").cast("string")))
+    r = r.withColumn("window_sequence", F.when(F.col("window_sequence").rlike("[^ACGTRYSWKMBDHVN]"), foreign).otherwise(F.col("window_sequence")))
     folds = assign_folds(contigs, config.grouping_regex).select("contig", "fold_id", F.col("inclusion_status").alias("fold_status"))
     if config.unmatched == "error" and config.grouping_regex and not folds.where("fold_id is null").isEmpty():
         raise ValueError("contigs that no group matches")

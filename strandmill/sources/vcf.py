@@ -77,3 +77,12 @@ def sample_records(vcf: Vcf, names: list[str]) -> DataFrame:
         raise ValueError(f"unknown samples: {sorted(unknown)}")
     each = vcf.records.withColumn("picked", F.explode(F.array(*(F.struct(F.lit(n).alias("name"), F.col("values")[vcf.samples.index(n)].alias("value")) for n in names))))
     return each.select("ordinal", F.col("picked.name").alias("sample_name"), *FIXED, F.col("picked.value").alias("value"), format_value(F.col("FORMAT"), F.col("picked.value"), "GT").alias("GT"))
+
+
+def read_query_rows(spark: SparkSession, path: str) -> DataFrame:
+    """A captured query stream without a header: line, CHROM, POS, ID, REF, ALT and GT; a line with other than six fields raises."""
+    f = F.split("value", "\t", -1)
+    message = F.concat(F.lit(f"malformed query stream {path}: line "), F.col("line").cast("string"))
+    checked = F.when(F.size(f) == 6, f).otherwise(F.raise_error(message).cast("array<string>"))
+    rows = numbered_lines(spark, path).withColumn("f", checked)
+    return rows.select("line", *(F.col("f")[i].cast("bigint" if n == "POS" else "string").alias(n) for i, n in enumerate(["CHROM", "POS", "ID", "REF", "ALT", "GT"])))

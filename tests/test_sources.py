@@ -14,7 +14,7 @@ from strandmill.plans import group_outputs as GO
 from strandmill.sources import export as X
 from strandmill.sources import motifs as S
 from strandmill.sources import text as T
-from strandmill.sources.vcf import check_header, read_vcf, sample_records
+from strandmill.sources.vcf import check_header, read_query_rows, read_vcf, sample_records
 
 HEADER = ["##fileformat=VCFv4.2", "##contig=<ID=c1,length=50>", '##FORMAT=<ID=GT,Number=1,Type=String,Description="g">', "\t".join("#CHROM POS ID REF ALT QUAL FILTER INFO FORMAT A B".split())]
 ROWS = ["c1\t1\t.\tA\tC\t.\t.\t.\tDP:GT\t8:0/1\t7:./.", "c1\t9\tx\tAC\tA,T\t.\t.\t.\tGT\t1|2\t0/0", "c1\t12\t.\tG\t.\t.\t.\t.\tDP\t4\t3"]
@@ -194,3 +194,12 @@ def test_six_member_consensus(spark):
     text = GO.consensus_head(group, {"c1": 100}).decode() + "".join(r["body"].decode() for r in lines)
     body = [x.split("\t") for x in text.splitlines() if not x.startswith("#")]
     assert [b[1] for b in body] == ["3", "5"] and "CONFLICTING_SAMPLES=OTHER%2C6" in body[1][7] and "GT_DISAGREEMENT" in body[1][7] and body[0][9:] == ["0/1"] * 5 + ["0/0"] or body[0][14] == "."
+
+
+def test_query_rows(spark, tmp_path):
+    (tmp_path / "q.tsv").write_text("c\t5\t.\tA\tC\t0/1\nc\t6\tx\tA\t\t\n")
+    assert [tuple(r) for r in read_query_rows(spark, str(tmp_path / "q.tsv")).orderBy("line").collect()] == [(1, "c", 5, ".", "A", "C", "0/1"), (2, "c", 6, "x", "A", "", "")]
+    for bad in ("c\t5\t.\tA\tC\n", "c\t5\t.\tA\tC\t0/1\t\n", "\n"):
+        (tmp_path / "q.tsv").write_text(bad)
+        with pytest.raises(Exception, match="malformed query stream"):
+            read_query_rows(spark, str(tmp_path / "q.tsv")).collect()

@@ -176,6 +176,12 @@ def test_broken_inputs(spark, genome, tmp_path):
             W.prepare(spark, contigs, str(tmp_path / "b.vcf"), "pacbio", ["P1"], config, "ref").collect()
     with pytest.raises(ValueError):
         read_vcf(spark, str(folder / "v.vcf"), required=["nobody"])
+    strange = contigs.withColumn("sequence", F.concat(F.substring("sequence", 1, 3900), F.repeat(F.lit("Z"), 100)))
+    with pytest.raises(Exception, match="foreign letters|REF differs"):
+        W.prepare(spark, strange, str(folder / "v.vcf"), "pacbio", ["P1"], config, "ref").collect()
+    within = contigs.withColumn("sequence", F.concat(F.substring("sequence", 1, 210), F.lit("Z"), F.expr("substring(sequence, 212)")))
+    with pytest.raises(Exception, match="foreign letters"):
+        W.prepare(spark, within, str(folder / "v.vcf"), "pacbio", ["P1"], config, "ref").collect()
 
 
 def test_chunks_give_the_same_windows(spark, genome):
