@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandmill.functions.genotype import all_missing, alleles_of, has_alt, scoreable
 from strandmill.functions.rules import midpoint
-from strandmill.operators.evidence import best_hits
+from strandmill.operators.evidence import best_hits, winner_in_window
 
 
 def checked_hits(hits: DataFrame, ranks: DataFrame, windows: DataFrame) -> DataFrame:
@@ -40,24 +42,45 @@ def window_winners(hits: DataFrame, flank: int) -> DataFrame:
     return best.withColumn("midpoint_distance", midpoint(F.col("start"), F.col("stop"), flank))
 
 
+BEST = ("motif_id", "family_id", "score", "p", "start", "stop", "strand", "matched")
+
+
+def _scannable(min_width: int | None) -> Column:
+    """Can the record's window have a winner: an ALT carrier, whole, and wide enough for a model."""
+    fit = F.lit(False) if min_width is None else scoreable(F.col("window_sequence"), min_width)
+    return has_alt(alleles_of(F.col("gt"))) & F.col("eligible") & fit
+
+
+def _judged(rows: DataFrame, min_width: int | None) -> DataFrame:
+    """rows with status and reason; `_able` tells of _scannable."""
+    alleles = alleles_of(F.col("gt"))
+    carrier, none, hit = has_alt(alleles), F.lit(min_width is None), F.col("best_motif_id").isNotNull()
+    status = F.when(~carrier, "not_applicable").when(~F.col("eligible"), "not_scanned").when(none, "unclassified").when(~F.col("_able"), "not_scanned").when(hit, "promising").otherwise("unclassified")
+    reason = F.when(~carrier & all_missing(alleles), "missing_gt").when(~carrier, "reference_only").when(~F.col("eligible"), "boundary_window").when(none, "no_selected_motifs").when(~F.col("_able"), "no_scoreable_segment").otherwise("")
+    return rows.withColumns({"annotation_status": status, "annotation_reason": reason, "distinct_motif_count": F.coalesce("distinct_motif_count", F.lit(0).cast("bigint"))}).drop("_able")
+
+
 def annotate(records: DataFrame, winners: DataFrame, min_width: int | None) -> DataFrame:
     """records with annotation_status, annotation_reason and the winner's columns; no record is lost.
 
     records: gt, eligible, window_id, window_sequence. min_width is that of the narrowest model, null without models.
     """
-    won = winners.select("window_id", *(F.col(c).alias(f"best_{c}") for c in ("motif_id", "family_id", "score", "p", "start", "stop", "strand", "matched")), "midpoint_distance", "distinct_motif_count")
-    alleles = alleles_of(F.col("gt"))
-    carrier = has_alt(alleles)
-    hit = F.col("best_motif_id").isNotNull()
-    fit = F.lit(False) if min_width is None else scoreable(F.col("window_sequence"), min_width)
-    none = F.lit(min_width is None)
-    status = F.when(~carrier, "not_applicable").when(~F.col("eligible"), "not_scanned").when(none, "unclassified").when(~fit, "not_scanned").when(hit, "promising").otherwise("unclassified")
-    reason = F.when(~carrier & all_missing(alleles), "missing_gt").when(~carrier, "reference_only").when(~F.col("eligible"), "boundary_window").when(none, "no_selected_motifs").when(~fit, "no_scoreable_segment").otherwise("")
+    won = winners.select("window_id", *(F.col(c).alias(f"best_{c}") for c in BEST), "midpoint_distance", "distinct_motif_count")
     # Only carriers in scanned windows can have a winner: others get no key and so no partner, each dealt by its own record.
-    able = carrier & F.col("eligible") & ~none & fit
-    keyed = records.withColumn("_window", F.when(able, F.col("window_id")).otherwise(F.concat(F.lit("-"), F.col("window_id"), F.lit("-"), F.col("ordinal").cast("string"))))
-    out = keyed.join(won.withColumnRenamed("window_id", "_window"), "_window", "left").drop("_window")
-    return out.withColumns({"annotation_status": status, "annotation_reason": reason, "distinct_motif_count": F.coalesce("distinct_motif_count", F.lit(0))})
+    able = records.withColumn("_able", F.coalesce(_scannable(min_width), F.lit(False)))
+    keyed = able.withColumn("_window", F.when(F.col("_able"), F.col("window_id")).otherwise(F.concat(F.lit("-"), F.col("window_id"), F.lit("-"), F.col("ordinal").cast("string"))))
+    return _judged(keyed.join(won.withColumnRenamed("window_id", "_window"), "_window", "left").drop("_window"), min_width)
+
+
+def annotate_in_place(records: DataFrame, scan: Callable[[DataFrame], DataFrame], min_width: int | None, flank: int) -> DataFrame:
+    """annotate without a shuffle, for records that seldom share a window: each record's own window is scanned.
+
+    scan gives rows with a column sequence, null where there is nothing to scan, the array `hits` instead.
+    """
+    able = records.withColumn("_able", F.coalesce(_scannable(min_width), F.lit(False)))
+    won = winner_in_window(scan(able.withColumn("sequence", F.when(F.col("_able"), F.col("window_sequence")))))
+    best = won.withColumns({f"best_{c}": F.col("best")[c] for c in BEST}).drop("best")
+    return _judged(best.withColumn("midpoint_distance", midpoint(F.col("best_start"), F.col("best_stop"), flank)), min_width)
 
 
 def annotation_counts(annotated: DataFrame) -> DataFrame:

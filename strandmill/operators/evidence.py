@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandmill.functions.rules import coverage_ratio, is_central, is_exact_center, midpoint, safe_div, strand_order, supported
 
 
-def _keys(kind: str) -> list[Column]:
+def _keys(kind: str, of: Callable[[str], Column] = F.col) -> list[Column]:
     """positional: highest score first; union: lowest p, then motif; winner: lowest p, then library rank."""
-    score, p, start, stop, strand = -F.col("score"), F.col("p"), F.col("start"), F.col("stop"), strand_order(F.col("strand"))
-    return {"positional": [score, p, start, stop, strand], "union": [p, F.col("motif_id"), score, start, stop, strand], "winner": [p, F.col("rank"), score, start, stop, strand]}[kind]
+    score, p, start, stop, strand = -of("score"), of("p"), of("start"), of("stop"), strand_order(of("strand"))
+    return {"positional": [score, p, start, stop, strand], "union": [p, of("motif_id"), score, start, stop, strand], "winner": [p, of("rank"), score, start, stop, strand]}[kind]
 
 
 def best_hits(hits: DataFrame, by: list[str], kind: str, sums: dict[str, Column] | None = None) -> DataFrame:
@@ -23,15 +25,60 @@ def best_hits(hits: DataFrame, by: list[str], kind: str, sums: dict[str, Column]
     return best.select(*by, *(F.col(f"best.{c}").alias(c) for c in rest), *sums)
 
 
+def _keyed(kind: str, by: str | None = None) -> Column:
+    own = lambda h: [h[by].alias("group")] if by else []
+    return F.transform("hits", lambda h: F.struct(*own(h), *(k.alias(f"k{i}") for i, k in enumerate(_keys(kind, lambda c: h[c]))), h.alias("hit")))
+
+
+def best_in_window(windows: DataFrame, by: str, kind: str) -> DataFrame:
+    """windows with the array `hits` reduced to the first of each value of `by` in the order of that kind: best_hits where a window is one row."""
+    # A column of its own: sorted once a row, not once for each comparison.
+    ordered = windows.withColumn("_ordered", F.array_sort(_keyed(kind, by)))
+    first = F.filter("_ordered", lambda x, i: (i == 0) | (x["group"] != F.get("_ordered", i - 1)["group"]))
+    return ordered.withColumn("hits", F.transform(first, lambda x: x["hit"])).drop("_ordered")
+
+
+def winner_in_window(windows: DataFrame) -> DataFrame:
+    """windows with `best`, the winning one of `hits` (null without hits), and the number of distinct motifs, instead of hits."""
+    count = F.size(F.array_distinct("hits.motif_id")).cast("bigint")
+    return windows.withColumns({"best": F.array_min(_keyed("winner"))["hit"], "distinct_motif_count": count}).drop("hits")
+
+
 def metrics(best: DataFrame, totals: DataFrame, by: list[str], flank: int, radius: int) -> DataFrame:
     """Enrichment by group: best holds kind (real or control), start and stop; totals holds the windows scanned of each group, hit or not.
 
     Groups without hits have zeros and null proportions; without windows, null coverages.
     """
+    counts = best.groupBy(*by).agg(*_counts(flank, radius))
+    return _proportions(totals.join(counts, by, "left").fillna(0, COUNTS), by)
+
+
+def scanned_metrics(best: DataFrame, models: DataFrame, by: list[str], flank: int, radius: int) -> DataFrame:
+    """metrics by `by` and motif_id of one pass over windows: best has a row for each window and kind (real and control), with its best hits as the array `hits`, empty without any.
+
+    models: motif_id, a row each; every group has every model. A map holds at most as many entries as the library has motifs.
+    """
+    window = F.struct(F.lit(None).cast("string").alias("motif_id"), F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("stop"))
+    each = F.concat(F.array(window), F.transform("hits", lambda h: F.struct(h["motif_id"].alias("motif_id"), h["start"].alias("start"), h["stop"].alias("stop"))))
+    rows = best.select(*by, "kind", F.explode_outer(each).alias("hit")).select(*by, "kind", "hit.*")
+    counts = rows.groupBy(*by, "motif_id").agg(*_counts(flank, radius))
+    scanned = F.col("motif_id").isNull()
+    own = F.collect_list(F.when(~scanned, F.struct("motif_id", F.struct(*COUNTS))))
+    groups = counts.groupBy(*by).agg(F.max(F.when(scanned, F.col("real_hits"))).alias("n_windows"), F.map_from_entries(own).alias("own"))
+    dense = groups.crossJoin(F.broadcast(models.select("motif_id"))).withColumn("own", F.try_element_at("own", F.col("motif_id")))
+    return _proportions(dense.select(*by, "motif_id", "n_windows", *(F.coalesce(F.col("own")[c], F.lit(0)).alias(c) for c in COUNTS)), [*by, "motif_id"])
+
+
+COUNTS = ["real_hits", "control_hits", "rc", "cc", "re", "ce"]
+
+
+def _counts(flank: int, radius: int) -> list[Column]:
     real, control = F.col("kind") == "real", F.col("kind") == "control"
     central, exact = is_central(F.col("start"), F.col("stop"), flank, radius), is_exact_center(F.col("start"), F.col("stop"), flank)
-    counts = best.groupBy(*by).agg(*(F.count_if(c).alias(n) for n, c in {"real_hits": real, "control_hits": control, "rc": real & central, "cc": control & central, "re": real & exact, "ce": control & exact}.items()))
-    out = totals.join(counts, by, "left").fillna(0, ["real_hits", "control_hits", "rc", "cc", "re", "ce"])
+    return [F.count_if(c).alias(n) for n, c in zip(COUNTS, (real, control, real & central, control & central, real & exact, control & exact), strict=True)]
+
+
+def _proportions(out: DataFrame, by: list[str]) -> DataFrame:
     n, r, c = F.col("n_windows"), F.col("real_hits"), F.col("control_hits")
     rp, cp = safe_div(F.col("rc"), r), safe_div(F.col("cc"), c)
     return out.select(

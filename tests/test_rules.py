@@ -342,3 +342,32 @@ def test_malformed_alleles_raise(spark):
     for ref, alt in (("A", "C,x"), ("A", "["), ("?", "C")):
         with pytest.raises(Exception, match="malformed REF or ALT"):
             A.explode_alleles(rows(ref, alt)).collect()
+
+
+def test_word_scan_in_place(spark):
+    """Words of several lengths, both strands, twins, palindromes and letters of several bytes, against plain Python; nothing is exploded before it is a hit."""
+    import random
+
+    from strandmill.operators.evidence import best_hits, best_in_window, winner_in_window
+    from strandmill.operators.scan import hit_rows, word_hits, word_places
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ACGT") for _ in range(rng.randint(0, 60))) for _ in range(300)] + [None, "", "éACGTéTTGCA", "AAAAAA"]
+    library = [("ACGT", "f1", 1), ("AAA", "f1", 2), ("TTGCA", "f2", 3), ("TTGCA", "f3", 4), ("é", "f4", 5)]
+    flip = lambda w: w[::-1].translate(str.maketrans("ACGT", "TGCA"))
+    want = sorted((str(n), m, r, i + 1, i + len(m), s) for n, t in enumerate(texts) if t for m, _, r in library for s, w in (("+", m), ("-", flip(m))) for i in range(len(t)) if t[i : i + len(w)] == w)
+    windows = spark.createDataFrame([(str(n), t) for n, t in enumerate(texts)], "window_id string, sequence string")
+    models = spark.createDataFrame(library, "motif_id string, family_id string, rank int")
+    hits = word_hits(windows, models)
+    assert sorted(tuple(r) for r in hits.select("window_id", "motif_id", "rank", "start", "stop", "strand").collect()) == want
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and "Exchange" not in plan
+    places = word_places(windows, models)
+    for by, kind in (("motif_id", "positional"), ("family_id", "union")):
+        ours = hit_rows(best_in_window(places, by, kind)).select("window_id", f"hit.{by}", "hit.start", "hit.strand", "hit.rank")
+        ours_df = ours.collect()
+        key = lambda r: (r["window_id"], r[by], r["start"], r["strand"])
+        assert sorted(map(key, ours_df)) == sorted(map(key, best_hits(hits, ["window_id", by], kind).collect()))
+    won = {r["window_id"]: (r["rank"], r["distinct_motif_count"]) for r in winner_in_window(places).select("window_id", "best.rank", "distinct_motif_count").collect()}
+    assert won["300"] == (None, 0) and len(won) == len(texts)
+    assert all(won[w][1] == len({m for x, m, *_ in want if x == w}) for w in won)
