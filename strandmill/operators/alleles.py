@@ -7,7 +7,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandmill.functions.genotype import alts_of, exclusion_reason
@@ -18,8 +18,12 @@ from strandmill.operators.stored import Stored
 def explode_alleles(records: DataFrame) -> DataFrame:
     """One row per ALT: alt_index from 1, allele and why it can't be normalised ('' if it can). A malformed REF or ALT raises."""
     each = records.select("*", F.posexplode(alts_of(F.col("alt"))).alias("_at", "allele"))
-    malformed = F.raise_error(F.concat(F.lit("malformed REF or ALT: "), F.coalesce("ref", F.lit("null")), F.lit(" "), F.coalesce("allele", F.lit("null")))).cast("string")
-    return each.withColumns({"alt_index": F.col("_at") + 1, "exclusion_reason": F.coalesce(exclusion_reason(F.col("ref"), F.col("allele")), malformed)}).drop("_at")
+    return each.withColumns({"alt_index": F.col("_at") + 1, "exclusion_reason": reason_or_raise(F.col("ref"), F.col("allele"))}).drop("_at")
+
+
+def reason_or_raise(ref: Column, allele: Column) -> Column:
+    malformed = F.raise_error(F.concat(F.lit("malformed REF or ALT: "), F.coalesce(ref, F.lit("null")), F.lit(" "), F.coalesce(allele, F.lit("null")))).cast("string")
+    return F.coalesce(exclusion_reason(ref, allele), malformed)
 
 
 def left_align(sequence: str, pos: int, ref: str, alt: str) -> tuple[int, str, str]:

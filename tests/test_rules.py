@@ -371,3 +371,17 @@ def test_word_scan_in_place(spark):
     won = {r["window_id"]: (r["rank"], r["distinct_motif_count"]) for r in winner_in_window(places).select("window_id", "best.rank", "distinct_motif_count").collect()}
     assert won["300"] == (None, 0) and len(won) == len(texts)
     assert all(won[w][1] == len({m for x, m, *_ in want if x == w}) for w in won)
+
+
+def test_consensus_stays_in_place(spark):
+    """Calls, candidates and the matrix of the test tables need no shuffle beyond those by contig and those of the members' list; no row is copied for a distinct count."""
+    import re
+
+    from strandmill.plans import queries as Q
+
+    for name in ("member_support", "member_matrix", "group_support"):
+        plan = Q.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+        assert "Expand" not in plan
+        wide = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+        assert all(re.match(r"(contig#|slot#|doc_id#)", w) for w in wide), wide
+        assert sum(w.startswith("contig#") for w in wide) == 3  # contigs, lines, and records after their scan
