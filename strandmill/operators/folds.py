@@ -51,11 +51,11 @@ def fold_balance(assignments: DataFrame, folds: int = FOLDS) -> DataFrame:
     return dense.crossJoin(F.broadcast(ends)).select("fold_id", "total_bp", F.when(F.col("least") > 0, F.col("most") / F.col("least")).alias("largest_over_smallest"))
 
 
-def windows_per_fold(windows: DataFrame, by: list[str], folds: int = FOLDS) -> DataFrame:
-    """Eligible windows of each fold and group, with zeros for folds that have none."""
-    counts = windows.groupBy(*by, "fold_id").agg(F.count("*").alias("n"))
-    every = windows.select(*by).distinct().withColumn("fold_id", F.explode(F.sequence(F.lit(1), F.lit(folds))))
-    return every.join(counts, [*by, "fold_id"], "left").select(*by, "fold_id", F.coalesce("n", F.lit(0)).alias("n_windows"))
+def windows_per_fold(windows: DataFrame, by: list[str], folds: int = FOLDS, counted: Column | None = None) -> DataFrame:
+    """Eligible windows of each fold and group, with zeros for folds that have none, in one pass. counted: which windows count; the others still make their group known."""
+    own = F.lit(True) if counted is None else counted
+    each = F.array(*(F.struct(F.lit(f).alias("fold_id"), F.count_if((F.col("fold_id") == f) & own).alias("n_windows")) for f in range(1, folds + 1)))
+    return windows.groupBy(*by).agg(each.alias("folds")).select(*by, F.inline("folds"))
 
 
 def rotations(windows: DataFrame, folds: int = FOLDS) -> DataFrame:

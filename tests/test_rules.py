@@ -17,9 +17,12 @@ from strandmill.operators import families as M
 from strandmill.operators.alleles import left_align, normalise
 from strandmill.operators.consensus import observe, resolve
 from strandmill.operators import discover as D
+from strandmill.operators import folds as FO
 from strandmill.operators.folds import assign_folds
-from strandmill.operators.scan import Pwm, ScoringTable, pwm_hits, scan_sequence
+from strandmill.operators.scan import Pwm, ScoringTable, pwm_hits, scan_codes, scan_sequence
 from strandmill.operators.shuffle import shuffle_letters, shuffled
+from strandmill.plans import driver_views as V
+from strandmill.plans import queries as Q
 
 
 def one(spark, expr, **values):
@@ -385,3 +388,41 @@ def test_consensus_stays_in_place(spark):
         wide = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
         assert all(re.match(r"(contig#|slot#|doc_id#)", w) for w in wide), wide
         assert sum(w.startswith("contig#") for w in wide) == 3  # contigs, lines, and records after their scan
+
+
+def test_folded_letters(spark):
+    texts = ["aZ é-YzİK9", "", None, "\nÅngström"]
+    fold = dict(zip(V.LETTERS, V.FOLDED, strict=True))
+    want = [None if t is None else "".join(fold[c.upper()] for c in t if c.isascii() and c.isalpha()) for t in texts]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    assert [r[0] for r in rows.select("i", V.folded()("t").alias("s")).orderBy("i").select("s").collect()] == want
+
+
+def test_windows_per_fold_in_one_pass(spark):
+    rows = spark.createDataFrame([("a", 1, True), ("a", 1, True), ("a", 3, False), ("b", 2, False)], "g string, fold_id int, own boolean")
+    found = FO.windows_per_fold(rows, ["g"], counted=F.col("own"))
+    assert sorted(map(tuple, found.collect())) == [("a", 1, 2), *(("a", f, 0) for f in range(2, 6)), *(("b", f, 0) for f in range(1, 6))]
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") + found._jdf.queryExecution().optimizedPlan().toString().count("LocalRelation") == 1
+
+
+def test_fold_counts_read_the_lines_once(spark):
+    plan = Q.QUERIES["fold_counts_dense"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("lineitem.parquet") == 1
+
+
+def test_matrix_scan_against_each_placement():
+    rng = np.random.default_rng(4)
+    codes = rng.integers(0, 5, (30, 20)).astype(np.uint8)
+    for width in (1, 2, 3, 7, 20, 21):
+        table = ScoringTable(Pwm("m", tuple(map(tuple, rng.dirichlet(np.ones(4), width))), 20), (0.25,) * 4)
+        row, at, plus, score, p = scan_codes(codes, [table], 0.2)[0]
+        want = []
+        for strand, matrix in ((True, table.whole), (False, table.whole[::-1, ::-1])):
+            for r in range(30):
+                for a in range(20 - width + 1):
+                    letters = codes[r, a : a + width]
+                    if (letters < 4).all():
+                        total = matrix[np.arange(width), letters].sum()
+                        if table.tail[total] < 0.2:
+                            want.append((r, a + 1, strand, table.score(total), table.tail[total]))
+        assert list(zip(row.tolist(), at.tolist(), plus.tolist(), score.tolist(), p.tolist(), strict=True)) == want
