@@ -193,28 +193,30 @@ _CODE[[65, 67, 71, 84]] = 0, 1, 2, 3
 def scan_codes(codes: np.ndarray, tables: list[ScoringTable], threshold: float) -> list[tuple[np.ndarray, ...]]:
     """Per table: (row, start, plus strand, score, p) of placements with p below the threshold in windows of one length.
 
-    codes has a row a window; placements over letters other than ACGT are skipped. All models of one width share their
-    placements, each scored by one look-up a column.
+    codes has a row a window; placements over letters other than ACGT are skipped.
     """
     out = []
-    clean: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    one = codes.astype(np.intp)
+    # Three letters make one look-up.
+    three = one[:, :-2] * 25 + one[:, 1:-1] * 5 + one[:, 2:] if codes.shape[1] > 2 else one
     for table in tables:
         if codes.shape[1] < table.width:
             out.append(tuple(np.zeros(0, t) for t in (np.int64, np.int64, bool, float, float)))
             continue
-        if table.width not in clean:
-            view = np.lib.stride_tricks.sliding_window_view(codes, table.width, axis=1)
-            row, at = np.nonzero((view < 4).all(2))
-            clean[table.width] = row, at
-        row, at = clean[table.width]
-        parts = []
+        parts, places = [], codes.shape[1] - table.width + 1
+        # The tail falls, so a placement's p is below the threshold from one total on.
+        least = int(np.searchsorted(-table.tail, -threshold, "right"))
         for plus, matrix in ((True, table.whole), (False, table.whole[::-1, ::-1])):
-            total = np.zeros(len(row), np.int64)
-            for k in range(table.width):
-                total += matrix[k][codes[row, at + k]]
-            p = table.tail[total]
-            hit = np.flatnonzero(p < threshold)
-            parts.append((row[hit], at[hit] + 1, np.full(len(hit), plus), table.score(total[hit]), p[hit]))
+            m = np.concatenate([matrix, np.full((table.width, 1), -(1 << 40))], 1)
+            total, k = np.zeros((len(codes), places), np.int64), 0
+            while k + 3 <= table.width:
+                total += (m[k][:, None, None] + m[k + 1][:, None] + m[k + 2]).ravel()[three[:, k : k + places]]
+                k += 3
+            for j in range(k, table.width):
+                total += m[j][one[:, j : j + places]]
+            row, at = np.nonzero(total >= least)
+            own = total[row, at]
+            parts.append((row, at + 1, np.full(len(row), plus), table.score(own), table.tail[own]))
         out.append(tuple(np.concatenate([x[c] for x in parts]) for c in range(5)))
     return out
 
