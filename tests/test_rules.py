@@ -426,3 +426,20 @@ def test_matrix_scan_against_each_placement():
                         if table.tail[total] < 0.2:
                             want.append((r, a + 1, strand, table.score(total), table.tail[total]))
         assert list(zip(row.tolist(), at.tolist(), plus.tolist(), score.tolist(), p.tolist(), strict=True)) == want
+
+
+@pytest.mark.parametrize("seed", [0, 5, 2**64 - 1])
+def test_shuffle_makes_no_call_for_a_draw(monkeypatch, seed):
+    """The same draws as numpy's generator gives, from numbers that are taken many at a time."""
+    from strandmill.operators import shuffle as S
+
+    rng = np.random.default_rng(seed)
+    real, calls = np.random.default_rng, []
+    monkeypatch.setattr(S.np.random, "default_rng", lambda s: calls.append(s) or real(s))
+    text = "".join("ACGT"[i] for i in np.random.PCG64(3).random_raw(101) % 4)
+    assert sorted(S.shuffle_letters(text, 3, seed)[i : i + 3] for i in range(99)) == sorted(text[i : i + 3] for i in range(99))
+    assert not calls
+    number = S._numbers(seed).__next__
+    for n in range(2, 300):
+        v = number() * n
+        assert v & 0xFFFFFFFF < n or v >> 32 == rng.integers(n)
