@@ -32,8 +32,8 @@ def _keyed(kind: str, by: str | None = None) -> Column:
 
 def best_in_window(windows: DataFrame, by: str, kind: str) -> DataFrame:
     """windows with the array `hits` reduced to the first of each value of `by` in the order of that kind: best_hits where a window is one row."""
-    # A column of its own: sorted once a row, not once for each comparison.
-    ordered = windows.withColumn("_ordered", F.array_sort(_keyed(kind, by)))
+    # A column of its own: sorted once a row, not once for each comparison; by a plain order, as array_sort evaluates a lambda for each comparison.
+    ordered = windows.withColumn("_ordered", F.sort_array(_keyed(kind, by)))
     first = F.filter("_ordered", lambda x, i: (i == 0) | (x["group"] != F.get("_ordered", i - 1)["group"]))
     return ordered.withColumn("hits", F.transform(first, lambda x: x["hit"])).drop("_ordered")
 
