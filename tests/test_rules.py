@@ -443,3 +443,16 @@ def test_shuffle_makes_no_call_for_a_draw(monkeypatch, seed):
     for n in range(2, 300):
         v = number() * n
         assert v & 0xFFFFFFFF < n or v >> 32 == rng.integers(n)
+
+
+def test_discovery_keeps_only_words_that_can_matter(spark):
+    rng = random.Random(3)
+    words = {"".join(rng.choice("ACGT") for _ in range(w)) for w in (5, 6, 7) for _ in range(300)}
+    counts = {D.word_key(w): (rng.choice([0, 1, 2, 3, 30]), rng.choice([0, 1, 9])) for w in words}
+    n, m, e_max = 100, 100, 0.05
+    tests, live = D.live_counts(spark.createDataFrame([(k, *v) for k, v in counts.items()], "word bigint, primary bigint, control bigint"), n, m, e_max)
+    limit = math.log10(e_max) - math.log10(len(counts))
+    able = {D.word_of(k) for k, (a, _) in counts.items() if a and D.fisher_tail(a, n, 0, m) < limit}
+    near = {D.word_key(w[:i] + c + w[i + 1 :]) for w in able for i in range(len(w)) for c in "ACGT"}
+    assert tests == len(counts) and able
+    assert {r["word"]: (r["primary"], r["control"]) for r in live.table.collect()} == {k: v for k, v in counts.items() if k in near and v[0]}
