@@ -456,3 +456,32 @@ def test_discovery_keeps_only_words_that_can_matter(spark):
     near = {D.word_key(w[:i] + c + w[i + 1 :]) for w in able for i in range(len(w)) for c in "ACGT"}
     assert tests == len(counts) and able
     assert {r["word"]: (r["primary"], r["control"]) for r in live.table.collect()} == {k: v for k, v in counts.items() if k in near and v[0]}
+
+
+@pytest.mark.parametrize("draws", [384, 180, 64])
+def test_shuffles_in_step_have_the_draws_of_one_at_a_time(monkeypatch, draws):
+    """Also when some run out of numbers in step, beside others that don't."""
+    from strandmill.operators import shuffle as S
+
+    monkeypatch.setattr(S, "DRAWS", draws)
+    rng, alone = random.Random(5), []
+    one = S.shuffle_letters
+    monkeypatch.setattr(S, "shuffle_letters", lambda *a: alone.append(a) or one(*a))
+    for k in (2, 3, 5):
+        texts = [None, b"", "\xe9AC\xe9".encode() * 3, *("".join(rng.choice("ACGTN"[: rng.choice([1, 2, 4, 5])]) for _ in range(n)).encode() for n in (k, k + 1, 30, 101) for _ in range(400 if n == 101 else 50))]
+        seeds = [0, 5, 2**64 - 1, *(rng.getrandbits(64) for _ in texts[3:])]
+        alone.clear()
+        assert S.shuffled_texts(texts, k, seeds) == [None if t is None else one(t.decode(), k, s).encode() for t, s in zip(texts, seeds, strict=True)]
+        assert len(alone) <= 52 or draws < 384
+
+
+def test_digest_of_sorted_words(spark):
+    from hashlib import sha256
+
+    from strandmill.operators.shuffle import sorted_words_digest
+
+    texts = ["ACGTTGCA", "AC", None, "", "TTTTACG", "GATTACAGATTACA"]
+    for k in (2, 3, 4):
+        want = [None if t is None else sha256(",".join(sorted(t[i : i + k] for i in range(len(t) - k + 1))).encode()).hexdigest() for t in texts]
+        rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("d", sorted_words_digest(k)("t"))
+        assert [r["d"] for r in rows.orderBy("i").collect()] == want
