@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,12 +28,21 @@ def checked_hits(hits: DataFrame, ranks: DataFrame, windows: DataFrame) -> DataF
 
 
 def identity_counts(records: DataFrame, annotation: DataFrame, key: list[str], columns: list[str]) -> DataFrame:
-    """Per dataset: rows of one side only, and rows that differ in any of the columns; nulls are equal to each other."""
-    side = lambda df, name: df.select(*key, F.struct(*columns).alias(name))
-    both = side(records, "_record").join(side(annotation, "_annotation"), key, "full")
-    alone = [F.col("_annotation").isNull(), F.col("_record").isNull()]
-    differing = ~alone[0] & ~alone[1] & ~F.col("_record").eqNullSafe(F.col("_annotation"))
-    return both.groupBy("dataset_id").agg(F.count_if(alone[1]).alias("only_annotation"), F.count_if(alone[0]).alias("only_record"), F.count_if(differing).alias("differing"))
+    """Per dataset: rows of one side only, and rows that differ in any of the columns (numbers, strings, booleans); nulls are equal to each other."""
+    # Sides that stand partitioned by a part of the key are grouped where they are; a join would shuffle both by the whole key.
+    # Columns are compared by a digest of all of them, so that a wide row isn't sorted or spilled.
+    text = F.to_json(F.struct(*columns), {"ignoreNullFields": "false"})
+    side = lambda df, one: df.select(*key, F.unhex(F.sha2(text, 256)).alias("_digest"), F.lit(one).alias("_record"))
+    alike = side(records, 1).unionAll(side(annotation, 0)).groupBy(*key, "_digest").agg(F.sum("_record").alias("_records"), F.sum(1 - F.col("_record")).alias("_annotations"))
+    each = alike.groupBy(*key).agg(F.sum("_records").alias("_records"), F.sum("_annotations").alias("_annotations"), F.sum(F.col("_records") * F.col("_annotations")).alias("_same"))
+    # As in a full join on the key: of several rows of one key each meets each, and a null key meets none.
+    met = reduce(and_, (F.col(k).isNotNull() for k in key)) & (F.col("_records") > 0) & (F.col("_annotations") > 0)
+    total = lambda value: F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
+    return each.groupBy("dataset_id").agg(
+        total(F.when(~met, F.col("_annotations"))).alias("only_annotation"),
+        total(F.when(~met, F.col("_records"))).alias("only_record"),
+        total(F.when(met, F.col("_records") * F.col("_annotations") - F.col("_same"))).alias("differing"),
+    )
 
 
 def window_winners(hits: DataFrame, flank: int) -> DataFrame:

@@ -485,3 +485,28 @@ def test_digest_of_sorted_words(spark):
         want = [None if t is None else sha256(",".join(sorted(t[i : i + k] for i in range(len(t) - k + 1))).encode()).hexdigest() for t in texts]
         rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string").withColumn("d", sorted_words_digest(k)("t"))
         assert [r["d"] for r in rows.orderBy("i").collect()] == want
+
+
+def test_identity_counts_as_a_full_join(spark):
+    """Repeated and null keys too, and null columns beside the word null."""
+    from strandmill.operators.annotate import identity_counts
+
+    rng = random.Random(6)
+    rows = lambda n: [(rng.choice(["d1", "d2"]), rng.choice(["c1", None]), rng.randint(1, 6), rng.choice([1, None]), rng.choice(["null", None, 'a"'])) for _ in range(n)]
+    a, b = rows(60), rows(50)
+    schema = "dataset_id string, contig string, ordinal int, x int, y string"
+    found = identity_counts(spark.createDataFrame(a, schema), spark.createDataFrame(b, schema), ["dataset_id", "contig", "ordinal"], ["x", "y"])
+    want = {}
+    for d in ("d1", "d2"):
+        pairs = [(p, q) for p in a for q in b if p[0] == d and p[:3] == q[:3] and None not in p[:3]]
+        alone = lambda one, other: sum(p[0] == d and (None in p[:3] or all(p[:3] != q[:3] for q in other)) for p in one)  # noqa: B023, E731
+        want[d] = (alone(b, a), alone(a, b), sum(p != q for p, q in pairs))
+    assert {r[0]: tuple(r[1:]) for r in found.collect()} == want
+
+
+def test_identity_counts_shuffle_records_by_contig_only(spark):
+    import re
+
+    plan = Q.QUERIES["record_annotation_identity"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    wide = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    assert wide and all(re.match(r"(contig#\d+|dataset_id#\d+), \d+$", w) for w in wide), wide
