@@ -510,3 +510,37 @@ def test_identity_counts_shuffle_records_by_contig_only(spark):
     plan = Q.QUERIES["record_annotation_identity"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     wide = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     assert wide and all(re.match(r"(contig#\d+|dataset_id#\d+), \d+$", w) for w in wide), wide
+
+
+def test_site_finder_against_each_placement():
+    """More matrices than share one table, of all widths, and letters other than ACGT."""
+    rng = np.random.default_rng(4)
+    for size in (3, 8, 40):
+        codes = rng.choice(5, (30, size), p=[0.24] * 4 + [0.04]).astype(np.uint8)
+        tables = [ScoringTable(Pwm("m", tuple(map(tuple, rng.dirichlet(np.ones(4) * 0.3, int(rng.integers(1, 16))))), 20), (0.25,) * 4) for _ in range(70)]
+        sites = [(t, int(t.whole.max(1).sum() * rng.uniform(0.3, 0.9))) for t in tables]
+        found = {(t, *x) for t, *columns in D.SiteFinder(sites).find(codes) for x in zip(*map(np.ndarray.tolist, columns), strict=True)}
+        want = set()
+        for t, (table, limit) in enumerate(sites):
+            for minus, matrix in enumerate((table.whole, table.whole[::-1, ::-1])):
+                for r, at in np.ndindex(30, max(0, size - table.width + 1)):
+                    letters = codes[r, at : at + table.width]
+                    if (letters < 4).all() and (score := int(matrix[np.arange(table.width), letters].sum())) >= limit:
+                        want.add((t, r, at, minus, score))
+        assert found == want and (want or size < 4)
+
+
+def test_words_are_counted_in_parts(spark):
+    """Words of both sides, those lost by erasing too; tasks send many words in a row."""
+    rng = random.Random(8)
+    rows = [(s, "".join("N" if rng.random() < 0.1 else c for c in s), rng.random() < 0.5) for s in ("".join(rng.choice("ACGTN" if n == 20 else "ACGT") for _ in range(n)) for n in (0, 2, 20, 30) for _ in range(40))]
+    words = lambda s: {D.word_key(w) for k in range(1, 16) for i in range(len(s) - k + 1) if set(w := s[i : i + k]) <= set("ACGT")}
+    windows = spark.createDataFrame([(b, a, c) for a, b, c in rows], "sequence string, before string, is_control boolean").repartition(3)
+    for before, own in ((None, lambda a, b: words(b)), ("before", lambda a, b: words(a) - words(b))):
+        want: dict = {}
+        for a, b, c in rows:
+            for w in own(a, b):
+                want.setdefault(w, [0, 0])[c] += 1
+        found = D._counted(windows, range(1, 16), before)
+        assert {r["word"]: [r["primary"], r["control"]] for r in found.collect()} == want
+    assert "hashpartitioning(word" not in found._jdf.queryExecution().executedPlan().toString()
